@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,32 +24,32 @@ class Inputs:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
         """Log rows before cleaning, with entities and with gaps in the timestamps."""
-        return tables.raw_logs(self.spark, self.sf_dir)
+        return tables.raw_logs(self.rows)
 
-    @property
+    @cached_property
     def messages(self) -> DataFrame:
         """Log rows without the columns that can be derived from the message."""
-        return tables.logs(self.spark, self.sf_dir).drop("ip_address", "service_name")
+        return self.rows.drop("ip_address", "service_name")
 
-    @property
+    @cached_property
     def rows(self) -> DataFrame:
-        return tables.logs(self.spark, self.sf_dir)
+        return tables.logs(tables.events(self.spark, self.sf_dir))
 
-    @property
+    @cached_property
     def logs(self) -> DataFrame:
         """Parsed log rows."""
-        return parse_logs(tables.logs(self.spark, self.sf_dir))
+        return parse_logs(self.rows)
 
-    @property
+    @cached_property
     def alerts(self) -> DataFrame:
-        return tables.alerts(self.spark, self.sf_dir)
+        return tables.alerts(self.rows)
 
-    @property
+    @cached_property
     def history(self) -> DataFrame:
-        return tables.history(self.spark, self.sf_dir)
+        return tables.history(self.rows)
 
     def scratch(self) -> str:
         """A fresh directory below the cluster's shared checkpoint folder, or a local one where none is set."""
@@ -58,6 +59,12 @@ class Inputs:
         return f"{shared.rstrip('/')}/{tables.fresh_name()}"
 
 
+@lru_cache(maxsize=4)
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The lazy tables of a session and directory, so that their plans are analysed once and not per query."""
+    return Inputs(spark, sf_dir)
+
+
 def edge(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock times, which is how the SQL side sees them."""
     changed = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema if f.dataType.typeName() == "timestamp"}
@@ -70,7 +77,7 @@ def register(name: str, sql: str | None = None) -> Callable:
     def add(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
         if name in _QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        _QUERIES[name] = lambda spark, sf_dir: edge(function(Inputs(spark, sf_dir)))
+        _QUERIES[name] = lambda spark, sf_dir: edge(function(inputs(spark, sf_dir)))
         if sql is not None:
             _SQL[name] = tables.with_tables(sql)
         return function

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from catalog import tables
 from catalog.registry import Inputs, register
 from catalog.sources import structured
 from emberlog.streaming import drop_folder
@@ -24,7 +23,7 @@ def _(t: Inputs):
 def _(t: Inputs):
     # All alerts arrive in one micro-batch here, so exactly one of each kind is kept, whichever comes first.
     base = t.scratch()
-    alerts = tables.alerts(t.spark, t.sf_dir)
+    alerts = t.alerts
     alerts.write.parquet(f"{base}/alerts")
     stream = t.spark.readStream.schema(alerts.schema).parquet(f"{base}/alerts")
     drop_folder.start_alert_dedup(stream, f"{base}/kept", f"{base}/checkpoint").awaitTermination()

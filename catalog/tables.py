@@ -18,7 +18,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def logs(rows: DataFrame) -> DataFrame:
     """One log row per event."""
     user, event = F.col("user_id"), F.col("event_id")
     number = F.regexp_extract("props", "([0-9]+)", 1)
@@ -43,7 +43,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, F.lit("cache refreshed"))
         .otherwise(F.lit("   "))
     )
-    return events(spark, sf_dir).select(
+    return rows.select(
         "event_id",
         "event_type",
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -54,7 +54,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_logs(rows: DataFrame) -> DataFrame:
     """Log rows as they might arrive: some without timestamp or level, levels in odd spellings."""
     event = F.col("event_id")
     spelled = (
@@ -64,10 +64,10 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lower("log_level"))
     )
     known = F.when(event % 97 != 0, F.col("timestamp"))
-    return logs(spark, sf_dir).withColumns({"timestamp": known, "log_level": spelled})
+    return rows.withColumns({"timestamp": known, "log_level": spelled})
 
 
-def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alerts(rows: DataFrame) -> DataFrame:
     """One alert per error row."""
     kind = F.col("event_id") % 4
     alert_type = (
@@ -76,9 +76,8 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, "CRITICAL_ERRORS")
         .otherwise("FREQUENT_ERRORS")
     )
-    rows = logs(spark, sf_dir).filter(F.col("log_level") == "ERROR")
     return with_alert_id(
-        rows.select(
+        rows.filter(F.col("log_level") == "ERROR").select(
             F.col("timestamp").alias("alert_ts"),
             F.concat(F.lit("user-"), F.substring("service_name", 5, 1)).alias("username"),
             alert_type.alias("alert_type"),
@@ -90,11 +89,11 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history(rows: DataFrame) -> DataFrame:
     """One analysis per service and day."""
-    rows = logs(spark, sf_dir).withColumn("day", F.to_date("timestamp").cast("string"))
     return (
-        rows.groupBy("service_name", "day")
+        rows.withColumn("day", F.to_date("timestamp").cast("string"))
+        .groupBy("service_name", "day")
         .agg(
             F.max("timestamp").alias("analysis_ts"),
             F.count_if(F.col("log_level") == "ERROR").alias("num_errors"),

@@ -6,6 +6,8 @@ JVM parser raise and catch an exception per row, which would dominate the cost o
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,6 +64,13 @@ def join_month_day_time(month: Column, day: Column, time: Column) -> Column:
     return F.concat_ws(" ", month, day, time)
 
 
+def instant(moment: datetime) -> Column:
+    """A literal timestamp: a naive one is wall-clock time of the session, whatever the zone of the driver is."""
+    if moment.tzinfo is None:
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp")
+    return F.lit(moment.isoformat()).cast("timestamp")
+
+
 def time_parts(ts: Column) -> dict[str, Column]:
     """The calendar columns that go with a timestamp."""
     return {

@@ -7,6 +7,7 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.functions.timestamps import instant
 from emberlog.operators.filters import all_of
 from emberlog.operators.metrics import count_rows
 from emberlog.operators.ranking import top_messages
@@ -22,9 +23,9 @@ def alert_history(
     """A user's newest alerts, optionally of whole days only."""
     parts = [F.col("username") == username]
     if first:
-        parts.append(F.col("alert_ts") >= F.lit(datetime.combine(first, time.min)))
+        parts.append(F.col("alert_ts") >= instant(datetime.combine(first, time.min)))
     if last:
-        parts.append(F.col("alert_ts") < F.lit(datetime.combine(last + timedelta(days=1), time.min)))
+        parts.append(F.col("alert_ts") < instant(datetime.combine(last + timedelta(days=1), time.min)))
     return alerts.filter(all_of(parts)).orderBy(F.desc("alert_ts"), "alert_id").limit(limit)
 
 
@@ -57,7 +58,7 @@ def in_cooldown(
     alerts: DataFrame, username: str, at: datetime | None = None, cooldown_s: int = 3600
 ) -> Column:
     """Whether the user's latest alert is less than ``cooldown_s`` old, as a scalar for the interactive rules."""
-    moment = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    moment = F.current_timestamp() if at is None else instant(at)
     latest = alerts.filter((F.col("username") == username) & (F.col("alert_ts") <= moment))
     age_us = F.unix_micros(moment) - F.unix_micros(F.max("alert_ts"))
     return latest.agg(F.coalesce(age_us < cooldown_s * 1_000_000, F.lit(False))).scalar()

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.functions.timestamps import instant
 from emberlog.schema import project_existing
 
 # Columns a keyword is looked for in, and the choice that means "no filter".
@@ -55,15 +56,14 @@ def all_of(predicates: Iterable[Column]) -> Column:
 def in_days(columns: Iterable[str], first: date, last: date) -> Column:
     """Rows of whole days, both included. A ``date`` column is tested too, which prunes its partitions."""
     ts = F.col("timestamp")
-    inside = (ts >= F.lit(datetime.combine(first, time.min))) & (
-        ts < F.lit(datetime.combine(last + timedelta(days=1), time.min))
-    )
+    after_last = datetime.combine(last + timedelta(days=1), time.min)
+    inside = (ts >= instant(datetime.combine(first, time.min))) & (ts < instant(after_last))
     return inside & F.col("date").between(F.lit(first), F.lit(last)) if "date" in columns else inside
 
 
 def in_time_range(columns: Iterable[str], start: datetime, end: datetime) -> Column:
     """Rows between two instants, both included, with the same partition pruning."""
-    inside = F.col("timestamp").between(F.lit(start), F.lit(end))
+    inside = F.col("timestamp").between(instant(start), instant(end))
     if "date" not in columns:
         return inside
     return inside & F.col("date").between(F.lit(start.date()), F.lit(end.date()))

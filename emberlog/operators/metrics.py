@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.config import STANDARD_LEVELS
-from emberlog.functions.timestamps import bucket, window_length
+from emberlog.functions.timestamps import bucket, instant, window_length
 from emberlog.operators.filters import filter_errors, is_critical_error, is_error, is_filled, is_level
 
 
@@ -244,7 +244,7 @@ def period_change(
 
     def inside(period: tuple[datetime, datetime]) -> Column:
         start, end = period
-        return (F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end))
+        return (F.col("timestamp") >= instant(start)) & (F.col("timestamp") < instant(end))
 
     now, before = inside(current), inside(previous)
     either = now | before
@@ -294,7 +294,8 @@ def first_last_seen(df: DataFrame) -> DataFrame:
 
 def level_values(df: DataFrame) -> DataFrame:
     """Every level that is standard or occurs."""
-    standard = df.sparkSession.createDataFrame([(level,) for level in STANDARD_LEVELS], "log_level string")
+    levels = F.array(*[F.lit(level) for level in STANDARD_LEVELS])
+    standard = df.sparkSession.range(1).select(F.explode(levels).alias("log_level"))
     occurring = df.select("log_level").filter(F.col("log_level").isNotNull()).distinct()
     return occurring.unionByName(standard).distinct().orderBy("log_level")
 

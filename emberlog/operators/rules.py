@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.config import Thresholds
+from emberlog.functions.timestamps import instant
 from emberlog.operators.filters import filter_errors
 from emberlog.operators.metrics import count_rows, level_totals, ratio
 from emberlog.operators.ranking import top_messages
@@ -286,7 +287,7 @@ def interactive_alerts(
 
 def stamp(alerts: DataFrame, at: datetime | None = None, username: str | None = None) -> DataFrame:
     """Alert-table rows: when, for whom, and a stable id over the content."""
-    moment = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    moment = F.current_timestamp() if at is None else instant(at)
     stamped = alerts.withColumns(
         {"alert_ts": moment, "username": F.lit(username).cast("string")}
     )

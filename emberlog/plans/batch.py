@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.config import BATCH, INTERACTIVE, ParseProfile, Thresholds
+from emberlog.functions.timestamps import instant
 from emberlog.operators.rules import batch_alerts, stamp
 from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.plans.reports import export_all
@@ -55,7 +56,7 @@ def run_batch(
     written = export_all(parsed, f"{out}/reports", top_n)
     append_alerts(stamp(batch_alerts(parsed, limits), at, username), alerts_path)
     alerts = spark.read.parquet(alerts_path)
-    append_alert_lines(alerts if at is None else alerts.filter(alerts.alert_ts == at), f"{out}/alert_lines")
+    append_alert_lines(alerts if at is None else alerts.filter(alerts.alert_ts == instant(at)), f"{out}/alert_lines")
     return BatchResult(parsed_path, alerts_path, written)
 
 

@@ -138,7 +138,7 @@ def export_summary(df: DataFrame, out: str) -> str:
 def export_all(df: DataFrame, out: str, top_n: int = 10, parsed_path: str | None = None) -> list[str]:
     """Everything: the cube from one scan, the reports cut from it, the summary, optionally the parsed table."""
     cube_path = f"{out}/parquet/error_counts"
-    counts_cube(df).write.mode("overwrite").partitionBy("report").parquet(cube_path)
+    counts_cube(df).hint("rebalance", "report").write.mode("overwrite").partitionBy("report").parquet(cube_path)
     cube = df.sparkSession.read.parquet(cube_path)
     written = [cube_path, *export_reports(from_cube(cube, top_n), out), export_summary(df, out)]
     if parsed_path:

@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.functions.timestamps import instant
 from emberlog.operators.filters import is_error, is_level
 from emberlog.schema import HISTORY
 from emberlog.sources.log_table import read_if_exists, read_parsed, write_parsed
@@ -29,7 +30,7 @@ def history_row(
     ).select(
         F.lit(record_id).alias("record_id"),
         F.lit(username).alias("username"),
-        F.lit(at).cast("timestamp").alias("analysis_ts"),
+        instant(at).alias("analysis_ts"),
         F.lit(file_name).alias("file_name"),
         "num_errors",
         "num_warnings",

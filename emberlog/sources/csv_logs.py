@@ -28,7 +28,8 @@ log = logging.getLogger(__name__)
 
 FILES = "path string"
 HEADERS = "path string, header string, opened boolean, reachable boolean, modified timestamp, bytes long"
-HEADER_BYTES = 1 << 20
+# Bytes looked at for a header line: first a little, then at most this much.
+FIRST_BYTES, MOST_BYTES = 1 << 16, 1 << 22
 
 
 def list_files(
@@ -73,7 +74,9 @@ def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 info = files.get_file_info(inside)
                 size, modified = info.size, info.mtime
                 with files.open_input_stream(inside) as stream:
-                    begin = stream.read(HEADER_BYTES)
+                    begin = stream.read(FIRST_BYTES)
+                    if b"\n" not in begin:
+                        begin += stream.read(MOST_BYTES - FIRST_BYTES)
                 header = begin.decode("utf-8-sig", "replace").split("\n", 1)[0].rstrip("\r")
                 opened = True
             except Exception:  # noqa: BLE001  any kind of unreadable file is reported, not fatal

@@ -1,11 +1,11 @@
-"""Trailing-window counts per key that stay exact and bounded however hot a key is.
+"""Trailing-window counts per key that stay exact, linear and bounded however hot a key is.
 
-A plain ``Window.partitionBy(key)`` would sort all rows of a key in one task. Here the timeline is cut into slices:
+A plain ``Window.partitionBy(key)`` with a sliding frame would sort all rows of a key in one task and add up the
+whole frame again for every row. Here the timeline is cut into blocks of one window length, and blocks into slices:
 
 * rows are first counted per (key, instant), so one slice holds at most one row per microsecond;
-* the sum over the whole slices of the window comes from the small (key, slice) table, itself processed in blocks
-  of one window length;
-* what is left, the two slices at the ends of the window, is a running sum inside one slice.
+* at either level, the count of a window is what the level above says for its start, plus what has arrived since,
+  minus what has meanwhile left the window. That is a running sum inside one slice, or one block of slices.
 """
 
 from __future__ import annotations
@@ -19,13 +19,22 @@ def _floor_div(value: Column, by: int) -> Column:
     return ((value - F.pmod(value, F.lit(by))) / by).cast("long")
 
 
-def _copies(column: Column) -> Column:
-    """One copy of the row for its own block and one for the next block."""
-    return F.explode(F.array(column, column + 1))
+def _changes(*rows: tuple[Column, Column, Column, Column]) -> Column:
+    """Rows of (part, position, delta, n) to explode: the count of ``part`` changes by ``delta`` at ``position``."""
+    names = ("part", "position", "delta", "n")
+    return F.array(
+        *[F.struct(*[value.cast("long").alias(name) for value, name in zip(row, names)]) for row in rows]
+    )
+
+
+def _running_sum(changes: DataFrame) -> DataFrame:
+    """The summed changes of a part up to each position, kept for the positions asked for by ``n``."""
+    upto = Window.partitionBy("key", "part").orderBy("position").rangeBetween(Window.unboundedPreceding, 0)
+    return changes.withColumn("total", F.sum("delta").over(upto)).filter(F.col("n") > 0)
 
 
 def rolling_count(
-    df: DataFrame, key: str = "message", ts: str = "timestamp", window_s: int = 3600, slices: int = 3600
+    df: DataFrame, key: str = "message", ts: str = "timestamp", window_s: int = 3600, slices: int = 60
 ) -> DataFrame:
     """Per distinct key and instant: ``row_count`` at it and ``rolling_count`` over ``(instant - window, instant]``.
 
@@ -43,39 +52,36 @@ def rolling_count(
         .withColumn("slice", _floor_div(F.col("us"), width))
     )
 
-    # Sum of the `slices` slices before each one. A block is one window long, so a slice only looks at its own block
-    # and the one before; the slices of the window's far end are handled by expiry below.
+    none, n, us, of_slice = F.lit(0), F.col("n"), F.col("us"), F.col("slice")
+
+    # Per slice: the count of the `slices` slices before it, from those of its own and of the previous block.
     per_slice = points.groupBy("key", "slice").agg(F.sum("n").alias("n"))
-    blocks = per_slice.withColumn("home", _floor_div(F.col("slice"), slices)).withColumn(
-        "block", _copies(F.col("home"))
-    )
-    before = Window.partitionBy("key", "block").orderBy("slice").rangeBetween(-slices, -1)
-    baseline = (
-        blocks.withColumn("delta", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .filter("home = block")
-        .select("key", "slice", (F.col("slice") * width).alias("us"), "delta", F.lit(0).cast("long").alias("n"))
+    blocked = per_slice.withColumn("block", _floor_div(of_slice, slices))
+    block = F.col("block")
+    carried = blocked.groupBy("key", "block").agg(F.sum("n").alias("n"))
+    carried = carried.select("key", F.inline(_changes((block + 1, (block + 1) * slices, n, none))))
+    moved = blocked.select(
+        "key",
+        F.inline(
+            _changes(
+                (block, of_slice, none, n),
+                (block, of_slice + 1, n, none),
+                (block + 1, of_slice + slices + 1, -n, none),
+            )
+        ),
     )
+    before = _running_sum(carried.unionByName(moved))
 
-    arriving = points.select("key", "slice", "us", F.col("n").alias("delta"), "n")
-    expiring = points.select(
-        "key",
-        (F.col("slice") + slices).alias("slice"),
-        (F.col("us") + window_us).alias("us"),
-        (-F.col("n")).alias("delta"),
-        F.lit(0).cast("long").alias("n"),
+    # Per instant: the slices before its own, plus its own slice so far, minus what left at the far end.
+    before = before.select("key", F.inline(_changes((F.col("position"), F.col("position") * width, F.col("total"), none))))
+    moved = points.select(
+        "key", F.inline(_changes((of_slice, us, n, n), (of_slice + slices, us + window_us, -n, none)))
     )
-    running = Window.partitionBy("key", "slice").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
-    return (
-        baseline.unionByName(arriving)
-        .unionByName(expiring)
-        .withColumn("rolling_count", F.sum("delta").over(running))
-        .filter("n > 0")
-        .select(
-            F.col("key").alias(key),
-            F.timestamp_micros("us").alias(ts),
-            F.col("n").alias("row_count"),
-            "rolling_count",
-        )
+    return _running_sum(before.unionByName(moved)).select(
+        F.col("key").alias(key),
+        F.timestamp_micros("position").alias(ts),
+        F.col("n").alias("row_count"),
+        F.col("total").alias("rolling_count"),
     )
 
 
@@ -95,19 +101,21 @@ def bursts(
 ) -> DataFrame:
     """Keys seen more than ``threshold`` times within some window: that count and the total per key.
 
-    Keys that are too rare in total are left out before the windows are counted.
+    A window lies in two neighbouring blocks of its length, so only rows from pairs of blocks that together hold more
+    than ``threshold`` are looked at closely; which those are is known from one combined count per (key, block).
     """
-    totals = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("total"))
-        .filter(F.col("total") > threshold)
-    )
-    candidates = df.select(key, ts).join(totals, key, "left_semi")
+    block = _floor_div(F.unix_micros(ts), window_s * 1_000_000)
+    rows = df.filter(F.col(key).isNotNull()).select(key, ts, block.alias("block"))
+    per_block = rows.groupBy(key, "block").agg(F.count(F.lit(1)).alias("n"))
+    this, other = F.col("block"), F.col("block") + 1
+    pairs = per_block.select(key, F.explode(F.array(this, other)).alias("block"), "n")
+    crowded = pairs.groupBy(key, "block").agg(F.sum("n").alias("n")).filter(F.col("n") > threshold)
+    needed = crowded.select(key, F.explode(F.array(this, this - 1)).alias("block"))
     peaks = (
-        rolling_count(candidates, key, ts, window_s)
+        rolling_count(rows.join(needed, [key, "block"], "left_semi"), key, ts, window_s)
         .groupBy(key)
         .agg(F.max("rolling_count").alias("max_burst"))
         .filter(F.col("max_burst") > threshold)
     )
+    totals = per_block.groupBy(key).agg(F.sum("n").alias("total"))
     return peaks.join(totals, key)

@@ -76,7 +76,8 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert counted.agg(F.max("rolling_count")).first()[0] == 5143
     plan = counted._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [sum(delta" in line]
-    assert windows and all("slice" in line.split("], [")[1] for line in windows)
+    assert len(windows) == 2 and all("part#" in line.split("], [")[1] for line in windows)
+    assert all("unboundedpreceding" in line for line in windows)
 
 
 def test_burst_threshold(spark):

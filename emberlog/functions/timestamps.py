@@ -26,8 +26,10 @@ EXTRA_LAYOUTS = (
 )
 WEEKDAY_PREFIX = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? "
 
-# A bare time of day would otherwise be completed with the date of the run.
-TIME_ONLY = r"^T?\d{1,2}:"
+
+def _time_only(text: Column) -> Column:
+    """A bare time of day, which a plain cast would complete with the date of the run: its first colon comes early."""
+    return F.instr(text, ":").between(1, 4)
 
 
 def _patterned(value: Column, candidate: Column, shape: str, pattern: str) -> Column:
@@ -40,8 +42,9 @@ def parse_timestamp(value: Column, default_year: int = 2025, extra_layouts: bool
     Known are the ISO family (with ``T`` or blank, fraction, date only), ``yy/MM/dd HH:mm:ss`` and syslog dates
     without a year, which get ``default_year``.
     """
-    text = F.regexp_replace(F.trim(value), r"\s+", " ")
-    attempts = [F.when(~text.rlike(TIME_ONLY), F.try_to_timestamp(text))]
+    given = F.trim(value)
+    attempts = [F.when(~_time_only(given), F.try_to_timestamp(given))]
+    text = F.regexp_replace(given, r"\s+", " ")
     attempts.append(_patterned(text, text, *SHORT_YEAR))
     if extra_layouts:
         plain = F.regexp_replace(text, WEEKDAY_PREFIX, "")

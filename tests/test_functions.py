@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import time
 from datetime import date, datetime
 
@@ -175,6 +176,36 @@ def test_entities(spark):
     ]
 
 
+def test_substring_tests_agree_with_patterns(spark):
+    """Looking for words in the lower-cased text must give what case-insensitive patterns give, also beyond ASCII."""
+    words = ["ERROR", "faİled", "faıled", "FAILED", "\u212aey", "Tıme Out", "TIME OUT", "conneCT", "CONNEÇT", "aPİ: x", "API x",
+             "ENDPOİNT y", "ſervice z", "SERVICE:\tz/1", "get /a", "GET  /ä", "PATCH\n/p", "NOT FOUND", "é404", "10.0.0.1é", "ß403", "İ"]
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 4))) for _ in range(3000)]
+    made = spark.createDataFrame([(t,) for t in texts], "m string")
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("text").alias("m"))
+    m = F.col("m")
+    chain = F.when(m.rlike("(?i)(exception|error|failed|failure)"), F.regexp_extract(m, r"(?i)(\w+Exception|\w+Error|\w+Failure)", 1))
+    for pattern, name in (
+        ("(?i)(timeout|time out)", "TimeoutError"),
+        ("(?i)(connection|connect)", "ConnectionError"),
+        ("(?i)(authentication|auth|unauthorized)", "AuthenticationError"),
+        ("(?i)(not found|404)", "NotFoundError"),
+        ("(?i)(permission|forbidden|403)", "PermissionError"),
+    ):
+        chain = chain.when(m.rlike(pattern), name)
+    pairs = (
+        (text.error_type_of(m), chain.otherwise("UnknownError")),
+        (text.ip_address_of(m), F.regexp_extract(m, text.IP, 0)),
+        (text.service_of(m), F.regexp_extract(m, text.SERVICE, 2)),
+        (text.endpoint_of(m), F.regexp_extract(m, text.ENDPOINT, 2)),
+    )
+    differs = [a.eqNullSafe(b) == F.lit(False) for a, b in pairs]
+    rows = made.unionByName(documents)
+    assert rows.filter(differs[0] | differs[1] | differs[2] | differs[3]).collect() == []
+    assert rows.select(pairs[0][0]).distinct().count() >= 6
+
+
 def test_instant_is_session_time(spark):
     expected = datetime(2024, 1, 5, 12)
     assert spark.range(1).select(timestamps.instant(expected)).first()[0] == expected

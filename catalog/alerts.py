@@ -12,6 +12,7 @@ from catalog.registry import Inputs, register
 from emberlog.config import Thresholds
 from emberlog.operators import alert_log, filters, metrics, rolling, rules
 from emberlog.sinks.alerts import alert_lines, append_alerts, read_alerts
+from emberlog.sinks.reports import TIMESTAMP_FORMAT, export_csv
 
 LIMITS = Thresholds()
 # Thresholds that the test data can reach.
@@ -201,6 +202,20 @@ def _(t: Inputs):
     return alert_log.alert_history(t.alerts, "user-2", *days).select(*ALERT)
 
 
+@register(
+    "export_alert_history",
+    f"""SELECT {ALERT_SQL}, '{{"event":"' || substr(details, 7) || '"}}' AS metrics FROM alerts
+        WHERE username = 'user-1' ORDER BY alert_ts DESC LIMIT 100""",
+)
+def _(t: Inputs):
+    path = f"{t.scratch()}/csv"
+    export_csv(alert_log.alert_history(t.alerts, "user-1"), path)
+    columns = "alert_id string, alert_ts timestamp, username string, alert_type string, severity string, message string"
+    reader = t.spark.read.schema(f"{columns}, details string, metrics string").option("header", True)
+    reader = reader.option("escape", '"').option("timestampFormat", TIMESTAMP_FORMAT)
+    return reader.csv(path).select(*ALERT, "metrics")
+
+
 @register("recent_alerts", f"SELECT {ALERT_SQL} FROM alerts ORDER BY alert_ts DESC LIMIT 20")
 def _(t: Inputs):
     return alert_log.recent_alerts(t.alerts).select(*ALERT)

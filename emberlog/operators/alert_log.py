@@ -37,7 +37,8 @@ def recent_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
 def alert_summary(alerts: DataFrame) -> DataFrame:
     """Alerts per type, with the number of all alerts on every row."""
     per_type = alerts.groupBy("alert_type").agg(count_rows().alias("count"))
-    return per_type.withColumn("total_alerts", alerts.agg(count_rows()).scalar()).orderBy(
+    total = per_type.agg(F.sum("count")).scalar()
+    return per_type.withColumn("total_alerts", total).orderBy(
         F.desc("count"), "alert_type"
     )
 

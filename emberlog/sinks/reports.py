@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def flat_columns(df: DataFrame) -> DataFrame:
+    """Maps, arrays and structs as JSON text, which is all a CSV cell can hold."""
+    nested = [f.name for f in df.schema if f.dataType.typeName() in ("map", "array", "struct")]
+    return df.withColumns({name: F.to_json(name) for name in nested})
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = True) -> None:
     """CSV with a header line, text kept with its blanks; ``single_file`` is for small results."""
-    out = df.coalesce(1) if single_file else df
+    out = flat_columns(df.coalesce(1) if single_file else df)
     (
         out.write.mode(mode)
         .option("header", True)

@@ -2,6 +2,7 @@
 
 Case-insensitive words are looked for in the lower-cased message, and the patterns are only tried on messages that
 hold what they need: a plain substring search costs a fraction of a regular expression, and most messages have no hit.
+The searched text is never null, which keeps the generated code of the many tests small enough to be compiled.
 """
 
 from __future__ import annotations
@@ -38,13 +39,17 @@ ENDPOINT = r"(GET|POST|PUT|DELETE|PATCH)\s+([/\w-]+)"
 VERBS = ("GET", "POST", "PUT", "DELETE", "PATCH")
 
 
+def _filled(message: Column) -> Column:
+    return F.coalesce(message, F.lit(""))
+
+
 def _has_any(text: Column, words: Iterable[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(word)) for word in words])
 
 
 def _extract_where(may_match: Column, message: Column, pattern: str, group: int) -> Column:
     """``regexp_extract``, saving the search where it cannot match; null for a null message."""
-    return F.when(~may_match, F.lit("")).otherwise(F.regexp_extract(message, pattern, group))
+    return F.when(message.isNotNull() & ~may_match, F.lit("")).otherwise(F.regexp_extract(message, pattern, group))
 
 
 def error_type_of(message: Column, given: Column | None = None, blank_as_unknown: bool = False) -> Column:
@@ -53,7 +58,7 @@ def error_type_of(message: Column, given: Column | None = None, blank_as_unknown
     A message that speaks of an error without a class-like token has the type ``''``; ``blank_as_unknown`` turns
     that into ``UnknownError``.
     """
-    lowered = F.lower(message)
+    lowered = F.lower(_filled(message))
     token = F.regexp_extract(message, CLASS_TOKEN, 1)
     if blank_as_unknown:
         token = F.coalesce(F.nullif(token, F.lit("")), F.lit(UNKNOWN_TYPE))
@@ -68,21 +73,21 @@ def error_type_of(message: Column, given: Column | None = None, blank_as_unknown
 
 def ip_address_of(message: Column, strict: bool = False) -> Column:
     """First IPv4-looking token, ``''`` if there is none; ``strict`` bounds the octets."""
-    return _extract_where(F.contains(message, F.lit(".")), message, STRICT_IP if strict else IP, 0)
+    return _extract_where(F.contains(_filled(message), F.lit(".")), message, STRICT_IP if strict else IP, 0)
 
 
 def service_of(message: Column, pattern: str | None = None) -> Column:
     """The word after "service", "api" or "endpoint", or group 2 of an own pattern; ``''`` if there is none."""
     if pattern is not None:
         return F.regexp_extract(message, pattern, 2)
-    return _extract_where(_has_any(F.lower(message), SERVICE_WORDS), message, SERVICE, 2)
+    return _extract_where(_has_any(F.lower(_filled(message)), SERVICE_WORDS), message, SERVICE, 2)
 
 
 def endpoint_of(message: Column, pattern: str | None = None) -> Column:
     """The path after an HTTP verb, or group 2 of an own pattern; ``''`` if there is none."""
     if pattern is not None:
         return F.regexp_extract(message, pattern, 2)
-    return _extract_where(_has_any(message, VERBS), message, ENDPOINT, 2)
+    return _extract_where(_has_any(_filled(message), VERBS), message, ENDPOINT, 2)
 
 
 def spaced_on_one_line(text: Column) -> Column:

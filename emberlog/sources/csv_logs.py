@@ -10,11 +10,10 @@ import csv
 import logging
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,30 +59,41 @@ def same_file_key(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
-def _probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line, size and modification time per path, reading no more than the beginning of each file."""
-    from pyarrow import fs
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            header, opened, reachable, modified, size = None, False, False, None, None
-            try:
-                files, inside = fs.FileSystem.from_uri(path)
-                reachable = True
-                info = files.get_file_info(inside)
-                size, modified = info.size, info.mtime
-                with files.open_input_stream(inside) as stream:
-                    begin = stream.read(FIRST_BYTES)
-                    if b"\n" not in begin:
-                        begin += stream.read(MOST_BYTES - FIRST_BYTES)
-                header = begin.decode("utf-8-sig", "replace").split("\n", 1)[0].rstrip("\r")
-                opened = True
-            except Exception:  # noqa: BLE001  any kind of unreadable file is reported, not fatal
-                pass
-            rows.append((path, header, opened, reachable, modified, size))
-        columns = ["path", "header", "opened", "reachable", "modified", "bytes"]
-        yield pd.DataFrame(rows, columns=columns).astype({"bytes": "Int64"})
+def _header_probe():
+    """The task function that looks up first line, size and modification time per path.
+
+    It is built inside a function so that it travels to the executors by value; they need not have this package.
+    """
+    import pandas as pd
+
+    first_bytes, most_bytes = FIRST_BYTES, MOST_BYTES
+
+    def probe(batches):
+        """First line, size and modification time per path, reading no more than the beginning of each file."""
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                header, opened, reachable, modified, size = None, False, False, None, None
+                try:
+                    files, inside = fs.FileSystem.from_uri(path)
+                    reachable = True
+                    info = files.get_file_info(inside)
+                    size, modified = info.size, info.mtime
+                    with files.open_input_stream(inside) as stream:
+                        begin = stream.read(first_bytes)
+                        if b"\n" not in begin:
+                            begin += stream.read(most_bytes - first_bytes)
+                    header = begin.decode("utf-8-sig", "replace").split("\n", 1)[0].rstrip("\r")
+                    opened = True
+                except Exception:  # noqa: BLE001  any kind of unreadable file is reported, not fatal
+                    pass
+                rows.append((path, header, opened, reachable, modified, size))
+            columns = ["path", "header", "opened", "reachable", "modified", "bytes"]
+            yield pd.DataFrame(rows, columns=columns).astype({"bytes": "Int64"})
+
+    return probe
 
 
 def _scan_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
@@ -102,7 +112,7 @@ def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
         return spark.createDataFrame([], HEADERS)
     tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
     listed = spark.createDataFrame([(path,) for path in paths], FILES).repartition(tasks)
-    return listed.mapInPandas(_probe, HEADERS)
+    return listed.mapInPandas(_header_probe(), HEADERS)
 
 
 def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:

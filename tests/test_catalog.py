@@ -7,10 +7,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+import catalog
 from tools.check_oracles import compare, duck
 
 SF = "/root/testdata/sf0.01"
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -34,4 +35,4 @@ def test_entry(spark):
 
 
 def test_sql_covers_the_queries():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.llm import warc
 from emberlog.llm.bpe import bpe_code
-from emberlog.llm.shared import table
+from emberlog.llm.html_text import html_text
+from emberlog.llm.shared import fresh_folder, table
 from emberlog.llm.token_counts import token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +38,39 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+@register(
+    "op2_warc",
+    """
+    WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                      sha256(coalesce(html, '')) AS payload_digest FROM pages),
+         f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM p LEFT JOIN f USING (payload_digest)
+    """,
+)
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, the archives normalised, and their records read back by the index."""
+    folder = fresh_folder(spark, "warc")
+    rows = warc.with_revisits(table(spark, sf_dir, "pages"), "page_id", "html")
+    warc.write_archives(rows, f"{folder}/streams", "page_id", "url")
+    records = warc.read_records(warc.normalise(spark, f"{folder}/streams", f"{folder}/members"), payloads=False)
+    return records.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+@register("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text(table(spark, sf_dir, "pages"))
+
+
 @register("op6_token_counts")
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they go beyond the limit."""

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from emberlog.llm import warc
 from emberlog.llm.bpe import bpe_code
+from emberlog.llm.chat import rotated
+from emberlog.llm.decontaminate import decontaminated
 from emberlog.llm.html_text import html_text
-from emberlog.llm.shared import fresh_folder, table
+from emberlog.llm.quality import fit, held_out, with_score, with_statistics
+from emberlog.llm.shared import checkpointed, fresh_folder, table
 from emberlog.llm.token_counts import token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 TOKEN_LIMIT = 512
+KEEP_SCORE = 0.3
 
 
 def register(name: str, sql: str | None = None) -> Callable:
@@ -38,6 +42,22 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of each document, learnt from the labelled rows that are not held out."""
+    measured = checkpointed(with_statistics(docs))
+    learnt = labels.select(F.col("doc_id").alias("labelled"), "quality")
+    model = fit(measured.filter(~held_out()).join(learnt, F.col("doc_id") == F.col("labelled")), "quality")
+    return with_score(measured, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted")
+    )
+
+
+@register("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register(
     "op2_warc",
     """
@@ -65,6 +85,44 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "op4_decontaminate",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+         b AS (SELECT item_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+         i AS (SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS win
+               FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS s
+                     FROM b WHERE len(w) > 0)),
+         x AS (SELECT row, n, s, array_to_string(w[s : s + n - 1], ' ') AS win
+               FROM (SELECT row, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+                     FROM d, (SELECT DISTINCT n FROM i) WHERE len(w) >= n)),
+         h AS (SELECT row, item_id, s, n FROM x JOIN i USING (n, win)),
+         c AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(generate_series(s, s + n - 1)) AS p FROM h)
+               GROUP BY row),
+         o AS (SELECT row, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS items
+               FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS k FROM h) GROUP BY row)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN c USING (row) LEFT JOIN o USING (row)
+    """,
+)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in benchmark windows, and the items they come from."""
+    judged = decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @register("op5_html_text")
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
@@ -83,3 +141,29 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe_code(table(spark, sf_dir, "documents"), path, digests=True)
+
+
+@register(
+    "op8_chat_rotation",
+    r"""
+    WITH t AS (SELECT conv_id AS conv, turn, regexp_replace(coalesce(role, 'unknown'), '[^\p{L}\p{N}_-]', '_', 'g') AS role,
+                      regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '<|\1 |>', 'g') AS text
+               FROM conversations),
+         p AS (SELECT DISTINCT conv, role AS participant FROM t WHERE role <> 'system'),
+         v AS (SELECT t.*, participant, role = participant AS masked,
+                      '<|im_start|>' || CASE WHEN role = participant THEN 'assistant' WHEN role = 'system' THEN 'system'
+                                             ELSE 'user name=' || role END || chr(10) AS head
+               FROM t JOIN p ON t.conv IS NOT DISTINCT FROM p.conv),
+         s AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM v),
+         e AS (SELECT *, row_number() OVER w AS position, CAST(sum(length(segment)) OVER w AS BIGINT) AS finish FROM s
+               WINDOW w AS (PARTITION BY conv, participant ORDER BY turn NULLS FIRST, role, text
+                            ROWS UNBOUNDED PRECEDING))
+    SELECT conv AS conv_id, participant, turn, position, segment, masked, finish - length(segment) AS segment_start,
+           CASE WHEN masked THEN finish - length(segment) + length(head) END AS mask_start,
+           CASE WHEN masked THEN finish - 1 END AS mask_end
+    FROM e
+    """,
+)
+def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the view of each participant, turn by turn with places and masks."""
+    return rotated(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")

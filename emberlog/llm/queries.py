@@ -13,6 +13,7 @@ from emberlog.llm.bpe import bpe_code
 from emberlog.llm.chat import rotated
 from emberlog.llm.decontaminate import decontaminated
 from emberlog.llm.html_text import html_text
+from emberlog.llm.ngram_join import ngram_components
 from emberlog.llm.quality import fit, held_out, with_score, with_statistics
 from emberlog.llm.shared import checkpointed, fresh_folder, table
 from emberlog.llm.token_counts import token_counts
@@ -167,3 +168,26 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from the view of each participant, turn by turn with places and masks."""
     return rotated(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
+
+
+@register(
+    "op10_ngram_join",
+    r"""
+    WITH RECURSIVE w AS (
+           SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w FROM documents),
+         s AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + least(len(w), 5) - 1], chr(1)) AS g
+               FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS k FROM w WHERE len(w) > 0)),
+         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+         p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id
+               GROUP BY ALL),
+         l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+         r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+    FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id
+    """,
+)
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document under links of at least 0.75 on five-word shingles."""
+    return ngram_components(table(spark, sf_dir, "documents"))

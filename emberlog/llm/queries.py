@@ -14,6 +14,7 @@ from emberlog.llm.chat import rotated
 from emberlog.llm.decontaminate import decontaminated
 from emberlog.llm.html_text import html_text
 from emberlog.llm.ngram_join import ngram_components
+from emberlog.llm.phrases import compared
 from emberlog.llm.quality import fit, held_out, with_score, with_statistics
 from emberlog.llm.shared import checkpointed, fresh_folder, table
 from emberlog.llm.token_counts import token_counts
@@ -86,6 +87,12 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op3_phrases")
+def op3_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they and the next document's are."""
+    return compared(table(spark, sf_dir, "documents"))
+
+
 @register(
     "op4_decontaminate",
     r"""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
-from emberlog.llm.shared import checkpointed, partitions, small_enough
+from emberlog.llm.shared import checkpointed, hinted, partitions, small_enough
 
 N = 5
 #: The threshold as a fraction.
@@ -258,11 +258,6 @@ def blocks(count, total):
     return F.greatest(F.lit(1), F.ceil(count / BLOCK_ROWS), by_bytes).cast("int")
 
 
-def hinted(df: DataFrame) -> DataFrame:
-    """A side of a join that is broadcast where its narrow rows are few, after counting, and shuffled otherwise."""
-    return F.broadcast(df) if small_enough(df) else df
-
-
 def in_tiles(df: DataFrame, keys: list[str], function: Callable, schema: str) -> DataFrame:
     """``function`` on the batches of each partition, in which the rows of a tile follow one another."""
     dealt = df.repartition(partitions(df.sparkSession), *keys)

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Shares of the pooled covariance and of its diagonal in each class's covariance.
 POOLED, DIAGONAL = 0.05, 0.05
@@ -163,19 +164,20 @@ def fit(labelled: DataFrame, label_col: str, features_col: str = "features") ->
     return Discriminant(prior, means, whiteners, sizes)
 
 
-def with_score(df: DataFrame, model: Discriminant, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and the score of each row of ``with_statistics``."""
-    schema = ", ".join(f"c{k} {df.schema[name].dataType.simpleString()}" for k, name in enumerate(keep))
+def with_score(df: DataFrame, model: Discriminant, text_col: str = "text") -> DataFrame:
+    """The rows with the score of their texts as a last column, ``score`` (in place of one of that name)."""
+    names = [name for name in df.columns if name != "score"]
+    place = names.index(text_col)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = kinds()
         for batch in batches:
-            rows = batch.column(0).to_pylist()
-            scores = model.scores(np.array(rows).reshape(len(rows), -1)) if rows else np.array([])
-            columns = [*batch.columns[1:], pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*(f"c{k}" for k in range(len(keep))), "score"])
+            found = [statistics(text or "", kind) for text in batch.column(place).to_pylist()]
+            scores = model.scores(np.array(found)) if found else np.array([])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
-    chosen = df.select("features", *(F.col(name).alias(f"c{k}") for k, name in enumerate(keep)))
-    return chosen.mapInArrow(score, f"{schema}, score double").toDF(*keep, "score")
+    chosen = df.select(*names)
+    return chosen.mapInArrow(score, StructType([*chosen.schema, StructField("score", DoubleType())]))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -13,10 +13,11 @@ from emberlog.llm.bpe import bpe_code
 from emberlog.llm.chat import rotated
 from emberlog.llm.decontaminate import decontaminated
 from emberlog.llm.html_text import html_text
+from emberlog.llm.licenses import license_scan
 from emberlog.llm.ngram_join import ngram_components
 from emberlog.llm.phrases import compared
 from emberlog.llm.quality import fit, held_out, with_score, with_statistics
-from emberlog.llm.shared import checkpointed, fresh_folder, table
+from emberlog.llm.shared import fresh_folder, hinted, table
 from emberlog.llm.token_counts import token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,19 +46,20 @@ def oracle_sql() -> dict[str, str]:
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each document, learnt from the labelled rows that are not held out."""
-    measured = checkpointed(with_statistics(docs))
-    learnt = labels.select(F.col("doc_id").alias("labelled"), "quality")
-    model = fit(measured.filter(~held_out()).join(learnt, F.col("doc_id") == F.col("labelled")), "quality")
-    return with_score(measured, model).select(
-        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted")
+    """The documents with held_out, score and predicted, learnt from the labelled rows that are not held out."""
+    learnt = labels.filter(~held_out()).select(F.col("doc_id").alias("labelled"), "quality")
+    rows = docs.select("doc_id", "text").join(hinted(learnt), F.col("doc_id") == F.col("labelled"))
+    model = fit(with_statistics(rows, keep=("quality",)), "quality")
+    return with_score(docs, model).withColumns(
+        {"held_out": held_out(), "predicted": (F.col("score") >= KEEP_SCORE).cast("int")}
     )
 
 
 @register("op1_quality")
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
-    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
 @register(
@@ -177,6 +179,12 @@ def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotated(table(spark, sf_dir, "conversations")).withColumnRenamed("conv", "conv_id")
 
 
+@register("op9_licenses")
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices and texts in every document."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 @register(
     "op10_ngram_join",
     r"""
@@ -198,3 +206,11 @@ def op8_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of each document under links of at least 0.75 on five-word shingles."""
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline`` over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -363,15 +363,24 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = checkpointed(joined_first(docs, stand_ins))
     nearest = first.groupBy("id").agg(F.min("comp").alias("comp"))
     known = stand_ins.select("id", "n").join(nearest, "id", "left")
-    known = checkpointed(known.select("id", "n", F.coalesce("comp", "id").alias("comp")).distinct())
-    links = further_links(docs, filled.select("id", "prefix", "bits"), known.groupBy("id", "comp").agg(F.max("n").alias("n")))
-    # An id with several texts may have been joined to several components at once.
-    again = first.join(nearest.withColumnRenamed("comp", "least"), "id").select(F.col("least").alias("a"), F.col("comp").alias("b"))
-    labels = components(links.select("a", "b").union(again))
-    final = known.select("id", "comp").distinct().join(labels, F.col("comp") == F.col("node"), "left")
-    final = final.select("id", F.coalesce("label", "comp").alias("component_id"))
-    by_key = classes.select("key", "id").join(final, "id").select("key", "component_id")
-    rows = base.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "key")
-    return rows.join(hinted(by_key), "key", "left").select(
-        id_col, "n_shingles", F.coalesce("component_id", F.col(id_col)).alias("component_id")
+    known = known.groupBy("id").agg(F.max("n").alias("n"), F.min(F.coalesce("comp", "id")).alias("comp"))
+    known = checkpointed(known)
+    links = further_links(docs, filled.select("id", "prefix", "bits"), known)
+    # An id with several texts may have been joined to several components at once, or stand in several classes.
+    again = first.join(nearest.withColumnRenamed("comp", "a"), "id").select("a", F.col("comp").alias("b"))
+    rows = base.join(hinted(classes.select("key", F.col("id").alias("class"))), "key", "left").select("id", "n", "class")
+    torn = rows.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    torn = rows.join(torn, "id").select("class", "low").distinct()
+    comp_of = known.select(F.col("id").alias("at"), "comp")
+    torn = torn.join(comp_of, F.col("class") == F.col("at")).select("low", F.col("comp").alias("a"))
+    torn = torn.join(comp_of, F.col("low") == F.col("at")).select("a", F.col("comp").alias("b"))
+    labels = components(links.select("a", "b").union(again).union(torn))
+    final = known.join(labels, F.col("comp") == F.col("node"), "left")
+    final = final.select(F.col("id").alias("class"), F.coalesce("label", "comp").alias("component_id"))
+    joined = rows.join(hinted(final), "class", "left")
+    alone = F.coalesce("component_id", "id")
+    return joined.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), alone).alias("component_id"),
     )

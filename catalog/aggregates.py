@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import Inputs, register
@@ -115,20 +116,28 @@ def _(t: Inputs):
     return metrics.distinct_counts(t.logs)
 
 
+# The record's numbers and every level, as rows of (item, value).
 SUMMARY_SQL = f"""
-SELECT count(*) AS total_logs, count(*) FILTER (log_level = 'ERROR') AS total_errors,
-       round(count(*) FILTER (log_level = 'ERROR') / count(*), 6) AS error_rate,
-       (SELECT '{{' || string_agg('"' || log_level || '":' || n, ',' ORDER BY log_level) || '}}'
-        FROM (SELECT log_level, count(*) AS n FROM parsed GROUP BY log_level)) AS log_level_counts,
-       {DISTINCTS}
-FROM parsed"""
+WITH r AS (SELECT count(*) AS total_logs, count(*) FILTER (log_level = 'ERROR') AS total_errors,
+                  round(count(*) FILTER (log_level = 'ERROR') / count(*), 6) AS error_rate, {DISTINCTS} FROM parsed)
+SELECT item, CAST(value AS DOUBLE) AS value FROM (
+  SELECT 'total_logs' AS item, total_logs AS value FROM r UNION ALL SELECT 'total_errors', total_errors FROM r
+  UNION ALL SELECT 'error_rate', error_rate FROM r UNION ALL SELECT 'unique_ips', unique_ips FROM r
+  UNION ALL SELECT 'unique_services', unique_services FROM r
+  UNION ALL SELECT 'unique_error_types', unique_error_types FROM r
+  UNION ALL SELECT 'level ' || log_level, count(*) FROM parsed GROUP BY log_level)"""
+
+
+def summary_items(record: DataFrame, levels: DataFrame) -> DataFrame:
+    """The summary record and the level counts in the long form of ``SUMMARY_SQL``."""
+    pairs = [F.struct(F.lit(name).alias("item"), F.round(F.col(name).cast("double"), 6).alias("value")) for name in record.columns]
+    named = levels.select(F.concat(F.lit("level "), "log_level").alias("item"), F.col("count").cast("double").alias("value"))
+    return record.select(F.inline(F.array(*pairs))).unionByName(named)
 
 
 @register("summary_stats", SUMMARY_SQL)
 def _(t: Inputs):
-    return metrics.summary(t.logs).withColumns(
-        {"error_rate": F.round("error_rate", 6), "log_level_counts": F.to_json("log_level_counts")}
-    )
+    return summary_items(metrics.summary(t.logs), metrics.level_counts(t.logs))
 
 
 @register(

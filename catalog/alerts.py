@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,9 +110,16 @@ def _(t: Inputs):
     return rules.frequent_messages(t.logs)
 
 
-@register("alert_frequent_all", PATTERN_SQL)
+@register(
+    "alert_frequent_all",
+    f"""WITH a AS ({PATTERN_SQL}), m AS (SELECT message AS error_message, n AS count,
+          rank() OVER (ORDER BY n DESC) AS rank FROM message_counts WHERE n > 5)
+        SELECT a.*, 'Errors occurring > 5 times' AS details, m.* FROM a, m""",
+)
 def _(t: Inputs):
-    return shown(rules.frequent_pattern_alert(t.logs, F.lit(False), LIMITS))
+    alerts = rules.stamp(rules.frequent_pattern_alert(t.logs, F.lit(False), LIMITS), AT)
+    details = rules.frequent_details(t.logs, alerts, LIMITS).withColumnRenamed("message", "error_message")
+    return alerts.join(details, "alert_id").select(*SHOWN, "details", "error_message", "count", "rank")
 
 
 @register(
@@ -152,13 +159,19 @@ def _(t: Inputs):
     "alerts_interactive_cooldown",
     f"""WITH {TOTALS_SQL}, {BURST_TABLES},
     latest AS (SELECT max(alert_ts) AS seen FROM alerts WHERE username = 'user-3'),
-    gated AS ({RATE_PCT_SQL} UNION ALL {CRITICAL_PCT_SQL} UNION ALL {PATTERN_SQL})
-    SELECT gated.* FROM gated, latest WHERE TIMESTAMP '2024-02-01' - seen >= INTERVAL 1 HOUR
-    UNION ALL {BURST_SQL}""",
+    gated AS ({RATE_PCT_SQL} UNION ALL {CRITICAL_PCT_SQL} UNION ALL {PATTERN_SQL}),
+    moments AS (SELECT 'within' AS moment, seen + INTERVAL 59 MINUTES AS asked FROM latest
+                UNION ALL SELECT 'after', seen + INTERVAL 60 MINUTES FROM latest)
+    SELECT moment, gated.* FROM gated, latest, moments WHERE asked - seen >= INTERVAL 1 HOUR
+    UNION ALL SELECT moment, b.* FROM moments, ({BURST_SQL}) b""",
 )
 def _(t: Inputs):
-    cooling = alert_log.in_cooldown(t.alerts, "user-3", AT)
-    return shown(rules.interactive_alerts(t.logs, LOW, cooling))
+    seen = t.alerts.filter("username = 'user-3'").agg(F.max("alert_ts").cast("timestamp_ntz")).first()[0]
+    found = []
+    for name, minutes in (("within", 59), ("after", 60)):
+        cooling = alert_log.in_cooldown(t.alerts, "user-3", seen + timedelta(minutes=minutes))
+        found.append(shown(rules.interactive_alerts(t.logs, LOW, cooling)).withColumn("moment", F.lit(name)))
+    return found[0].unionByName(found[1])
 
 
 @register(
@@ -171,15 +184,19 @@ def _(t: Inputs):
     return shown(rules.interactive_alerts(quiet, LIMITS, force=True))
 
 
+# Checks happen once a minute, at the time of the minute's first alert; times are compared in full.
 REPLAY_SQL = """
-WITH RECURSIVE checks AS (SELECT DISTINCT username, epoch_us(alert_ts) // 60000000 AS tick FROM alerts),
-sending(username, tick) AS (
-  SELECT username, min(tick) FROM checks GROUP BY username
+WITH RECURSIVE checks AS (SELECT username, date_trunc('minute', alert_ts) AS tick, min(alert_ts) AS checked FROM alerts
+                          GROUP BY username, date_trunc('minute', alert_ts)),
+sending(username, checked) AS (
+  SELECT username, min(checked) FROM checks GROUP BY username
   UNION ALL
-  SELECT s.username, (SELECT min(c.tick) FROM checks c WHERE c.username = s.username AND c.tick >= s.tick + 60)
-  FROM sending s WHERE s.tick IS NOT NULL)
+  SELECT s.username, (SELECT min(c.checked) FROM checks c
+                      WHERE c.username = s.username AND c.checked >= s.checked + INTERVAL 3600 SECONDS)
+  FROM sending s WHERE s.checked IS NOT NULL)
 SELECT a.username, a.alert_ts, a.details,
-  EXISTS (SELECT 1 FROM sending s WHERE s.username = a.username AND s.tick = epoch_us(a.alert_ts) // 60000000) AS sent
+  EXISTS (SELECT 1 FROM sending s WHERE s.username = a.username
+          AND date_trunc('minute', s.checked) = date_trunc('minute', a.alert_ts)) AS sent
 FROM alerts a"""
 
 
@@ -223,16 +240,17 @@ def _(t: Inputs):
 
 @register(
     "alert_summary",
-    """SELECT alert_type, count(*) AS count, (SELECT count(*) FROM alerts) AS total_alerts
-       FROM alerts GROUP BY alert_type""",
+    """SELECT 'total' AS part, NULL AS alert_type, count(*) AS count, CAST(NULL AS TIMESTAMP) AS alert_ts, NULL AS message FROM alerts
+       UNION ALL SELECT 'type', alert_type, count(*), NULL, NULL FROM alerts GROUP BY alert_type
+       UNION ALL SELECT * FROM (SELECT 'latest', alert_type, 1, alert_ts, message FROM alerts ORDER BY alert_ts DESC LIMIT 10)""",
 )
 def _(t: Inputs):
-    return alert_log.alert_summary(t.alerts)
+    return alert_log.alert_overview(t.alerts)
 
 
 @register(
     "alerts_for_top_errors",
-    f"""WITH top AS (SELECT message AS wanted FROM message_counts ORDER BY n DESC, message LIMIT 5)
+    f"""WITH top AS (SELECT message AS wanted FROM message_counts WHERE trim(message) <> '' ORDER BY n DESC, message LIMIT 5)
         SELECT {ALERT_SQL} FROM alerts
         WHERE EXISTS (SELECT 1 FROM top WHERE contains(details || ' ' || message, wanted))""",
 )
@@ -260,7 +278,8 @@ def _(t: Inputs):
 
 @register(
     "alert_ids",
-    """SELECT details, sha256(epoch_us(alert_ts) || '|' || username || '|' || alert_type || '|' || message) AS alert_id
+    """SELECT details, sha256('=' || epoch_us(alert_ts) || '|=' || username || '|=' || alert_type || '|=' || message
+              || '|=' || details) AS alert_id
        FROM alerts""",
 )
 def _(t: Inputs):
@@ -276,6 +295,17 @@ def _(t: Inputs):
     return alert_log.history_list(t.history, "svc-2")
 
 
-@register("changed_since_check", "SELECT count(*) AS total_logs, count(*) <> -1 AS changed FROM parsed")
+@register(
+    "changed_since_check",
+    """WITH n AS (SELECT count(*) AS every, count(*) FILTER (log_level = 'ERROR') AS errors FROM parsed)
+       SELECT 1 AS step, errors AS total_logs, true AS changed FROM n
+       UNION ALL SELECT 2, errors, false FROM n UNION ALL SELECT 3, every, every <> errors FROM n""",
+)
 def _(t: Inputs):
-    return rules.changed_since_check(t.logs)
+    base = t.scratch()
+    steps = [t.logs.filter(filters.is_error()), t.logs.filter(filters.is_error()), t.logs]
+    found = [
+        rules.check_for_change(df, base, "user-1", AT + timedelta(hours=k)).withColumn("step", F.lit(k + 1))
+        for k, df in enumerate(steps)
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])

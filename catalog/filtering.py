@@ -7,8 +7,9 @@ from datetime import date, datetime, time
 from pyspark.sql import functions as F
 
 from catalog.registry import Inputs, register
-from emberlog.operators import filters
+from emberlog.operators import filters, metrics
 from emberlog.operators.filters import SearchFilter
+from emberlog.plans.parse import parse_logs_interactive
 
 SHOWN = ("event_id", "timestamp", "log_level", "message")
 SHOWN_SQL = 'event_id, "timestamp", log_level, message'
@@ -69,9 +70,37 @@ def _(t: Inputs):
     return filters.search_logs(t.logs, " SVC-3 ").select(*SHOWN)
 
 
-@register("search_regex", f"SELECT {SHOWN_SQL} FROM parsed WHERE regexp_matches(lower(message), 'time ?out.*[0-9]')")
+# A class in capitals is the opposite of the same letter in lower case.
+@register("search_regex", f"SELECT {SHOWN_SQL} FROM parsed WHERE regexp_matches(message, '(?i)TIME ?out\\D+[0-9]')")
 def _(t: Inputs):
-    return filters.search_logs(t.logs, "time ?out.*[0-9]", regex=True).select(*SHOWN)
+    return filters.search_logs(t.logs, r"TIME ?out\D+[0-9]", regex=True).select(*SHOWN)
+
+
+def interactive(t: Inputs):
+    """The log table as the interactive profile reads it, with a service column."""
+    raw = t.rows.select(
+        "event_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"), "log_level", "message",
+        F.col("service_name").alias("service"),
+    )
+    return parse_logs_interactive(raw)
+
+
+@register(
+    "search_logs_interactive",
+    f"""SELECT {SHOWN_SQL}, service_name FROM logs WHERE service_name IN ('svc-1', 'svc-4')
+        AND (contains(lower(message), 'svc-4') OR contains(lower(service_name), 'svc-4'))""",
+)
+def _(t: Inputs):
+    found = filters.search_logs(interactive(t), "SVC-4", SearchFilter(services=("svc-1", "svc-4")))
+    return found.select(*SHOWN, "service_name")
+
+
+@register(
+    "service_values_interactive",
+    "SELECT DISTINCT service_name FROM logs WHERE service_name IS NOT NULL",
+)
+def _(t: Inputs):
+    return metrics.service_values(interactive(t))
 
 
 SEARCH = SearchFilter(
@@ -109,7 +138,7 @@ def _(t: Inputs):
 @register(
     "error_examples",
     """SELECT "timestamp", log_level, service_name, message FROM errors WHERE message = 'page not found'
-       ORDER BY "timestamp" DESC LIMIT 100""",
+       ORDER BY "timestamp" DESC, log_level, service_name LIMIT 100""",
 )
 def _(t: Inputs):
     return filters.error_examples(t.logs, "page not found")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -52,10 +51,9 @@ class Inputs:
         return tables.history(self.rows)
 
     def scratch(self) -> str:
-        """A fresh directory below the cluster's shared checkpoint folder, or a local one where none is set."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not shared:
-            return tempfile.mkdtemp(prefix="run-")
+        """A fresh directory on shared storage: below the checkpoint folder, or else the warehouse."""
+        conf = self.spark.conf
+        shared = conf.get("spark.checkpoint.dir", None) or f"{conf.get('spark.sql.warehouse.dir')}/scratch"
         return f"{shared.rstrip('/')}/{tables.fresh_name()}"
 
 

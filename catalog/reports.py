@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.aggregates import SUMMARY_SQL
+from catalog.aggregates import SUMMARY_SQL, summary_items
 from catalog.registry import Inputs, register
 from emberlog.plans import reports
 from emberlog.sinks.reports import TIMESTAMP_FORMAT
@@ -46,11 +46,16 @@ def _(t: Inputs):
     return long_form(reports.run_all(t.logs))
 
 
-@register("counts_cube", LONG_SQL)
+@register("counts_cube", LONG_SQL.replace("ORDER BY n DESC, error_type, message LIMIT 10", ""))
 def _(t: Inputs):
-    path = f"{t.scratch()}/cube"
-    reports.counts_cube(t.logs).write.parquet(path)
-    return long_form(reports.from_cube(t.spark.read.parquet(path)))
+    # All reports in full, in one pass over the cube.
+    shape = reports.REPORTS
+    key = F.coalesce(*[
+        F.when(F.col("report") == r.name, F.concat_ws("|", *[F.col(k).cast("string") for k in r.keys])) for r in shape
+    ])
+    filled = reduce(lambda a, b: a & b, [(F.col("report") != r.name) | (F.col(r.keys[0]) != "") for r in shape if r.filled])
+    known = (F.col("report") != "error_trends") | F.col("time_window").isNotNull()
+    return reports.counts_cube(t.logs).filter(filled & known).select("report", key.alias("key"), "count")
 
 
 @register("report_bundle", LONG_SQL)
@@ -73,12 +78,12 @@ def _(t: Inputs):
 
 @register("export_summary", SUMMARY_SQL)
 def _(t: Inputs):
-    path = reports.export_summary(t.logs, t.scratch())
-    schema = """total_logs long, total_errors long, error_rate double, log_level_counts map<string, long>,
-                unique_ips long, unique_services long, unique_error_types long"""
-    return t.spark.read.schema(schema).json(path).withColumns(
-        {"error_rate": F.round("error_rate", 6), "log_level_counts": F.to_json("log_level_counts")}
-    )
+    out = t.scratch()
+    path = reports.export_summary(t.logs, out)
+    schema = """total_logs long, total_errors long, error_rate double, unique_ips long, unique_services long,
+                unique_error_types long"""
+    levels = t.spark.read.schema("log_level string, count long").json(f"{out}/json/level_counts")
+    return summary_items(t.spark.read.schema(schema).json(path), levels)
 
 
 @register(

@@ -12,9 +12,9 @@ from emberlog.config import BATCH, INTERACTIVE
 from emberlog.operators import clean, metrics
 from emberlog.operators.metrics import count_rows
 from emberlog.plans.batch import ingest, ingest_interactive
-from emberlog.plans.parse import parse_logs
+from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.sinks import history, reports
-from emberlog.sources.csv_logs import read_csv_logs
+from emberlog.sources.csv_logs import list_files, read_csv_logs
 from emberlog.sources.log_table import ingest_new, read_ingested, read_parsed, write_parsed
 
 SYSLOG_YEAR = replace(BATCH, default_year=2024)
@@ -173,6 +173,53 @@ def _(t: Inputs):
     return read_ingested(t.spark, base).select("timestamp", "log_level", "message", "error_type")
 
 
+@register(
+    "scan_blank_first_line",
+    """SELECT CAST(event_id AS VARCHAR) AS lineid, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", log_level,
+       message FROM logs""",
+)
+def _(t: Inputs):
+    # Every file begins with blank lines; the writer of text lines keeps the order within a folder.
+    path, fields = t.scratch(), ("timestamp", "log_level", "message", "lineid")
+    shaped = t.rows.select(
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), "log_level", "message",
+        F.col("event_id").alias("lineid"), (F.col("event_id") % 16).alias("part"),
+    )
+    line = F.to_csv(F.struct(*fields), {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    data = shaped.select("part", F.lit(1).alias("place"), line.alias("value"))
+    heads = data.select("part").distinct().select(
+        "part", F.lit(0).alias("place"), F.concat(F.lit("\n  \n"), F.lit(",".join(fields))).alias("value")
+    )
+    lines = data.unionByName(heads).repartition("part").sortWithinPartitions("part", "place")
+    lines.select("part", "value").write.partitionBy("part").text(path)
+    return read_csv_logs(t.spark, path, glob="*.txt", recursive=True).select("lineid", "timestamp", "log_level", "message")
+
+
+@register(
+    "incremental_changed_file",
+    """SELECT date_trunc('second', "timestamp") AS "timestamp", log_level, trim(message) AS message, error_type
+       FROM parsed""",
+)
+def _(t: Inputs):
+    # The files of the first run are replaced, under their names, by files with all rows.
+    base, drop, spare = t.scratch(), t.scratch(), t.scratch()
+    structured(t, drop, t.messages.filter("event_type = 'error'").coalesce(1))
+    ingest_new(t.spark, base, drop)
+    structured(t, spare, t.messages.coalesce(1))
+    replace_files(t, spare, drop)
+    ingest_new(t.spark, base, drop)
+    return read_ingested(t.spark, base).select("timestamp", "log_level", "message", "error_type")
+
+
+def replace_files(t: Inputs, source: str, target: str) -> None:
+    """Put the one data file of ``source`` in the place and under the name of that of ``target``."""
+    jvm = t.spark._jvm
+    new, old = (jvm.org.apache.hadoop.fs.Path(list_files(t.spark, path)[0]) for path in (source, target))
+    files = old.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    files.delete(old, False)
+    files.rename(new, old)
+
+
 @register(
     "ingest",
     r"""SELECT event_id, date_trunc('second', "timestamp") AS "timestamp", log_level, severity, message, error_type,
@@ -194,6 +241,23 @@ def _(t: Inputs):
     return parsed.select("event_id", "timestamp", "log_level", "message")
 
 
+MIXED_LAYOUTS = (
+    "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "M/d/yyyy h:mm:ss a", "MMM d, yyyy HH:mm:ss", "MMMM d, yyyy h:mm:ss a",
+    "d-MMM-yyyy HH:mm:ss", "d MMM yyyy HH:mm:ss", "d MMMM yyyy HH:mm:ss", "EEE MMM d HH:mm:ss yyyy", "yyyy-MM-dd h:mm:ss a",
+    "yy/MM/dd HH:mm:ss",
+)
+
+
+@register("normalize_timestamp_interactive", """SELECT event_id, date_trunc('second', "timestamp") AS "timestamp" FROM logs""")
+def _(t: Inputs):
+    written = [
+        F.when(F.col("event_id") % len(MIXED_LAYOUTS) == k, F.date_format("timestamp", layout))
+        for k, layout in enumerate(MIXED_LAYOUTS)
+    ]
+    mixed = t.rows.select("event_id", F.coalesce(*written).alias("timestamp"))
+    return parse_logs_interactive(mixed).select("event_id", "timestamp")
+
+
 @register("history_load", 'SELECT event_id, "timestamp", log_level, message FROM parsed')
 def _(t: Inputs):
     base = t.scratch()

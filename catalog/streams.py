@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.registry import Inputs, register
-from catalog.sources import structured
+from catalog.sources import short_year, structured
 from emberlog.streaming import drop_folder
 
 
@@ -12,19 +14,30 @@ from emberlog.streaming import drop_folder
     """SELECT date_trunc('hour', "timestamp") AS time_window, count(*) AS error_count FROM errors GROUP BY 1""",
 )
 def _(t: Inputs):
+    # Half of the rows come in files with another order of columns.
     base = t.scratch()
-    drop = structured(t, f"{base}/drop", t.messages)
-    stream = drop_folder.read_stream(t.spark, drop, ["LineId", "Date", "Time", "Level", "Content"])
-    drop_folder.start_error_trends(stream, f"{base}/trends", f"{base}/checkpoint").awaitTermination()
-    return drop_folder.read_error_trends(t.spark, f"{base}/trends")
+    first = F.col("event_id") % 2 == 0
+    structured(t, f"{base}/drop/a", t.messages.filter(first))
+    short_year(t, f"{base}/drop/b", t.messages.filter(~first))
+    drop_folder.start_folder_trends(t.spark, f"{base}/drop", f"{base}/trends", f"{base}/checkpoint").awaitTermination()
+    return drop_folder.read_folder_trends(t.spark, f"{base}/trends")
 
 
-@register("stream_alert_dedup", "SELECT DISTINCT username, alert_type FROM alerts")
+@register(
+    "stream_alert_dedup",
+    """
+    WITH RECURSIVE sending(username, alert_type, sent) AS (
+      SELECT username, alert_type, min(alert_ts) FROM alerts GROUP BY ALL
+      UNION ALL
+      SELECT s.username, s.alert_type, (SELECT min(a.alert_ts) FROM alerts a WHERE a.username = s.username
+          AND a.alert_type = s.alert_type AND a.alert_ts >= s.sent + INTERVAL 3600 SECONDS)
+      FROM sending s WHERE s.sent IS NOT NULL)
+    SELECT username, alert_type, sent AS alert_ts FROM sending WHERE sent IS NOT NULL
+    """,
+)
 def _(t: Inputs):
-    # All alerts arrive in one micro-batch here, so exactly one of each kind is kept, whichever comes first.
     base = t.scratch()
-    alerts = t.alerts
-    alerts.write.parquet(f"{base}/alerts")
-    stream = t.spark.readStream.schema(alerts.schema).parquet(f"{base}/alerts")
+    t.alerts.write.parquet(f"{base}/alerts")
+    stream = t.spark.readStream.schema(t.alerts.schema).parquet(f"{base}/alerts")
     drop_folder.start_alert_dedup(stream, f"{base}/kept", f"{base}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{base}/kept").select("username", "alert_type")
+    return drop_folder.read_sent_alerts(t.spark, f"{base}/kept").select("username", "alert_type", "alert_ts")

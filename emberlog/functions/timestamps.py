@@ -23,6 +23,19 @@ EXTRA_LAYOUTS = (
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
     (r"^[A-Za-z]{3} \d{1,2} \d+:\d+:\d+ \d{4}$", "MMM d H:mm:ss yyyy"),
     (r"^\d{1,2} [A-Za-z]{3} \d{4} \d+:\d+:\d+$", "d MMM yyyy H:mm:ss"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4} \d+:\d+:\d+$", "d-MMM-yyyy H:mm:ss"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4} \d+:\d+:\d+$", "MMM d[,] yyyy H:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d[,] yyyy"),
+    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4} \d+:\d+:\d+$", "MMMM d[,] yyyy H:mm:ss"),
+    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d[,] yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d+:\d+:\d+$", "d MMMM yyyy H:mm:ss"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d+:\d+:\d+ [APap][Mm]$", "yyyy-M-d h:mm:ss a"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d+:\d+:\d+ [APap][Mm]$", "yyyy/M/d h:mm:ss a"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d+:\d+:\d+ [APap][Mm]$", "M/d/yyyy h:mm:ss a"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d+:\d+ [APap][Mm]$", "M/d/yyyy h:mm a"),
+    (r"^[A-Za-z]{3} \d{1,2},? \d{4} \d+:\d+:\d+ [APap][Mm]$", "MMM d[,] yyyy h:mm:ss a"),
+    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4} \d+:\d+:\d+ [APap][Mm]$", "MMMM d[,] yyyy h:mm:ss a"),
 )
 WEEKDAY_PREFIX = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? "
 
@@ -43,14 +56,25 @@ def parse_timestamp(value: Column, default_year: int = 2025, extra_layouts: bool
     without a year, which get ``default_year``.
     """
     given = F.trim(value)
-    attempts = [F.when(~_time_only(given), F.try_to_timestamp(given))]
+    # A half of the day must not be passed over, so the plain cast never sees one.
+    plain_cast = ~_time_only(given) & ~F.upper(F.substring(given, -2, 2)).isin("AM", "PM")
+    attempts = [F.when(plain_cast, F.try_to_timestamp(given))]
     text = F.regexp_replace(given, r"\s+", " ")
     attempts.append(_patterned(text, text, *SHORT_YEAR))
     if extra_layouts:
         plain = F.regexp_replace(text, WEEKDAY_PREFIX, "")
         dotted = F.regexp_replace(plain, r",(\d+)$", ".$1")
         attempts.append(F.when(dotted.rlike(r"^\d{4}-.*\.\d+$"), F.try_to_timestamp(dotted)))
-        attempts += [_patterned(plain, plain, shape, pattern) for shape, pattern in EXTRA_LAYOUTS]
+        upper = F.regexp_replace(F.regexp_replace(plain, "(?i)am$", "AM"), "(?i)pm$", "PM")
+        by_shape = [
+            _patterned(plain, upper if pattern.endswith("a") else plain, shape, pattern)
+            for shape, pattern in EXTRA_LAYOUTS
+        ]
+        # Shapes that begin alike are only looked at for text that begins so.
+        letters = [a for a, (shape, _) in zip(by_shape, EXTRA_LAYOUTS, strict=True) if shape.startswith("^[A-Za-z]")]
+        digits = [a for a, (shape, _) in zip(by_shape, EXTRA_LAYOUTS, strict=True) if not shape.startswith("^[A-Za-z]")]
+        begins_with_digit = F.substring(plain, 1, 1).between("0", "9")
+        attempts.append(F.when(begins_with_digit, F.coalesce(*digits)).otherwise(F.coalesce(*letters)))
     attempts.append(_patterned(text, F.concat(F.lit(f"{default_year} "), text), *SYSLOG))
     return F.coalesce(*attempts)
 

@@ -35,7 +35,7 @@ def recent_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def alert_summary(alerts: DataFrame) -> DataFrame:
-    """Alerts per type, with the number of all alerts on every row."""
+    """Alerts per type, with the number of all alerts on every row; the newest ones are ``recent_alerts(alerts, 10)``."""
     per_type = alerts.groupBy("alert_type").agg(count_rows().alias("count"))
     total = per_type.agg(F.sum("count")).scalar()
     return per_type.withColumn("total_alerts", total).orderBy(
@@ -43,12 +43,29 @@ def alert_summary(alerts: DataFrame) -> DataFrame:
     )
 
 
+def alert_overview(alerts: DataFrame, latest: int = 10) -> DataFrame:
+    """The whole summary in rows: a ``total`` row, a ``type`` row per type, and ``latest`` rows of the newest alerts."""
+    kind = F.lit(None).cast("string")
+    per_type = alert_summary(alerts).select(
+        F.lit("type").alias("part"), "alert_type", "count", F.lit(None).cast("timestamp").alias("alert_ts"), kind.alias("message")
+    )
+    total = alerts.agg(count_rows().alias("count")).select(
+        F.lit("total").alias("part"), kind.alias("alert_type"), "count", F.lit(None).cast("timestamp").alias("alert_ts"),
+        kind.alias("message"),
+    )
+    newest = recent_alerts(alerts, latest).select(
+        F.lit("latest").alias("part"), "alert_type", F.lit(1).cast("bigint").alias("count"), "alert_ts", "message"
+    )
+    return total.unionByName(per_type).unionByName(newest)
+
+
 def alerts_for_top_errors(alerts: DataFrame, logs: DataFrame, n: int = 5) -> DataFrame:
-    """Alerts whose details or message contain one of the ``n`` most frequent error messages.
+    """Alerts whose details or message contain one of the ``n`` most frequent error messages that aren't blank.
 
     The messages reach the filter as one array of at most ``n`` strings, so the alerts are never shuffled.
     """
-    wanted = top_messages(logs, n).agg(F.collect_list("message")).scalar()
+    said = logs.filter(F.trim("message") != "")
+    wanted = top_messages(said, n).agg(F.collect_list("message")).scalar()
     text = F.concat_ws(" ", F.coalesce("details", F.lit("")), F.coalesce("message", F.lit("")))
     tagged = alerts.withColumn("_wanted", wanted).withColumn("_text", text)
     hit = F.exists("_wanted", lambda message: F.contains(F.col("_text"), message))
@@ -65,34 +82,45 @@ def in_cooldown(
     return latest.agg(F.coalesce(age_us < cooldown_s * 1_000_000, F.lit(False))).scalar()
 
 
+def sending_times(times: Column, cooldown_s: int, last: Column | None = None) -> Column:
+    """Of ascending times in microseconds those that send: each the first one at least the cooldown after the one before.
+
+    ``last`` is the time of a sending before them, if any.
+    """
+    start = F.struct(
+        (F.lit(None) if last is None else last).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("sent")
+    )
+
+    def step(state: Column, time: Column) -> Column:
+        sends = state["last"].isNull() | (time - state["last"] >= cooldown_s * 1_000_000)
+        sent = F.struct(time.alias("last"), F.array_append(state["sent"], time).alias("sent"))
+        return F.when(sends, sent).otherwise(state)
+
+    return F.aggregate(times, start, step, lambda state: state["sent"])
+
+
 def replay_cooldown(
     alerts: DataFrame, cooldown_s: int = 3600, tick_s: int = 60
 ) -> DataFrame:
     """Mark which alerts of a log would have been ``sent`` had the cooldown been applied all along.
 
-    Rules are checked once per tick, and all alerts of one check share its fate: a user's check sends if the last
-    sending one is at least ``cooldown_s`` earlier. What is folded in order is the user's checks, whose number is
-    bounded by the covered time and not by the number of alerts; the alerts themselves stay distributed.
+    Rules are checked once per tick, at the time of the tick's first alert, and all alerts of one check share its fate: a
+    user's check sends if the last sending one is at least ``cooldown_s`` earlier. Alerts without a user are one user's.
+    What is folded in order is the user's checks, whose number is bounded by the covered time and not by the number
+    of alerts; the alerts themselves stay distributed.
     """
     tick = F.floor(F.unix_seconds("alert_ts") / tick_s).cast("long")
     ticked = alerts.withColumn("_tick", tick)
-    checks = ticked.select("username", "_tick").distinct()
-    start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<bigint>").alias("sent"))
-    wait = -(-cooldown_s // tick_s)
-
-    def step(state: Column, check: Column) -> Column:
-        sends = state["last"].isNull() | (check - state["last"] >= wait)
-        sent = F.struct(check.alias("last"), F.array_append(state["sent"], check).alias("sent"))
-        return F.when(sends, sent).otherwise(state)
-
-    folded = checks.groupBy("username").agg(F.array_sort(F.collect_list("_tick")).alias("checks"))
+    checks = ticked.groupBy("username", "_tick").agg(F.min(F.unix_micros("alert_ts")).alias("_time"))
+    folded = checks.groupBy("username").agg(F.array_sort(F.collect_list("_time")).alias("times"))
     sending = folded.select(
-        "username", F.explode(F.aggregate("checks", start, step, lambda state: state["sent"])).alias("_tick")
-    ).withColumn("sent", F.lit(True))
+        F.col("username").alias("_user"), F.explode(sending_times(F.col("times"), cooldown_s)).alias("_time")
+    ).select("_user", F.floor(F.col("_time") / (tick_s * 1_000_000)).cast("long").alias("_sent_tick"))
+    same = F.col("username").eqNullSafe(F.col("_user")) & (F.col("_tick") == F.col("_sent_tick"))
     return (
-        ticked.join(sending, ["username", "_tick"], "left")
-        .withColumn("sent", F.coalesce("sent", F.lit(False)))
-        .drop("_tick")
+        ticked.join(sending, same, "left")
+        .withColumn("sent", F.col("_sent_tick").isNotNull())
+        .drop("_tick", "_user", "_sent_tick")
     )
 
 

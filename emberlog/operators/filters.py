@@ -106,25 +106,37 @@ def equals_choice(columns: Iterable[str], choice: str | None) -> Column:
 
 def has_keyword(columns: Iterable[str], query: str, regex: bool = False) -> Column:
     """A keyword in any searched column, ignoring case; literal unless ``regex``."""
-    query = query.strip().lower()
+    query = query.strip()
     if not query:
         return F.lit(True)
-    searched = [F.lower(name) for name in SEARCH_COLUMNS if name in columns]
-    hits = [column.rlike(query) if regex else column.contains(query) for column in searched]
+    searched = [name for name in SEARCH_COLUMNS if name in columns]
+    # The flag and not lower-casing: a pattern's \\D is not its \\d.
+    hits = [
+        F.col(name).rlike(f"(?iu){query}") if regex else F.lower(name).contains(query.lower()) for name in searched
+    ]
     return any_of(F.coalesce(hit, F.lit(False)) for hit in hits)
 
 
+def require(columns: Iterable[str], name: str) -> None:
+    """A condition on an absent column is an error; it must not be passed over."""
+    if name not in columns:
+        raise ValueError(f"there is no column {name!r} to filter by; available: {list(columns)}")
+
+
 def search_predicate(
     columns: Iterable[str], query: str = "", filters: SearchFilter = SearchFilter(), regex: bool = False
 ) -> Column:
     """Range, levels, services and keyword as one predicate."""
     columns = list(columns)
     parts = []
-    if filters.time_range and "timestamp" in columns:
+    if filters.time_range:
+        require(columns, "timestamp")
         parts.append(in_time_range(columns, *filters.time_range))
-    if "log_level" in columns:
+    if filters.levels:
+        require(columns, "log_level")
         parts.append(has_level(filters.levels))
-    if "service_name" in columns:
+    if filters.services:
+        require(columns, "service_name")
         parts.append(has_service(filters.services))
     parts.append(has_keyword(columns, query, regex))
     return all_of(parts)
@@ -153,10 +165,13 @@ def filter_data(
     services: Iterable[str] = (),
 ) -> DataFrame:
     """Dashboard filter: whole days, levels ignoring case, an exact choice and services."""
+    levels, services = list(levels), list(services)
     parts = [has_level(levels, ignore_case=True), equals_choice(df.columns, choice)]
     if days:
+        require(df.columns, "timestamp")
         parts.append(in_days(df.columns, *days))
-    if "service_name" in df.columns:
+    if services:
+        require(df.columns, "service_name")
         parts.append(has_service(services))
     return df.filter(all_of(parts))
 
@@ -166,6 +181,8 @@ def filter_errors(df: DataFrame) -> DataFrame:
 
 
 def error_examples(df: DataFrame, message: str, n: int = 100) -> DataFrame:
-    """Newest rows of one error message, display columns only."""
-    newest = filter_errors(df).filter(F.col("message") == message).orderBy(F.desc("timestamp"))
-    return project_existing(newest, ("timestamp", "log_level", "service_name", "message")).limit(n)
+    """Newest rows of one error message, display columns only; rows of one instant come in the order of their services."""
+    shown = project_existing(
+        filter_errors(df).filter(F.col("message") == message), ("timestamp", "log_level", "service_name", "message")
+    )
+    return shown.orderBy(F.desc("timestamp"), *[name for name in shown.columns if name != "timestamp"]).limit(n)

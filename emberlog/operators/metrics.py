@@ -124,44 +124,18 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     return df.agg(*[count(value).alias(name) for name, value in values.items()])
 
 
-def level_map(counts: DataFrame, listed: int = 1000) -> DataFrame:
-    """One row: total rows, total errors and a map of level counts, from a ``level_counts`` table.
-
-    A map lives in one row, so levels beyond the most frequent ``listed`` are summed up under ``OTHER_LEVELS``;
-    the whole distribution stays available as the ``level_counts`` table.
-    """
-    top = counts.orderBy(F.desc("count"), "log_level").limit(listed)
-    totals = counts.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(is_error(), F.col("count"))), F.lit(0)).alias("errors"),
-    )
-    pairs = F.array_sort(F.collect_list(F.struct("log_level", "count")))
-    rest = F.col("totals.rows") - F.col("listed_rows")
-    both = top.agg(pairs.alias("pairs"), F.coalesce(F.sum("count"), F.lit(0)).alias("listed_rows"))
-    both = both.withColumn("totals", totals.select(F.struct("rows", "errors")).scalar())
-    other = F.array(F.struct(F.lit("OTHER_LEVELS").alias("log_level"), rest.alias("count")))
-    return both.select(
-        F.col("totals.rows").alias("total_logs"),
-        F.col("totals.errors").alias("total_errors"),
-        F.map_from_entries(F.when(rest > 0, F.concat("pairs", other)).otherwise(F.col("pairs"))).alias(
-            "log_level_counts"
-        ),
-    )
-
-
 def summary(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """The one-row summary record: totals, error rate, level map and distinct counts."""
+    """The one-row summary record: totals, error rate and distinct counts. The levels are the ``level_counts`` table."""
     uniques = distinct_counts(df, approximate)
-    return (
-        level_map(level_counts(df))
-        .withColumn("uniques", uniques.select(F.struct(*uniques.columns)).scalar())
-        .select(
-            "total_logs",
-            "total_errors",
-            ratio(F.col("total_errors"), F.col("total_logs")).alias("error_rate"),
-            "log_level_counts",
-            "uniques.*",
-        )
+    totals = level_counts(df).agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("total_logs"),
+        F.coalesce(F.sum(F.when(is_error(), F.col("count"))), F.lit(0)).alias("total_errors"),
+    )
+    return totals.withColumn("uniques", uniques.select(F.struct(*uniques.columns)).scalar()).select(
+        "total_logs",
+        "total_errors",
+        ratio(F.col("total_errors"), F.col("total_logs")).alias("error_rate"),
+        "uniques.*",
     )
 
 

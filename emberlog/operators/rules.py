@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.config import Thresholds
@@ -16,6 +16,7 @@ from emberlog.operators.filters import filter_errors
 from emberlog.operators.metrics import count_rows, level_totals, ratio
 from emberlog.operators.ranking import top_messages
 from emberlog.operators.rolling import bursts
+from emberlog.sources.log_table import read_if_exists
 
 FIELDS = ("alert_type", "severity", "message", "details", "metrics")
 
@@ -193,23 +194,12 @@ def frequent_alert(df: DataFrame, limits: Thresholds = Thresholds()) -> DataFram
 def frequent_pattern_alert(
     df: DataFrame, in_cooldown: Column, limits: Thresholds = Thresholds()
 ) -> DataFrame:
-    """Interactive rule: all error messages above the limit are counted.
-
-    An alert is one row, so its text names the most frequent ones and how many more there are; the whole list is
-    the ``frequent_messages`` table.
-    """
+    """Interactive rule: all error messages above the limit. The messages are the rows of ``frequent_details``."""
     frequent = frequent_messages(df, limits.frequent_count)
-    leading = _leading(frequent, limits.top_listed, "- %s: %d occurrences").withColumns(
-        {"patterns": frequent.agg(count_rows()).scalar(), "cooling": in_cooldown}
-    )
+    leader = F.min(F.struct((-F.col("count")).alias("minus"), "message", "count"))
+    leading = frequent.agg(count_rows().alias("patterns"), leader.alias("first")).withColumn("cooling", in_cooldown)
     one = F.format_string("Frequent Error Detected: %s (%d times)", "first.message", "first.count")
     many = F.format_string("Multiple Frequent Errors Detected (%d types)", "patterns")
-    more = F.col("patterns") - F.col("listed")
-    details = F.concat(
-        F.lit(f"Errors occurring > {limits.frequent_count} times:\n"),
-        "lines",
-        F.when(more > 0, F.format_string("\n... and %d more", more)).otherwise(F.lit("")),
-    )
     # Alert type, severity and wording of the interactive frequency rule.
     return _fired(
         leading,
@@ -219,13 +209,31 @@ def frequent_pattern_alert(
                 "Frequent Error Pattern",
                 "Critical",
                 F.when(F.col("patterns") > 1, many).otherwise(one),
-                details,
+                F.lit(f"Errors occurring > {limits.frequent_count} times"),
                 _metrics(patterns=F.col("patterns"), top_count=F.col("first.count")),
             ),
         ),
     )
 
 
+def frequent_details(df: DataFrame, alerts: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
+    """(alert_id, rank, message, count) of every message behind the stamped frequency alerts among ``alerts``.
+
+    Equal counts share a rank, one more than the number of messages with a greater count. Ranks come from the
+    distinct counts, whose number grows with the root of the number of rows.
+    """
+    frequent = frequent_messages(df, limits.frequent_count)
+    greater = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = frequent.groupBy("count").agg(count_rows().alias("n")).select(
+        "count", (F.coalesce(F.sum("n").over(greater), F.lit(0)) + 1).alias("rank")
+    )
+    fired = alerts.filter(F.col("alert_type") == "Frequent Error Pattern").select("alert_id")
+    ranked = frequent.join(ranks, "count").withColumn("of", F.lit("Frequent Error Pattern"))
+    return fired.withColumn("of", F.lit("Frequent Error Pattern")).join(ranked, "of").select(
+        "alert_id", "rank", "message", "count"
+    )
+
+
 def burst_alert(df: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
     """Interactive rule: of the messages that burst, the one most frequent in total. Not subject to cooldown."""
     found = bursts(
@@ -295,14 +303,31 @@ def stamp(alerts: DataFrame, at: datetime | None = None, username: str | None =
 
 
 def with_alert_id(alerts: DataFrame) -> DataFrame:
-    content = F.concat_ws("|", F.unix_micros("alert_ts").cast("string"), "username", "alert_type", "message")
-    return alerts.withColumn("alert_id", F.sha2(content, 256)).select(
+    """Name each alert by its content; a null differs from an empty text."""
+    parts = (F.unix_micros("alert_ts").cast("string"), "username", "alert_type", "message", "details")
+    marked = [F.coalesce(F.concat(F.lit("="), part), F.lit("-")) for part in parts]
+    return alerts.withColumn("alert_id", F.sha2(F.concat_ws("|", *marked), 256)).select(
         "alert_id", "alert_ts", "username", "alert_type", "severity", "message", "details", "metrics"
     )
 
 
-def changed_since_check(df: DataFrame, last_count: int = -1) -> DataFrame:
+def changed_since_check(df: DataFrame, last_count: int | Column = -1) -> DataFrame:
     """One row: the current row count and whether it differs from the one of the last check."""
-    return df.agg(count_rows().alias("total_logs")).withColumn(
-        "changed", F.col("total_logs") != F.lit(last_count)
-    )
+    last = last_count if isinstance(last_count, Column) else F.lit(last_count)
+    return df.agg(count_rows().alias("total_logs")).withColumn("changed", ~F.col("total_logs").eqNullSafe(last))
+
+
+def check_for_change(df: DataFrame, base: str, username: str | None = None, at: datetime | None = None) -> DataFrame:
+    """Compare the row count with the user's last check below ``base`` and append this check there.
+
+    One row: total_logs, changed. The first check is a change. A check that is repeated after a failure adds its own row.
+    """
+    spark = df.sparkSession
+    checks = read_if_exists(spark, f"{base}/checks", "username string, checked_at timestamp, total_logs long")
+    last = checks.filter(F.col("username").eqNullSafe(username)).agg(F.max_by("total_logs", "checked_at"))
+    row = changed_since_check(df, last.scalar()).first()
+    moment = F.current_timestamp() if at is None else instant(at)
+    found = spark.createDataFrame([(row.total_logs, row.changed)], "total_logs long, changed boolean")
+    noted = found.select(F.lit(username).cast("string").alias("username"), moment.alias("checked_at"), "total_logs")
+    noted.write.mode("append").parquet(f"{base}/checks")
+    return found

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import logging
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,16 +14,21 @@ from emberlog.functions.timestamps import instant
 from emberlog.operators.rules import batch_alerts, stamp
 from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.plans.reports import export_all
+from emberlog.schema import validate_schema
 from emberlog.sinks.alerts import append_alert_lines, append_alerts
 from emberlog.sources.csv_logs import read_csv_logs
 from emberlog.sources.log_table import read_parsed, write_parsed
 
+log = logging.getLogger(__name__)
+
 
 def ingest(
     spark: SparkSession, paths: str | list[str], profile: ParseProfile = BATCH, interactive: bool = False
 ) -> DataFrame:
     """Raw CSV paths to a parsed table, lazily."""
     raw = read_csv_logs(spark, paths, profile)
+    if not validate_schema(raw, ["message"]):
+        log.warning("there is neither a message nor a content column: %s", raw.columns)
     return parse_logs_interactive(raw, profile) if interactive else parse_logs(raw, profile)
 
 
@@ -54,9 +60,12 @@ def run_batch(
     write_parsed(ingest(spark, paths, profile), parsed_path)
     parsed = read_parsed(spark, parsed_path)
     written = export_all(parsed, f"{out}/reports", top_n)
-    append_alerts(stamp(batch_alerts(parsed, limits), at, username), alerts_path)
+    # The moment is fixed here, so that the lines are those of this run's alerts.
+    moment = at or datetime.now(timezone.utc)
+    append_alerts(stamp(batch_alerts(parsed, limits), moment, username), alerts_path)
     alerts = spark.read.parquet(alerts_path)
-    append_alert_lines(alerts if at is None else alerts.filter(alerts.alert_ts == instant(at)), f"{out}/alert_lines")
+    of_run = alerts.filter((alerts.alert_ts == instant(moment)) & alerts.username.eqNullSafe(username))
+    append_alert_lines(of_run.dropDuplicates(["alert_id"]), f"{out}/alert_lines")
     return BatchResult(parsed_path, alerts_path, written)
 
 

@@ -27,9 +27,18 @@ def parse_logs(
     return df.select(*canonical, *[name for name in df.columns if name not in canonical])
 
 
-def parse_logs_interactive(df: DataFrame, profile: ParseProfile = INTERACTIVE) -> DataFrame:
-    """Interactive parse: levels and timestamps only, dropping rows whose timestamp does not parse."""
+def parse_logs_interactive(
+    df: DataFrame, profile: ParseProfile = INTERACTIVE, observation: Observation | None = None
+) -> DataFrame:
+    """Interactive parse: entity names, levels and timestamps, dropping rows whose timestamp does not parse.
+
+    An ``observation`` receives ``rows_seen`` and ``rows_kept`` as a by-product of whichever action runs next.
+    """
+    df = clean.rename_aliases(df, clean.ENTITY_ALIASES)
     if "timestamp" in df.columns:
         df = clean.normalize_timestamps(df, profile.default_year, profile.extra_layouts)
+        if observation is not None:
+            seen, kept = F.count(F.lit(1)).alias("rows_seen"), F.count("timestamp").alias("rows_kept")
+            df = df.observe(observation, seen, kept)
         df = clean.drop_null_timestamps(df)
     return clean.standardize_levels(df, profile.default_level, profile.level_aliases)

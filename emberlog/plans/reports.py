@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.config import DETAIL_COLUMNS
+from emberlog.functions.text import spaced_on_one_line
 from emberlog.operators import metrics, ranking
 from emberlog.operators.filters import filter_errors
 from emberlog.schema import project_existing
@@ -123,15 +124,17 @@ def export_reports(reports: dict[str, DataFrame], out: str) -> list[str]:
         if report.name not in reports:
             continue
         path = f"{out}/{report.form}/{report.folder or report.name}"
-        (export_csv if report.form == "csv" else export_json)(reports[report.name], path)
+        export = export_csv if report.form == "csv" else export_json
+        export(reports[report.name], path, single_file=report.name == "top_n_errors")
         written.append(path)
     return written
 
 
 def export_summary(df: DataFrame, out: str) -> str:
-    """Write the summary record as one JSON object."""
+    """Write the summary record as one JSON object, and the rows of every level beside it."""
     path = f"{out}/json/summary"
-    export_json(metrics.summary(df), path)
+    export_json(metrics.summary(df), path, single_file=True)
+    export_json(metrics.level_counts(df), f"{out}/json/level_counts")
     return path
 
 
@@ -152,7 +155,7 @@ def report_summary(df: DataFrame) -> DataFrame:
     peak = metrics.peak_error_hour(df)
     frequent = ranking.most_frequent_error(df)
     peak_text = F.format_string("%s (Count: %d)", "hour_range", "error_count")
-    frequent_text = F.format_string("%s (Count: %d)", F.translate("message", ",\n", "; "), "count")
+    frequent_text = F.format_string("%s (Count: %d)", spaced_on_one_line(F.col("message")), "count")
     return metrics.kpis(df).select(
         "total_logs",
         "total_errors",
@@ -187,12 +190,12 @@ def export_detail(df: DataFrame, out: str, form: str = "csv") -> list[str]:
     """Head and error rows of the downloadable report, as two outputs; the rows stay in many files."""
     head_path, rows_path = f"{out}/{form}/report_head", f"{out}/{form}/report_rows"
     if form == "csv":
-        export_csv(report_summary(df), head_path)
-        export_csv(error_detail(df), rows_path, single_file=False)
+        export_csv(report_summary(df), head_path, single_file=True)
+        export_csv(error_detail(df), rows_path)
     elif form == "json":
-        export_json(report_meta(df), head_path)
+        export_json(report_meta(df), head_path, single_file=True)
         rows = error_detail(df)
-        export_json(rows.withColumn("timestamp", F.col("timestamp").cast("string")), rows_path, single_file=False)
+        export_json(rows.withColumn("timestamp", F.col("timestamp").cast("string")), rows_path)
     else:
         export_parquet(report_summary(df), head_path)
         export_parquet(error_detail(df), rows_path)

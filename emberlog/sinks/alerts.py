@@ -11,7 +11,7 @@ from emberlog.sources.log_table import read_if_exists
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
     """Append stamped alert rows."""
-    alerts.select(*ALERTS.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    alerts.select(*ALERTS.fieldNames()).write.mode("append").parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
@@ -27,4 +27,4 @@ def alert_lines(alerts: DataFrame) -> DataFrame:
 
 
 def append_alert_lines(alerts: DataFrame, path: str) -> None:
-    alert_lines(alerts).coalesce(1).write.mode("append").text(path)
+    alert_lines(alerts).write.mode("append").text(path)

@@ -1,4 +1,4 @@
-"""Report files. Small results become one file; detail rows keep as many files as they have partitions."""
+"""Report files. Results keep as many files as they have partitions; one-row and top-n results can be put in one."""
 
 from __future__ import annotations
 
@@ -15,8 +15,8 @@ def flat_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.to_json(name) for name in nested})
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = True) -> None:
-    """CSV with a header line, text kept with its blanks; ``single_file`` is for small results."""
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
+    """CSV with a header line, text kept with its blanks; ``single_file`` is for results of bounded size."""
     out = flat_columns(df.coalesce(1) if single_file else df)
     (
         out.write.mode(mode)
@@ -29,15 +29,15 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: b
     )
 
 
-def export_json(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = True) -> None:
-    """JSON, one object per line; ``single_file`` is for small results."""
+def export_json(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
+    """JSON, one object per line; ``single_file`` is for results of bounded size."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("timestampFormat", TIMESTAMP_FORMAT).json(path)
 
 
-def export_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One JSON array of records with times as epoch milliseconds, for small results only: it is a single row."""
-    records = df.select(
+def export_json_array(df: DataFrame, path: str, mode: str = "overwrite", records: int = 1000) -> None:
+    """JSON arrays with times as epoch milliseconds: each line is an array of at most ``records`` rows."""
+    rows = df.select(
         *[
             F.unix_millis(F.col(f.name).cast("timestamp")).alias(f.name)
             if f.dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
@@ -45,8 +45,10 @@ def export_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> None
             for f in df.schema
         ]
     )
-    row = records.agg(F.to_json(F.collect_list(F.struct(*records.columns))).alias("value"))
-    row.coalesce(1).write.mode(mode).text(path)
+    # Ids are consecutive within a partition, so a group never holds more.
+    numbered = rows.select(F.struct(*rows.columns).alias("row"), F.monotonically_increasing_id().alias("n"))
+    parts = numbered.groupBy(F.floor(F.col("n") / records).alias("part"))
+    parts.agg(F.to_json(F.collect_list("row")).alias("value")).select("value").write.mode(mode).text(path)
 
 
 def export_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -26,9 +26,9 @@ from emberlog.schema import RAW
 log = logging.getLogger(__name__)
 
 FILES = "path string"
-HEADERS = "path string, header string, opened boolean, reachable boolean, modified timestamp, bytes long"
-# Bytes looked at for a header line: first a little, then at most this much.
-FIRST_BYTES, MOST_BYTES = 1 << 16, 1 << 22
+HEADERS = "path string, header string, opened boolean, reachable boolean"
+# Bytes looked at at once for a header line.
+BLOCK_BYTES = 1 << 16
 
 
 def list_files(
@@ -59,70 +59,98 @@ def same_file_key(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
-def _header_probe():
-    """The task function that looks up first line, size and modification time per path.
+def _header_probe(multi_line: bool):
+    """The task function that looks up the header of each path.
 
     It is built inside a function so that it travels to the executors by value; they need not have this package.
     """
     import pandas as pd
 
-    first_bytes, most_bytes = FIRST_BYTES, MOST_BYTES
+    block_bytes = BLOCK_BYTES
+
+    def record_end(data: bytes, start: int) -> int:
+        end = data.find(b"\n", start)
+        while multi_line and end >= 0 and data.count(b'"', start, end) % 2:  # a line break inside quotes
+            end = data.find(b"\n", end + 1)
+        return end
+
+    def header_of(stream) -> str:
+        """The first record that isn't blank, however long it is."""
+        data, start, block = b"", 0, b"more"
+        while block:
+            block = stream.read(block_bytes)
+            data += block
+            while (end := record_end(data, start)) >= 0:
+                line = data[start:end].decode("utf-8-sig", "replace").rstrip("\r")
+                if line.strip():
+                    return line
+                start = end + 1
+        return data[start:].decode("utf-8-sig", "replace")
 
     def probe(batches):
-        """First line, size and modification time per path, reading no more than the beginning of each file."""
+        """Header and state per path, reading no more of a file than its header takes."""
         from pyarrow import fs
 
         for batch in batches:
             rows = []
             for path in batch["path"]:
-                header, opened, reachable, modified, size = None, False, False, None, None
+                header, opened, reachable = None, False, False
                 try:
                     files, inside = fs.FileSystem.from_uri(path)
                     reachable = True
-                    info = files.get_file_info(inside)
-                    size, modified = info.size, info.mtime
                     with files.open_input_stream(inside) as stream:
-                        begin = stream.read(first_bytes)
-                        if b"\n" not in begin:
-                            begin += stream.read(most_bytes - first_bytes)
-                    header = begin.decode("utf-8-sig", "replace").split("\n", 1)[0].rstrip("\r")
+                        header = header_of(stream)
                     opened = True
                 except Exception:  # noqa: BLE001  any kind of unreadable file is reported, not fatal
                     pass
-                rows.append((path, header, opened, reachable, modified, size))
-            columns = ["path", "header", "opened", "reachable", "modified", "bytes"]
-            yield pd.DataFrame(rows, columns=columns).astype({"bytes": "Int64"})
+                rows.append((path, header, opened, reachable))
+            yield pd.DataFrame(rows, columns=["path", "header", "opened", "reachable"])
 
     return probe
 
 
 def _scan_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """First line per file by a Spark text scan, for file systems that the probe cannot open."""
-    lines = spark.read.option("ignoreCorruptFiles", True).text([readable_path(path) for path in paths])
-    start = lines.filter("_metadata.file_block_start = 0").select(
+    """First line with text per file by a Spark text scan, for file systems that the probe cannot open."""
+    lines = spark.read.text([readable_path(path) for path in paths])
+    start = lines.filter("_metadata.file_block_start = 0 AND trim(value) <> ''").select(
         F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("n")
     )
     first = start.groupBy("path").agg(F.min_by("value", "n").alias("header"))
     return {row.path: row.header.lstrip("\ufeff") for row in first.toLocalIterator()}
 
 
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Header line, size and modification time of each file, looked up by the executors."""
+def file_headers(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
+    """Header of each file, looked up by the executors."""
     if not paths:
         return spark.createDataFrame([], HEADERS)
     tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
     listed = spark.createDataFrame([(path,) for path in paths], FILES).repartition(tasks)
-    return listed.mapInPandas(_header_probe(), HEADERS)
+    return listed.mapInPandas(_header_probe(multi_line), HEADERS)
 
 
-def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+def file_states(
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = "*.csv", recursive: bool = False
+) -> DataFrame:
+    """(path, modified, bytes) of each file below the paths, as Spark's own listing has them; contents aren't read."""
+    files = list_files(spark, paths, glob, recursive)
+    if not files:
+        return spark.createDataFrame([], "path string, modified timestamp, bytes long")
+    listed = spark.read.format("binaryFile").load([readable_path(path) for path in files])
+    return listed.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_size").alias("bytes"),
+    )
+
+
+def group_by_header(spark: SparkSession, paths: list[str], multi_line: bool = False) -> dict[str, list[str]]:
     """Paths per header line. Unreadable and empty files are left out with a warning.
 
     What reaches the driver is one short row per file, of the same order as Spark's own file listing.
     """
     groups: dict[str, list[str]] = defaultdict(list)
     unreachable = []
-    for row in file_headers(spark, paths).toLocalIterator():
+    for row in file_headers(spark, paths, multi_line).toLocalIterator():
         if row.header and row.header.strip():
             groups[row.header].append(row.path)
         elif not row.reachable:
@@ -130,8 +158,7 @@ def group_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str
         else:
             log.warning("skipped %s file: %s", "empty" if row.opened else "unreadable", row.path)
     for path, header in (_scan_headers(spark, unreachable) if unreachable else {}).items():
-        if header.strip():
-            groups[header].append(path)
+        groups[header].append(path)
     return {header: sorted(groups[header]) for header in sorted(groups)}
 
 
@@ -151,7 +178,6 @@ def read_one_header(
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("multiLine", multi_line)
-        .option("ignoreCorruptFiles", True)
         .csv([readable_path(path) for path in paths])
     )
     named = [(p, name if name else f"_c{i}") for i, (p, name) in enumerate(zip(positional, names)) if name is not None]
@@ -169,21 +195,32 @@ def merge_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_files(
+def read_grouped(
     spark: SparkSession,
-    paths: list[str],
+    groups: dict[str, list[str]],
     profile: ParseProfile = BATCH,
     multi_line: bool = False,
     keep_path: bool = False,
 ) -> DataFrame:
-    """Listed CSV files as one raw table; without any readable file, an empty one with the required columns."""
+    """CSV files, given per header line, as one raw table; without any file, an empty one with the required columns."""
     frames = [
         standard_columns(read_one_header(spark, files, header, multi_line, keep_path), profile)
-        for header, files in group_by_header(spark, paths).items()
+        for header, files in groups.items()
     ]
     return merge_by_name(frames) if frames else spark.createDataFrame([], RAW)
 
 
+def read_files(
+    spark: SparkSession,
+    paths: list[str],
+    profile: ParseProfile = BATCH,
+    multi_line: bool = False,
+    keep_path: bool = False,
+) -> DataFrame:
+    """Listed CSV files as one raw table; a file that can't be read to its end fails the job that reads it."""
+    return read_grouped(spark, group_by_header(spark, paths, multi_line), profile, multi_line, keep_path)
+
+
 def read_csv_logs(
     spark: SparkSession,
     paths: str | Sequence[str],

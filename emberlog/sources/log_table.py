@@ -4,9 +4,11 @@ Layout below a base directory:
 
 * ``logs/batch_id=…/date=…`` — parsed rows. Inside a file rows are ordered by level, so that a query on errors
   skips most row groups by their statistics.
-* ``manifest`` — one small row per ingested source file. A batch counts as soon as its manifest rows are there;
-  what a batch that died half way has left behind is never read. A source file that changed is ingested again, and
-  its rows from earlier batches no longer count.
+* ``manifest`` — one small row per source file that was read. A batch counts as soon as its manifest rows are there;
+  what a batch that died half way has left behind is never read. A file that was skipped as empty or unreadable has no
+  row, so the next run tries it again.
+* ``superseded`` — (source_file, batch_id, by_batch) of files that changed and were ingested again: rows of the earlier
+  batch no longer count once the later one does.
 """
 
 from __future__ import annotations
@@ -21,10 +23,12 @@ from pyspark.sql.utils import AnalysisException
 from emberlog.config import BATCH, ParseProfile
 from emberlog.plans.parse import parse_logs
 from emberlog.schema import PARSED
-from emberlog.sources.csv_logs import file_headers, list_files, read_files, same_file_key
+from emberlog.sources.csv_logs import file_states, group_by_header, read_grouped, same_file_key
 
 FILE = "path string, modified timestamp, bytes long"
 MANIFEST = f"{FILE}, batch_id string, ingested timestamp"
+FILE_COLUMNS = ["path", "modified", "bytes"]
+SUPERSEDED = "source_file string, batch_id string, by_batch string"
 INGESTED = T.StructType(
     [*PARSED.fields, T.StructField("source_file", T.StringType()), T.StructField("batch_id", T.StringType())]
 )
@@ -59,11 +63,10 @@ def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def new_files(spark: SparkSession, base: str, paths: str | list[str], glob: str | None = "*.csv") -> DataFrame:
-    """Source files that are not in the manifest with their present modification time."""
-    manifest = read_if_exists(spark, f"{base}/manifest", MANIFEST)
-    present = file_headers(spark, list_files(spark, paths, glob)).select("path", "modified", "bytes")
-    known = (present["path"] == manifest["path"]) & present["modified"].eqNullSafe(manifest["modified"])
-    return present.join(manifest, known, "left_anti")
+    """Source files (path, modified, bytes) that are not in the manifest with their present time and length."""
+    manifest = read_if_exists(spark, f"{base}/manifest", MANIFEST).select(*FILE_COLUMNS)
+    # A state that is unknown matches nothing, so such a file is read again rather than never.
+    return file_states(spark, paths, glob).join(manifest, FILE_COLUMNS, "left_anti")
 
 
 def ingest_new(
@@ -73,16 +76,21 @@ def ingest_new(
     profile: ParseProfile = BATCH,
     glob: str | None = "*.csv",
 ) -> str | None:
-    """Parse the files not yet ingested into a new batch; its id, or None if there was nothing to do."""
-    fresh = new_files(spark, base, paths, glob).collect()
-    if not fresh:
+    """Parse the files not yet ingested into a new batch; its id, or None if there was nothing to read."""
+    fresh = {row.path: row for row in new_files(spark, base, paths, glob).toLocalIterator()}
+    groups = group_by_header(spark, sorted(fresh))
+    read = [fresh[path] for files in groups.values() for path in files]
+    if not read:
         return None
     batch_id = f"b{uuid.uuid4().hex}"
-    raw = read_files(spark, sorted(row.path for row in fresh), profile, keep_path=True)
+    raw = read_grouped(spark, groups, profile, keep_path=True)
     write_parsed(parse_logs(raw, profile), f"{base}/logs/batch_id={batch_id}", mode="errorifexists")
-    rows = spark.createDataFrame(fresh, FILE).withColumns(
-        {"batch_id": F.lit(batch_id), "ingested": F.current_timestamp()}
-    )
+    rows = spark.createDataFrame(read, FILE)
+    earlier = read_if_exists(spark, f"{base}/manifest", MANIFEST).join(rows.select("path"), "path", "left_semi")
+    replaced = earlier.select(same_file_key(F.col("path")).alias("source_file"), "batch_id", F.lit(batch_id).alias("by_batch"))
+    if not replaced.isEmpty():
+        replaced.distinct().write.mode("append").parquet(f"{base}/superseded")
+    rows = rows.withColumns({"batch_id": F.lit(batch_id), "ingested": F.current_timestamp()})
     rows.coalesce(1).write.mode("append").parquet(f"{base}/manifest")
     return batch_id
 
@@ -90,16 +98,19 @@ def ingest_new(
 def read_ingested(spark: SparkSession, base: str, extra_columns: bool = False) -> DataFrame:
     """Rows of every source file as of its latest finished batch.
 
+    Batches are picked by their directories. Only where files have been superseded are their rows taken out by a join.
     The canonical columns are read by their known schema. ``extra_columns`` adds the pass-through columns of all
     batches, which means looking at the schema of every file first.
     """
     manifest = spark.read.schema(MANIFEST).parquet(f"{base}/manifest")
-    current = manifest.groupBy(same_file_key(F.col("path")).alias("source_file")).agg(
-        F.max_by("batch_id", "ingested").alias("batch_id")
-    )
+    finished = sorted(row.batch_id for row in manifest.select("batch_id").distinct().toLocalIterator())
     reader = spark.read
     if extra_columns:
         rows = reader.option("mergeSchema", True).parquet(f"{base}/logs")
     else:
         rows = reader.schema(INGESTED).parquet(f"{base}/logs")
-    return rows.join(current, ["source_file", "batch_id"], "left_semi")
+    rows = rows.filter(F.col("batch_id").isin(finished))
+    replaced = read_if_exists(spark, f"{base}/superseded", SUPERSEDED).filter(F.col("by_batch").isin(finished))
+    if replaced.isEmpty():
+        return rows
+    return rows.join(replaced.select("source_file", "batch_id").distinct(), ["source_file", "batch_id"], "left_anti")

@@ -1,22 +1,27 @@
-"""Structured Streaming over a drop folder of CSV logs that share one schema.
+"""Structured Streaming over a drop folder of CSV logs, and over alerts.
 
-The running counts are written in update mode as plain Parquet, one directory per micro-batch. A repeated
-micro-batch overwrites its own directory, so a lost executor or a restart cannot count anything twice.
+Results are written as plain Parquet, one directory per micro-batch. A repeated micro-batch overwrites its own
+directory, so a lost executor or a restart cannot count anything twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from emberlog.config import BATCH, ParseProfile
 from emberlog.functions.timestamps import window_length
+from emberlog.operators.alert_log import sending_times
 from emberlog.operators.filters import filter_errors
 from emberlog.operators.metrics import count_rows
 from emberlog.plans.parse import parse_logs
-from emberlog.sources.csv_logs import standard_columns
+from emberlog.sources.csv_logs import read_files, standard_columns
+from emberlog.sources.log_table import read_if_exists
+
+# What Spark's source of whole files yields.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_stream(
@@ -26,9 +31,10 @@ def read_stream(
     profile: ParseProfile = BATCH,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Parsed rows of every CSV file that is or will be in the folder."""
+    """Parsed rows of every CSV file that is or will be in the folder; a file with another header fails the stream."""
     schema = T.StructType([T.StructField(name.lower(), T.StringType()) for name in columns])
     reader = spark.readStream.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+    reader = reader.option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return parse_logs(standard_columns(reader.csv(path), profile), profile)
@@ -72,20 +78,88 @@ def read_error_trends(spark: SparkSession, out: str) -> DataFrame:
     )
 
 
-def deduplicated_alerts(alerts: DataFrame, cooldown: str = "1 hour") -> DataFrame:
-    """Alerts of a stream, repeats of one user's alert type within the cooldown dropped."""
-    return alerts.withWatermark("alert_ts", cooldown).dropDuplicatesWithinWatermark(["username", "alert_type"])
+def start_folder_trends(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    size: str = "1h",
+    profile: ParseProfile = BATCH,
+    max_files_per_trigger: int | None = None,
+    once: bool = True,
+) -> StreamingQuery:
+    """The error trend of a drop folder whose files may have different headers.
+
+    The stream is that of the files' paths; each micro-batch reads its files by their headers, as ingest does, and
+    writes their counts per window. ``read_folder_trends`` adds them up.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        files = sorted(row.path for row in rows.toLocalIterator())
+        logs = parse_logs(read_files(spark, files, profile), profile)
+        span = F.window("timestamp", window_length(size))
+        counts = filter_errors(logs).groupBy(span.alias("span")).agg(count_rows().alias("error_count"))
+        counts = counts.select(F.col("span.start").alias("time_window"), "error_count")
+        counts.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    paths = reader.load(path).select(F.col("_metadata.file_path").alias("path"))
+    writer = paths.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_folder_trends(spark: SparkSession, out: str) -> DataFrame:
+    """The count of every window."""
+    return (
+        spark.read.parquet(out).groupBy("time_window").agg(F.sum("error_count").alias("error_count")).orderBy("time_window")
+    )
+
+
+def without_repeats(alerts: DataFrame, last: DataFrame, cooldown_s: int = 3600) -> DataFrame:
+    """Alerts that are sent, given (username, alert_type, last) in microseconds of what was sent before.
+
+    Per user and alert type, an alert is sent if none was sent less than the cooldown before it; of alerts of one instant
+    the one with the least id. Only the times of a user's type within one micro-batch are folded in order.
+    """
+    key = ["username", "alert_type"]
+    timed = alerts.withColumn("_time", F.unix_micros("alert_ts"))
+    times = timed.groupBy(*key).agg(F.array_sort(F.collect_set("_time")).alias("times"))
+    known = last.select(*(F.col(name).alias(f"_{name}") for name in key), "last")
+    same = F.col("username").eqNullSafe(F.col("_username")) & F.col("alert_type").eqNullSafe(F.col("_alert_type"))
+    folded = times.join(known, same, "left").select(
+        *(F.col(name).alias(f"_{name}") for name in key),
+        F.explode(sending_times(F.col("times"), cooldown_s, F.col("last"))).alias("_sent"),
+    )
+    sent = timed.join(folded, same & (F.col("_time") == F.col("_sent")))
+    order = Window.partitionBy(*key, "_time").orderBy("alert_id")
+    return sent.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*alerts.columns)
 
 
 def start_alert_dedup(
-    alerts: DataFrame, out: str, checkpoint: str, cooldown: str = "1 hour", once: bool = True
+    alerts: DataFrame, out: str, checkpoint: str, cooldown_s: int = 3600, once: bool = True
 ) -> StreamingQuery:
-    """Append the alerts that are not repeats to a Parquet table."""
-    writer = (
-        deduplicated_alerts(alerts, cooldown)
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .format("parquet")
-        .option("path", out)
-    )
+    """Write the alerts of a stream that are not repeats within the cooldown below ``out/sent``.
+
+    The state is a table: ``out/last/batch=n`` holds the last sending of every user and type after micro-batch n. However the
+    alerts are cut into micro-batches, the same ones are sent, as long as they arrive in the order of their times.
+    """
+    state = "username string, alert_type string, last bigint"
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        last = read_if_exists(spark, f"{out}/last/batch={batch_id - 1}", state)
+        without_repeats(rows, last, cooldown_s).write.mode("overwrite").parquet(f"{out}/sent/batch={batch_id}")
+        sent = spark.read.schema(rows.schema).parquet(f"{out}/sent/batch={batch_id}")
+        both = last.unionByName(sent.select("username", "alert_type", F.unix_micros("alert_ts").alias("last")))
+        newest = both.groupBy("username", "alert_type").agg(F.max("last").alias("last"))
+        newest.write.mode("overwrite").parquet(f"{out}/last/batch={batch_id}")
+
+    writer = alerts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_sent_alerts(spark: SparkSession, out: str) -> DataFrame:
+    """All alerts that were sent."""
+    return spark.read.parquet(f"{out}/sent").drop("batch")

@@ -149,7 +149,13 @@ def test_frequent_lists_ten_and_pattern_counts_all(spark):
     assert text.count("\n- ") == 10 and "- m24: 30\n" in text and "m14" not in text
     alert = rules.frequent_pattern_alert(df, F.lit(False)).first()
     assert alert.message == "Multiple Frequent Errors Detected (25 types)"
-    assert alert.details.endswith("- m05: 11 occurrences\n... and 5 more")
+    assert alert.metrics["patterns"] == "25"
+    stamped = rules.stamp(rules.frequent_pattern_alert(df, F.lit(False)), START)
+    details = sorted(tuples(rules.frequent_details(df, stamped), "rank", "message", "count"))
+    assert details == [(k + 1, f"m{24 - k:02}", 30 - k) for k in range(25)]
+    assert {r.alert_id for r in rules.frequent_details(df, stamped).collect()} == {stamped.first().alert_id}
+    tied = logs(spark, (9, "ERROR", "a"), (9, "ERROR", "b"), (7, "ERROR", "c"))
+    assert sorted(tuples(rules.frequent_details(tied, stamped), "rank", "message")) == [(1, "a"), (1, "b"), (3, "c")]
     assert alert.metrics == {"patterns": "25", "top_count": "30"}
     assert rules.frequent_messages(df).count() == 25
 
@@ -237,6 +243,40 @@ def test_replayed_cooldown_against_brute_force(spark):
     assert out.count() == 400
 
 
+def test_replayed_cooldown_compares_seconds_and_takes_alerts_without_a_user(spark):
+    seconds = [59, 3600, 3659, 3661]
+    rows = [(user, START + timedelta(seconds=s), "A") for user in ("ann", None) for s in seconds]
+    out = alert_log.replay_cooldown(alert_table(spark, rows))
+    for user in ("ann", None):
+        mine = sorted((int((r.alert_ts - START).total_seconds()), r.sent) for r in out.collect() if r.username == user)
+        # The check of minute 60 is at 3600, not an hour after 59, and 3659 shares its fate.
+        assert mine == [(59, True), (3600, False), (3659, False), (3661, True)]
+
+
+def test_checks_remember_the_last_count(spark, tmp_path):
+    base, df = str(tmp_path), logs(spark, (3, "ERROR", "a"))
+    found = [rules.check_for_change(df, base, "ann", START + timedelta(hours=k)).first() for k in range(2)]
+    assert [(r.total_logs, r.changed) for r in found] == [(3, True), (3, False)]
+    assert rules.check_for_change(df, base, "bob", START).first().changed
+    assert rules.check_for_change(df.limit(2), base, "ann", START + timedelta(hours=3)).first().changed
+
+
+def test_alert_overview_lists_the_latest_ten(spark):
+    rows = [("ann", START + timedelta(hours=k), "AB"[k % 2]) for k in range(14)]
+    parts = tuples(alert_log.alert_overview(alert_table(spark, rows)), "part", "alert_type", "count")
+    assert parts[0] == ("total", None, 14) and sorted(parts[1:3]) == [("type", "A", 7), ("type", "B", 7)]
+    assert [p for p, *_ in parts].count("latest") == 10
+
+
+def test_alert_ids_tell_null_from_empty(spark):
+    rows = alert_table(spark, [("ann", START, "A")])
+    ids = {
+        rules.with_alert_id(rows.withColumn("username", F.lit(user).cast("string")).withColumn("details", F.lit(text))).first().alert_id
+        for user in (None, "", "ann") for text in ("x", "y")
+    }
+    assert len(ids) == 6
+
+
 def test_alert_queries(spark):
     rows = [("ann", START + timedelta(hours=i), "A" if i % 3 else "B") for i in range(60)] + [("bob", START, "A")]
     alerts = alert_table(spark, rows)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, time
 
 import pytest
+from pyspark.sql import functions as F
 
 from emberlog.operators import clean, filters, metrics, ranking
 from emberlog.operators.filters import SearchFilter
@@ -29,7 +30,7 @@ def test_sample_counts(sample):
     assert tuples(metrics.kpis(sample)) == [(10, 4, 2, 40.0)]
     assert tuples(metrics.level_split(sample)) == [("INFO", 4), ("WARN", 2), ("ERROR", 4)]
     row = metrics.summary(sample).first()
-    assert row.log_level_counts == {"INFO": 3, "WARN": 2, "ERROR": 4, "CRITICAL": 1}
+    assert dict(tuples(metrics.level_counts(sample))) == {"INFO": 3, "WARN": 2, "ERROR": 4, "CRITICAL": 1}
     assert (row.total_logs, row.total_errors, row.error_rate) == (10, 4, 0.4)
     assert (row.unique_ips, row.unique_services, row.unique_error_types) == (1, 1, 4)
 
@@ -67,7 +68,8 @@ def test_empty_table(empty):
     assert tuples(metrics.error_rate(empty)) == [(0.0,)]
     assert tuples(metrics.kpis(empty)) == [(0, 0, 0, 0.0)]
     row = metrics.summary(empty).first()
-    assert (row.total_logs, row.total_errors, row.error_rate, row.log_level_counts) == (0, 0, 0.0, {})
+    assert (row.total_logs, row.total_errors, row.error_rate) == (0, 0, 0.0)
+    assert tuples(metrics.level_counts(empty)) == []
     assert tuples(metrics.peak_error_hour(empty)) == []
     assert tuples(metrics.auto_granularity(empty)) == [(None, "hour")]
     head = reports.report_summary(empty).first()
@@ -76,11 +78,13 @@ def test_empty_table(empty):
     assert [row[0] for row in metrics.level_values(empty).collect()] == ["DEBUG", "ERROR", "INFO", "WARN"]
 
 
-def test_level_map_beyond_the_listed(spark):
-    counts = spark.createDataFrame([("A", 5), ("B", 3), ("C", 2), ("ERROR", 1)], "log_level string, count long")
-    row = metrics.level_map(counts, listed=2).first()
-    assert row.log_level_counts == {"A": 5, "B": 3, "OTHER_LEVELS": 3}
-    assert (row.total_logs, row.total_errors) == (11, 1)
+def test_no_level_is_left_out(spark, tmp_path):
+    many = spark.range(3000).select(
+        F.concat(F.lit("L"), "id").alias("log_level"), *(F.lit("x").alias(c) for c in ("ip_address", "service_name", "error_type"))
+    )
+    reports.export_summary(many, str(tmp_path))
+    levels = spark.read.json(f"{tmp_path}/json/level_counts")
+    assert levels.count() == 3000 and spark.read.json(f"{tmp_path}/json/summary").first().total_logs == 3000
 
 
 def test_approximate_distinct_counts(sample):

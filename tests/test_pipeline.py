@@ -11,7 +11,7 @@ import pytest
 from emberlog.operators import metrics
 from emberlog.operators.rules import with_alert_id
 from emberlog.plans import reports
-from emberlog.plans.batch import run_batch
+from emberlog.plans.batch import ingest, run_batch
 from emberlog.plans.parse import parse_logs
 from emberlog.streaming import drop_folder
 from tests.conftest import HEADER, SAMPLE, tuples
@@ -19,8 +19,8 @@ from tests.test_alerting import alert_table
 
 
 def one_file(folder, suffix):
-    (file,) = Path(folder).glob(f"part-*{suffix}")
-    return file.read_text()
+    """The text of all files of a report in their order."""
+    return "".join(file.read_text() for file in sorted(Path(folder).glob(f"part-*{suffix}")))
 
 
 def test_batch_run(spark, write_csv, tmp_path):
@@ -36,7 +36,9 @@ def test_batch_run(spark, write_csv, tmp_path):
         "UnknownError,1",
     ]
     summary = json.loads(one_file(f"{out}/reports/json/summary", ".json"))
-    assert summary["total_logs"] == 10 and summary["log_level_counts"]["ERROR"] == 4
+    assert summary["total_logs"] == 10
+    levels = spark.read.json(f"{out}/reports/json/level_counts")
+    assert dict(tuples(levels, "log_level", "count"))["ERROR"] == 4
     by_day = [json.loads(line) for line in one_file(f"{out}/reports/json/errors_by_day", ".json").splitlines()]
     assert by_day == [{"date": "2026-03-01", "error_count": 3}, {"date": "2026-03-02", "error_count": 1}]
     alerts = spark.read.parquet(result.alerts_path)
@@ -115,24 +117,71 @@ def test_stream_rejects_too_late_rows(spark, write_csv, tmp_path):
     assert stream_once(spark, tmp_path) == before
 
 
+def dedup_stream(spark, folder, out, checkpoint):
+    schema = alert_table(spark, [("a", datetime(2024, 1, 1), "A")]).schema
+    stream = spark.readStream.schema(schema).parquet(folder)
+    drop_folder.start_alert_dedup(stream, out, checkpoint).awaitTermination()
+    return sorted(tuples(drop_folder.read_sent_alerts(spark, out), "username", "alert_ts", "alert_type"), key=repr)
+
+
 def test_streamed_alert_dedup(spark, tmp_path):
     start, hour = datetime(2024, 1, 1), timedelta(hours=1)
     drop, out = str(tmp_path / "alerts"), str(tmp_path / "kept")
 
     def run(*rows):
         alert_table(spark, rows).write.mode("append").parquet(drop)
-        stream = spark.readStream.schema(alert_table(spark, [("a", start, "A")]).schema).parquet(drop)
-        drop_folder.start_alert_dedup(stream, out, str(tmp_path / "cp")).awaitTermination()
-        return sorted(tuples(spark.read.parquet(out), "username", "alert_ts", "alert_type"))
+        return dedup_stream(spark, drop, out, str(tmp_path / "cp"))
 
-    first = run(("ann", start, "A"), ("bob", start, "A"), ("ann", start, "B"))
-    assert len(first) == 3
+    first = run(("ann", start, "A"), ("bob", start, "A"), ("ann", start, "B"), (None, start, "A"))
+    assert len(first) == 4
     # A repeat within the hour is dropped, another user's first alert is not.
-    second = run(("ann", start + hour / 2, "A"), ("eve", start + hour / 2, "A"))
-    assert len(second) == 4
-    # Once the watermark has passed the cooldown, the type may be sent again.
-    run(("zoe", start + 9 * hour, "Z"))
-    assert ("ann", start + 9 * hour, "A") in run(("ann", start + 9 * hour, "A"))
+    second = run(("ann", start + hour / 2, "A"), ("eve", start + hour / 2, "A"), (None, start + hour / 2, "A"))
+    assert len(second) == 5
+    # After exactly the cooldown the type may be sent again.
+    assert ("ann", start + hour, "A") in run(("ann", start + hour, "A"))
+
+
+def test_streamed_dedup_is_the_same_for_one_and_many_batches(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = sorted(((f"u{k % 3}", start + timedelta(minutes=37 * k + k % 5), "AB"[k % 2]) for k in range(120)), key=lambda r: r[1])
+    rows += [("u0", rows[-1][1] + timedelta(hours=5 * k), "A") for k in range(1, 11)]
+    expected, last = [], {}
+    for user, at, kind in rows:
+        if (user, kind) not in last or at - last[user, kind] >= timedelta(hours=1):
+            last[user, kind] = at
+            expected.append((user, at, kind))
+    alert_table(spark, rows).write.parquet(str(tmp_path / "one"))
+    assert dedup_stream(spark, str(tmp_path / "one"), str(tmp_path / "o1"), str(tmp_path / "c1")) == sorted(expected, key=repr)
+    for k in range(0, len(rows), 26):
+        alert_table(spark, rows[k : k + 26]).write.mode("append").parquet(str(tmp_path / "many"))
+        found = dedup_stream(spark, str(tmp_path / "many"), str(tmp_path / "o2"), str(tmp_path / "c2"))
+    assert found == sorted(expected, key=repr)
+
+
+def test_folder_trend_with_two_orders_of_columns(spark, write_csv, tmp_path):
+    order = [3, 5, 1, 2, 0, 4]
+    write_csv("drop/a.csv", HEADER, *SAMPLE[:5])
+    write_csv("drop/b.csv", [HEADER[k] for k in order], *[[row[k] for k in order] for row in SAMPLE[5:]])
+    drop, out, checkpoint = (str(tmp_path / name) for name in ("drop", "out", "cp"))
+    for _ in range(2):
+        drop_folder.start_folder_trends(spark, drop, out, checkpoint, max_files_per_trigger=1).awaitTermination()
+        got = tuples(drop_folder.read_folder_trends(spark, out))
+        assert got == tuples(metrics.error_trends(ingest(spark, drop)))
+
+
+def test_stream_fails_on_another_header(spark, write_csv, tmp_path):
+    write_csv("drop/a.csv", ["Level", "Content", "Date", "Time"], ["ERROR", "x", "2024-01-01", "00:00:01"])
+    with pytest.raises(Exception, match="(?i)header"):
+        stream_once(spark, tmp_path)
+
+
+def test_batch_runs_append_their_own_lines(spark, write_csv, tmp_path):
+    path, out = write_csv("logs/a.csv", HEADER, *SAMPLE), str(tmp_path / "out")
+    per_run = []
+    for _ in range(3):
+        result = run_batch(spark, path, out)
+        per_run.append((spark.read.parquet(result.alerts_path).count(), spark.read.text(f"{out}/alert_lines").count()))
+    assert per_run[0][0] > 0 and per_run == [(k * per_run[0][0],) * 2 for k in (1, 2, 3)]
 
 
 def test_alert_ids_are_stable(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from dataclasses import replace
 from datetime import date, datetime
@@ -11,12 +12,13 @@ from pyspark.sql import Observation
 from pyspark.sql import types as T
 
 from emberlog.config import BATCH, INTERACTIVE
-from emberlog.operators import clean
+from emberlog.operators import clean, filters
 from emberlog.plans.batch import ingest, ingest_interactive
-from emberlog.plans.parse import parse_logs
+from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.schema import PARSED, missing_columns, validate_schema
 from emberlog.sinks import history
 from emberlog.sources import csv_logs, log_table
+from emberlog.sources.csv_logs import group_by_header, list_files, read_csv_logs, read_files
 from tests.conftest import HEADER, SAMPLE, tuples
 
 
@@ -185,6 +187,74 @@ def test_incremental_ingest(spark, write_csv, tmp_path):
     assert log_table.read_ingested(spark, base).count() == 6
 
 
+def test_headers_behind_blank_lines(spark, tmp_path):
+    texts = {"a": "\n \nTimestamp,Level,Content\n2024-01-01 00:00:00,INFO,a\n", "b": "\ufeff\r\n\r\nLevel,Content\r\nWARN,b\r\n",
+             "c": "Level,Content," + ",".join(f"x{k}" for k in range(400_000)) + "\nERROR,c\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8", newline="")
+    found = group_by_header(spark, list_files(spark, str(tmp_path)))
+    assert sorted(len(header) for header in found)[:2] == [13, 23] and len(found) == 3
+    small = [path for header, paths in found.items() for path in paths if len(header) < 100]
+    assert sorted(tuples(read_files(spark, small), "log_level", "message")) == [("INFO", "a"), ("WARN", "b")]
+
+
+def test_quoted_header_over_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\nLevel,"Con\ntent",Message\nINFO,x,"two\nlines"\n')
+    df = read_csv_logs(spark, str(tmp_path), multi_line=True)
+    assert tuples(df, "log_level", "message") == [("INFO", "two\nlines")]
+
+
+def test_skipped_files_are_tried_again(spark, write_csv, tmp_path):
+    base, drop = str(tmp_path / "table"), str(tmp_path / "drop")
+    write_csv("drop/a.csv", HEADER, *SAMPLE[:4])
+    (tmp_path / "drop" / "b.csv").write_text("\n\n")
+    assert log_table.ingest_new(spark, base, drop)
+    assert spark.read.parquet(f"{base}/manifest").count() == 1
+    assert tuples(log_table.new_files(spark, base, drop).selectExpr("path LIKE '%b.csv'")) == [(True,)]
+    assert log_table.ingest_new(spark, base, drop) is None
+    write_csv("drop/b.csv", HEADER, *SAMPLE[4:])
+    assert log_table.ingest_new(spark, base, drop)
+    assert log_table.read_ingested(spark, base).count() == 10
+    # Without superseded files there is no join on the table.
+    plan = log_table.read_ingested(spark, base)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "PartitionFilters: [batch_id" in plan
+
+
+def test_interactive_layouts_and_dropped_rows(spark):
+    texts = ["1/5/2024 3:04:05 PM", "1/5/2024 12:04 am", "January 5, 2024 15:04:05", "Jan 5, 2024 03:04:05 pm", "5-Jan-2024 15:04:05",
+             "5 January 2024 15:04:05", "2024-01-05 03:04:05 PM", "2024-01-05 15:04:05", "May 5, 2024", "no time at all", None]
+    seen = Observation()
+    parsed = parse_logs_interactive(spark.createDataFrame([(x,) for x in texts], "timestamp string"), observation=seen)
+    afternoon = datetime(2024, 1, 5, 15, 4, 5)
+    assert [r.timestamp for r in parsed.collect()] == [
+        afternoon, datetime(2024, 1, 5, 0, 4), *[afternoon] * 6, datetime(2024, 5, 5)
+    ]
+    assert seen.get == {"rows_seen": 11, "rows_kept": 9}
+
+
+def test_interactive_services_can_be_searched(spark):
+    raw = spark.createDataFrame([("2024-01-01", "auth", "code 77"), ("2024-01-02", "pay", "code x")], "timestamp string, service string, message string")
+    df = parse_logs_interactive(raw)
+    assert filters.search_logs(df, filters=filters.SearchFilter(services=("auth",))).count() == 1
+    assert filters.search_logs(df, "AUTH").count() == 1 and filters.filter_data(df, services=["pay"]).count() == 1
+    assert filters.search_logs(df, r"CODE \D", regex=True).first().message == "code x"
+    with pytest.raises(ValueError, match="service_name"):
+        filters.search_logs(df.drop("service_name"), filters=filters.SearchFilter(services=("auth",)))
+
+
+def test_ingest_warns_without_messages(spark, write_csv, caplog):
+    ingest(spark, write_csv("x.csv", ["Timestamp", "Level"], ["2024-01-01", "INFO"]))
+    assert "neither a message nor a content column" in caplog.text
+
+
+def test_json_arrays_are_bounded(spark, tmp_path):
+    from emberlog.sinks.reports import export_json_array
+
+    export_json_array(spark.range(25).coalesce(1), str(tmp_path / "j"), records=10)
+    lines = [r.value for r in spark.read.text(str(tmp_path / "j")).collect()]
+    assert sorted(len(json.loads(line)) for line in lines) == [5, 10, 10]
+
+
 def test_history(spark, sample, tmp_path):
     base = str(tmp_path)
     assert history.read_history(spark, base).count() == 0

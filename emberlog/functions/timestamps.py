@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# How a text of the ISO family begins.
+ISO = r"^[+-]?\d{4,6}(-|$)"
 # Fixed values: (shape, Spark pattern) of the layouts beyond the ISO family.
 SHORT_YEAR = (r"^\d{2}/\d{1,2}/\d{1,2} ", "yy/MM/dd HH:mm:ss")
 SYSLOG = (r"^[A-Za-z]{3} \d", "yyyy MMM d HH:mm:ss")
@@ -40,11 +42,6 @@ EXTRA_LAYOUTS = (
 WEEKDAY_PREFIX = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? "
 
 
-def _time_only(text: Column) -> Column:
-    """A bare time of day, which a plain cast would complete with the date of the run: its first colon comes early."""
-    return F.instr(text, ":").between(1, 4)
-
-
 def _patterned(value: Column, candidate: Column, shape: str, pattern: str) -> Column:
     return F.when(value.rlike(shape), F.try_to_timestamp(candidate, F.lit(pattern)))
 
@@ -57,7 +54,7 @@ def parse_timestamp(value: Column, default_year: int = 2025, extra_layouts: bool
     """
     given = F.trim(value)
     # A half of the day must not be passed over, so the plain cast never sees one.
-    plain_cast = ~_time_only(given) & ~F.upper(F.substring(given, -2, 2)).isin("AM", "PM")
+    plain_cast = given.rlike(ISO) & ~F.upper(F.substring(given, -2, 2)).isin("AM", "PM")
     attempts = [F.when(plain_cast, F.try_to_timestamp(given))]
     text = F.regexp_replace(given, r"\s+", " ")
     attempts.append(_patterned(text, text, *SHORT_YEAR))

@@ -5,9 +5,11 @@ Two documents link when their sets' Jaccard coefficient reaches the threshold. T
 
 1. Documents with equal sets form a class; one of them stands for it.
 2. A first pass links what shares the least hash of its set: documents are dealt by it into bounded tiles, and only a
-   document's link to its tile is kept. This joins most copies without any pair being written down.
-3. The prefix rule gives all other candidates: linked sets share one of their least hashes, as many as the threshold says.
-   Prefix hashes whose documents are already joined are dropped, and those with the same documents count once.
+   document's link to its tile is kept. This joins most copies without any pair being written down. Steps 3 to 5 are first
+   done with the next ``LEADS`` least hashes only, which leaves few documents of one component apart, then with all.
+3. The prefix rule gives all other candidates: linked sets share one of their first hashes, as many as the threshold says,
+   in any order of the hashes that is the same for all sets. The order is ascending, with hashes that many documents share
+   at the end, so that common passages bring few documents together. Prefix hashes whose documents are already joined are dropped, and those with the same documents count once.
 4. What shares a prefix hash is dealt into tiles by size band, a document also as a guest of the next larger band, since
    linked sets differ in size by a bounded factor. A tile with many documents is cut into blocks of bounded rows and
    bytes that are compared two by two. A bitmap of the parities of hashed buckets bounds the overlap from above: each bit in
@@ -29,7 +31,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
@@ -40,6 +42,10 @@ N = 5
 PART, WHOLE = 3, 4
 #: A block of a tile holds at most about so many documents and so many bytes of sets.
 BLOCK_ROWS, BLOCK_BYTES = 2048, 32 << 20
+#: An element is common when so many different sets have it in their prefixes, counted where several of one batch do.
+COMMON, COMMON_MOST = 4, 500_000
+#: So many hashes of each set, after the least, are tried for joining it before all other candidates.
+LEADS = 3
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -227,12 +233,18 @@ def with_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def summaries(docs: DataFrame) -> DataFrame:
-    """(id, n, key, first, prefix, bits) of each row of (id, text); key and what follows are null for empty sets."""
+    """(id, n, key, first, prefix, bits) of each row of (id, text); key and what follows are null for empty sets.
+
+    Besides, each batch gives rows for the elements that several of its sets have in their prefixes: their number
+    negated as n, and the elements that so many have as the prefix.
+    """
 
     def summarise(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
+        names = ["id", "n", "key", "first", "prefix", "bits"]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
         for batch in batches:
+            prefixes = {}
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 rows = []
@@ -242,16 +254,81 @@ def summaries(docs: DataFrame) -> DataFrame:
                     if n:
                         prefix = found[: prefix_size(n)].view(np.int64)
                         key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+                        prefixes[key] = prefix
                         rows.append((n, key, int(prefix[0]), prefix, bitmap(found, fitting_width(n)).tobytes()))
                     else:
                         rows.append((0, None, None, None, None))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", "n", "key", "first", "prefix", "bits"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
+            if prefixes:
+                values, counts = np.unique(np.concatenate(list(prefixes.values())), return_counts=True)
+                for count in np.unique(counts[counts > 1]).tolist():
+                    marker = (None, -count, None, None, values[counts == count], None)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x], t) for x, t in zip(marker, (pa.int64(), *kinds), strict=True)], names
+                    )
 
     schema = "id bigint, n bigint, key binary, first bigint, prefix array<bigint>, bits binary"
     return docs.select("id", "text").mapInArrow(summarise, schema)
 
 
+def common_elements(base: DataFrame) -> np.ndarray:
+    """Elements that many documents share, ascending; the commonest ``COMMON_MOST`` of them.
+
+    They only shape the order in which prefixes are taken, and any set of them gives the same links.
+    """
+    found = base.filter("n < 0").select(F.explode("prefix").alias("token"), (-F.col("n")).alias("sets"))
+    counted = found.groupBy("token").agg(F.sum("sets").alias("sets")).filter(F.col("sets") >= COMMON)
+    rows = counted.orderBy(F.desc("sets"), "token").limit(COMMON_MOST).select("token").toPandas()
+    return np.sort(rows["token"].to_numpy(np.int64))
+
+
+def contained(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which values are in an ascending array."""
+    at = np.searchsorted(ascending, values)
+    at[at == len(ascending)] = 0
+    return ascending[at] == values
+
+
+def rare_first(docs: DataFrame, heavy: DataFrame, common: np.ndarray) -> DataFrame:
+    """heavy (id, prefix, bits) with prefixes in an order that puts the common elements last.
+
+    A prefix without any of them is the same in both orders. The others are taken anew from the texts.
+    """
+    if not len(common):
+        return heavy
+
+    def touched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = batch.column(1)
+            ends = np.cumsum(np.r_[0, contained(prefixes.values.to_numpy(), common)])[prefixes.offsets.to_numpy()]
+            yield batch.select([0]).filter(pa.array(ends[1:] > ends[:-1]))
+
+    again = checkpointed(heavy.select("id", "prefix").mapInArrow(touched, "id bigint").distinct())
+
+    def anew(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                rows = []
+                for key, text in zip(part.column(1).to_pylist(), part.column(0).to_pylist(), strict=True):
+                    found = shingler(text)
+                    if len(found):
+                        last = contained(found.view(np.int64), common)
+                        ordered = np.concatenate([found[~last], found[last]])[: prefix_size(len(found))]
+                        rows.append((key, ordered.view(np.int64), bitmap(found, fitting_width(len(found))).tobytes()))
+                if rows:
+                    kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary()]
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, ["id", "prefix", "bits"])
+
+    few = hinted(again)
+    texts = docs.join(few, "id").select("text", "id")
+    renewed = checkpointed(texts.mapInArrow(anew, "id bigint, prefix array<bigint>, bits binary"))
+    return heavy.join(few, "id", "left_anti").unionByName(renewed)
+
+
 def blocks(count, total):
     """Into how many parts a tile is cut."""
     by_bytes = F.ceil(total * 8 / BLOCK_BYTES)
@@ -264,52 +341,79 @@ def in_tiles(df: DataFrame, keys: list[str], function: Callable, schema: str) ->
     return dealt.sortWithinPartitions(*keys).mapInArrow(function, schema)
 
 
-def joined_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, comp): step 2 for the classes (id, n, first); an id may come twice."""
-    crowded = classes.groupBy("first").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
-    dealt = classes.join(crowded, "first").select(
-        "id", "first", F.pmod(F.xxhash64("id"), blocks(F.col("c"), F.col("s"))).cast("int").alias("block")
+def joined_by_token(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b): links between documents that share their token; rows has (token, id, n).
+
+    Only a link of each document to its part of the tile is found here, and parts of a cut tile aren't compared.
+    """
+    crowded = rows.groupBy("token").agg(F.count("*").alias("c"), F.sum("n").alias("s")).filter("c > 1")
+    dealt = rows.join(crowded, "token").select(
+        "token", "id", F.pmod(F.xxhash64("id"), blocks(F.col("c"), F.col("s"))).cast("int").alias("block")
     )
     dealt = checkpointed(dealt)
-    sets = with_sets(docs.join(hinted(dealt), "id"), ["first", "block", "id"])
+    sets = with_sets(docs.join(hinted(dealt), "id"), ["token", "block", "id"])
 
     def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_group(batches, 2):
-            if table.num_rows > 1:
-                ids = numbers(table, "id")
-                found = [x.values.to_numpy().view(np.uint64) for x in table.column("hashes")]
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(join_within(found, ids))], ["id", "comp"])
+            yield changes(numbers(table, "id"), table.column("hashes"))
+
+    links = in_tiles(sets, ["token", "block"], join, "a bigint, b bigint").distinct()
+    return checkpointed(links)
+
+
+def changes(comps: np.ndarray, hashes: pa.ChunkedArray) -> pa.RecordBatch:
+    """(a, b) of the components that the sets' links join to others."""
+    found = [x.values.to_numpy().view(np.uint64) for x in hashes]
+    after = join_within(found, comps)
+    changed = after != comps
+    return pa.RecordBatch.from_arrays([pa.array(comps[changed]), pa.array(after[changed])], ["a", "b"])
+
+
+def merged_by(known: DataFrame, links: DataFrame) -> DataFrame:
+    """known (id, n, comp) with each component renamed to the least that it is linked to directly."""
+    least = links.groupBy("a").agg(F.min("b").alias("b"))
+    joined = known.join(hinted(least), F.col("comp") == F.col("a"), "left")
+    return checkpointed(joined.select("id", "n", F.coalesce("b", "comp").alias("comp")))
+
+
+def in_bands(members: DataFrame) -> DataFrame:
+    """Each member of a token's documents as an owner in its size band and as a guest in the next larger one.
 
-    return in_tiles(sets, ["first", "block"], join, "id bigint, comp bigint")
+    The first common element of two linked sets lies early in the order of the smaller one: at most a share of
+    (WHOLE - PART) / (WHOLE + PART) of its elements come before. Only there (``early``) can a document be a guest.
+    """
+    # ln(WHOLE / PART) is the width of a band, so linked sets lie in one band or in neighbours.
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(WHOLE / PART)) + 1e-9).cast("int")
+    early = F.col("place") * (WHOLE + PART) <= F.col("n") * (WHOLE - PART)
+    own = F.struct(band.alias("band"), F.lit(True).alias("owner"), early.alias("early"))
+    guest = F.struct((band + 1).alias("band"), F.lit(False).alias("owner"), early.alias("early"))
+    return members.select("*", F.inline(F.when(early, F.array(own, guest)).otherwise(F.array(own)))).drop("place")
 
 
-def further_links(docs: DataFrame, heavy: DataFrame, known: DataFrame) -> DataFrame:
-    """(a, b): steps 3 to 5, links between the components of ``known`` (id, n, comp); heavy has (id, prefix, bits)."""
-    rows = heavy.join(hinted(known), "id")
-    tokens = rows.select("id", "n", "comp", F.explode("prefix").alias("token"))
+def further_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b): links between the components of documents that share a token; rows has (id, n, comp, bits, tokens)."""
+    tokens = rows.select("id", "n", "comp", F.posexplode("tokens").alias("place", "token"))
     shared = tokens.groupBy("token").agg(
         F.count("*").alias("c"), F.sum("n").alias("s"), F.bit_xor(F.xxhash64("id")).alias("who"),
-        F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum("place").alias("places"),
     ).filter("low <> high")
-    # Of hashes with the very same documents one is enough.
-    shared = shared.groupBy("c", "who").agg(F.min("token").alias("token"), F.max("s").alias("s"))
+    # Of hashes with the very same documents the first is enough; it comes first in all of them.
+    shared = shared.groupBy("c", "who").agg(F.min_by("token", "places").alias("token"), F.max("s").alias("s"))
     shared = checkpointed(shared.select("token", blocks(F.col("c"), F.col("s")).alias("parts")))
-    if small_enough(shared):
-        wide = rows.select("id", "n", "comp", "bits", F.explode("prefix").alias("token"))
-        members = wide.join(F.broadcast(shared), "token")
+    few = small_enough(shared)
+    hint = F.broadcast(shared) if few else shared
+    # Bitmaps only go where an owner has company of another component.
+    full = in_bands(tokens.join(hint, "token")).groupBy("token", "band").agg(
+        F.max("owner").alias("owned"), F.max("early").alias("early"), F.min("comp").alias("low"), F.max("comp").alias("high")
+    ).filter("owned AND early AND low <> high")
+    full = hinted(checkpointed(full.select("token", "band")))
+    if few:
+        wide = rows.select("id", "n", "comp", "bits", F.posexplode("tokens").alias("place", "token"))
+        members = in_bands(wide.join(hint, "token")).join(full, ["token", "band"])
     else:
-        members = tokens.join(shared, "token").join(heavy.select("id", "bits"), "id")
-    # ln(WHOLE / PART) is the width of a band, so linked sets lie in one band or in neighbours.
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(WHOLE / PART)) + 1e-9).cast("int")
-    members = members.withColumn("band", band)
-    members = members.select(
-        "token", "id", "n", "comp", "bits", "parts",
-        F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("own"),
-        F.inline(F.array(
-            F.struct(F.col("band").alias("band"), F.lit(True).alias("owner")),
-            F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("owner")),
-        )),
-    )
+        members = in_bands(tokens.join(hint, "token")).join(full, ["token", "band"])
+        members = members.join(rows.select("id", "bits").dropDuplicates(["id", "bits"]), "id")
+    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     members = members.select(
         F.xxhash64("token", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
@@ -338,16 +442,11 @@ def further_links(docs: DataFrame, heavy: DataFrame, known: DataFrame) -> DataFr
     left = checkpointed(left)
     kept = left.groupBy("who").agg(F.min("tile").alias("tile"))
     left = checkpointed(left.join(kept, ["who", "tile"]).select("tile", "id", "comp").distinct())
-    sets = with_sets(docs.join(hinted(left), "id"), ["tile", "id", "comp"])
+    sets = with_sets(docs.join(hinted(left), "id"), ["tile", "comp"])
 
     def verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in by_group(batches, 1):
-            comps = numbers(table, "comp")
-            found = [x.values.to_numpy().view(np.uint64) for x in table.column("hashes")]
-            after = join_within(found, comps)
-            changed = after != comps
-            if changed.any():
-                yield pa.RecordBatch.from_arrays([pa.array(comps[changed]), pa.array(after[changed])], ["a", "b"])
+            yield changes(numbers(table, "comp"), table.column("hashes"))
 
     return in_tiles(sets, ["tile"], verified, "a bigint, b bigint").distinct()
 
@@ -355,28 +454,33 @@ def further_links(docs: DataFrame, heavy: DataFrame, known: DataFrame) -> DataFr
 def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of each row; see the module. Ids are integers."""
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    base = checkpointed(summaries(docs))
+    summary = checkpointed(summaries(docs))
+    base = summary.filter("n >= 0")
     filled = base.filter("key IS NOT NULL AND id IS NOT NULL")
-    classes = filled.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("first").alias("first"))
+    classes = filled.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("first").alias("token"))
     classes = checkpointed(classes)
-    stand_ins = classes.select("id", "n", "first")
-    first = checkpointed(joined_first(docs, stand_ins))
-    nearest = first.groupBy("id").agg(F.min("comp").alias("comp"))
-    known = stand_ins.select("id", "n").join(nearest, "id", "left")
-    known = known.groupBy("id").agg(F.max("n").alias("n"), F.min(F.coalesce("comp", "id")).alias("comp"))
-    known = checkpointed(known)
-    links = further_links(docs, filled.select("id", "prefix", "bits"), known)
-    # An id with several texts may have been joined to several components at once, or stand in several classes.
-    again = first.join(nearest.withColumnRenamed("comp", "a"), "id").select("a", F.col("comp").alias("b"))
+    first = classes.select("token", "id", "n")
+    links = joined_by_token(docs, first)
+    known = merged_by(classes.groupBy("id").agg(F.max("n").alias("n")).withColumn("comp", F.col("id")), links)
+
+    heavy = filled.select("id", "prefix", "bits").join(hinted(known.select("id")), "id", "left_semi")
+
+    def described(rows: DataFrame, tokens: Column) -> DataFrame:
+        return rows.select("id", "bits", tokens.alias("tokens")).join(hinted(known), "id")
+
+    # The least hash has been used above.
+    more = checkpointed(further_links(docs, described(heavy, F.slice("prefix", 2, LEADS))))
+    known = merged_by(known, more)
+    rest = further_links(docs, described(rare_first(docs, heavy, common_elements(summary)), F.col("prefix")))
+    links = links.union(more).union(rest)
+    # An id with several texts may stand in several classes.
     rows = base.join(hinted(classes.select("key", F.col("id").alias("class"))), "key", "left").select("id", "n", "class")
     torn = rows.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    torn = rows.join(torn, "id").select("class", "low").distinct()
-    comp_of = known.select(F.col("id").alias("at"), "comp")
-    torn = torn.join(comp_of, F.col("class") == F.col("at")).select("low", F.col("comp").alias("a"))
-    torn = torn.join(comp_of, F.col("low") == F.col("at")).select("a", F.col("comp").alias("b"))
-    labels = components(links.select("a", "b").union(again).union(torn))
-    final = known.join(labels, F.col("comp") == F.col("node"), "left")
-    final = final.select(F.col("id").alias("class"), F.coalesce("label", "comp").alias("component_id"))
+    torn = rows.join(torn, "id").select(F.col("low").alias("a"), F.col("class").alias("b"))
+    joined = known.select(F.col("id").alias("a"), F.col("comp").alias("b")).filter("a <> b")
+    labels = components(links.union(torn).union(joined))
+    final = known.join(labels, F.col("id") == F.col("node"), "left")
+    final = final.select(F.col("id").alias("class"), F.coalesce("label", "id").alias("component_id"))
     joined = rows.join(hinted(final), "class", "left")
     alone = F.coalesce("component_id", "id")
     return joined.select(

@@ -118,6 +118,7 @@ def test_ngram_components_against_brute_force(spark, monkeypatch, rows, broadcas
     from emberlog.llm import shared
 
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "COMMON_MOST", rows)
     real = shared.small_enough
     for module in (shared, ngram_join):
         monkeypatch.setattr(module, "small_enough", lambda df, limit=broadcast: real(df, limit))
@@ -133,6 +134,21 @@ def test_ngram_components_against_brute_force(spark, monkeypatch, rows, broadcas
     assert ngram_join.ngram_components(df.limit(0)).count() == 0
 
 
+def test_ngram_components_near_the_threshold(spark, monkeypatch):
+    """Stretches of one long line, so that sets overlap by a little more or less than the threshold."""
+    monkeypatch.setattr(ngram_join, "COMMON_MOST", 60)
+    dice = random.Random(4)
+    line, docs = [f"x{k}" for k in range(300)], []
+    for key in range(450):
+        size, start = dice.choice([8, 12, 16, 20, 24, 30, 40]), dice.randrange(120)
+        own = [f"r{dice.randrange(10**6)}" for _ in range(dice.choice([0, 0, 1, 2, 3, 5]))]
+        docs.append((key * 31 % 997, " ".join(line[start : start + size] + own)))
+    got = ngram_join.ngram_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    want = brute_components(docs)
+    want.pop(None)
+    assert {r.doc_id: r.component_id for r in got} == want and 100 < len(set(want.values())) < 400
+
+
 def test_words_hash_alike_only_if_equal():
     shingler = ngram_join.Shingler()
     texts = ["a", "b", "aa", "ab", "ba", "a b", "b a", "a b c d e", "a b c d e f", "é", "\x00", "a\x00"]

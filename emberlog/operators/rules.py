@@ -217,7 +217,7 @@ def frequent_pattern_alert(
 
 
 def frequent_details(df: DataFrame, alerts: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:
-    """(alert_id, rank, message, count) of every message behind the stamped frequency alerts among ``alerts``.
+    """(alert_id, rank, message, count) of every message behind the stamped frequency alert among one check's ``alerts``.
 
     Equal counts share a rank, one more than the number of messages with a greater count. Ranks come from the
     distinct counts, whose number grows with the root of the number of rows.
@@ -227,11 +227,9 @@ def frequent_details(df: DataFrame, alerts: DataFrame, limits: Thresholds = Thre
     ranks = frequent.groupBy("count").agg(count_rows().alias("n")).select(
         "count", (F.coalesce(F.sum("n").over(greater), F.lit(0)) + 1).alias("rank")
     )
-    fired = alerts.filter(F.col("alert_type") == "Frequent Error Pattern").select("alert_id")
-    ranked = frequent.join(ranks, "count").withColumn("of", F.lit("Frequent Error Pattern"))
-    return fired.withColumn("of", F.lit("Frequent Error Pattern")).join(ranked, "of").select(
-        "alert_id", "rank", "message", "count"
-    )
+    fired = alerts.filter(F.col("alert_type") == "Frequent Error Pattern").agg(F.max("alert_id"))
+    named = frequent.join(ranks, "count").withColumn("alert_id", fired.scalar())
+    return named.filter(F.col("alert_id").isNotNull()).select("alert_id", "rank", "message", "count")
 
 
 def burst_alert(df: DataFrame, limits: Thresholds = Thresholds()) -> DataFrame:

@@ -35,15 +35,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
-from emberlog.llm.shared import checkpointed, hinted, partitions, small_enough
+from emberlog.llm.shared import checkpointed, hinted, partitions, small_batches, small_enough
 
 N = 5
 #: The threshold as a fraction.
 PART, WHOLE = 3, 4
 #: A block of a tile holds at most about so many documents and so many bytes of sets.
 BLOCK_ROWS, BLOCK_BYTES = 2048, 32 << 20
-#: An element is common when so many different sets have it in their prefixes, counted where several of one batch do.
+#: An element is common when so many different sets have it in their prefixes, counted where several looked at together do.
 COMMON, COMMON_MOST = 4, 500_000
+#: A task looks for such elements among so many sets at a time.
+COUNTED_SETS = 8192
 #: So many hashes of each set, after the least, are tried for joining it before all other candidates.
 LEADS = 3
 
@@ -235,7 +237,7 @@ def with_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
 def summaries(docs: DataFrame) -> DataFrame:
     """(id, n, key, first, prefix, bits) of each row of (id, text); key and what follows are null for empty sets.
 
-    Besides, each batch gives rows for the elements that several of its sets have in their prefixes: their number
+    Besides, there are rows for the elements that several sets looked at together have in their prefixes: their number
     negated as n, and the elements that so many have as the prefix.
     """
 
@@ -243,8 +245,19 @@ def summaries(docs: DataFrame) -> DataFrame:
         shingler = Shingler()
         names = ["id", "n", "key", "first", "prefix", "bits"]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        prefixes: dict[bytes, np.ndarray] = {}
+
+        def several() -> Iterator[pa.RecordBatch]:
+            if prefixes:
+                values, counts = np.unique(np.concatenate(list(prefixes.values())), return_counts=True)
+                prefixes.clear()
+                for count in np.unique(counts[counts > 1]).tolist():
+                    marker = (None, -count, None, None, values[counts == count], None)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([x], t) for x, t in zip(marker, (pa.int64(), *kinds), strict=True)], names
+                    )
+
         for batch in batches:
-            prefixes = {}
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 rows = []
@@ -252,7 +265,7 @@ def summaries(docs: DataFrame) -> DataFrame:
                     found = shingler(text)
                     n = len(found)
                     if n:
-                        prefix = found[: prefix_size(n)].view(np.int64)
+                        prefix = found[: prefix_size(n)].view(np.int64).copy()
                         key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                         prefixes[key] = prefix
                         rows.append((n, key, int(prefix[0]), prefix, bitmap(found, fitting_width(n)).tobytes()))
@@ -260,13 +273,9 @@ def summaries(docs: DataFrame) -> DataFrame:
                         rows.append((0, None, None, None, None))
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
-            if prefixes:
-                values, counts = np.unique(np.concatenate(list(prefixes.values())), return_counts=True)
-                for count in np.unique(counts[counts > 1]).tolist():
-                    marker = (None, -count, None, None, values[counts == count], None)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x], t) for x, t in zip(marker, (pa.int64(), *kinds), strict=True)], names
-                    )
+            if len(prefixes) >= COUNTED_SETS:
+                yield from several()
+        yield from several()
 
     schema = "id bigint, n bigint, key binary, first bigint, prefix array<bigint>, bits binary"
     return docs.select("id", "text").mapInArrow(summarise, schema)
@@ -453,6 +462,11 @@ def further_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of each row; see the module. Ids are integers."""
+    with small_batches(df.sparkSession):
+        return _components_of(df, id_col, text_col)
+
+
+def _components_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     summary = checkpointed(summaries(docs))
     base = summary.filter("n >= 0")

@@ -217,16 +217,16 @@ def bpe_code(
     def code(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(Vocabulary(tokenizer))
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            numbers, ids, decoded = [], [], []
-            for start in range(0, len(texts), 256):
-                for listed, text in coder.code(texts[start : start + 256]):
+            for start in range(0, batch.num_rows, 256):  # what is held of results is bounded by so many texts
+                part = batch.slice(start, 256)
+                numbers, ids, decoded = [], [], []
+                for listed, text in coder.code([text or "" for text in part.column(1).to_pylist()]):
                     numbers.append(listed.count(" ") + 1 if listed else 0)
                     ids.append(hashlib.sha256(listed.encode()).hexdigest() if digests else listed)
                     decoded.append(hashlib.sha256(text.encode()).hexdigest() if digests else text)
-            columns = [batch.column(0), pa.array(numbers, pa.int64()), pa.array(ids), pa.array(decoded)]
-            columns[2:] = [pa.array(x, pa.string()) for x in (ids, decoded)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "ids", "decoded"])
+                columns = [pa.array(numbers, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["id", "n", "ids", "decoded"])
+            pa.default_memory_pool().release_unused()
 
     chosen = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     result = chosen.mapInArrow(code, f"id {kind.simpleString()}, n bigint, ids string, decoded string")

@@ -27,7 +27,7 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 # Texts are worked on in parts of so many characters, and the words of finished parts are kept up to so many.
 PART_CHARS = 4_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 
 WORD_END = "</w>"
 # Letters whose class and lower case don't depend on the version of Unicode; others are left to the library.

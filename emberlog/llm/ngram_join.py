@@ -3,7 +3,8 @@
 Words are lower-cased (A-Z) and split at white space; a document's set holds the 64-bit hashes of its distinct n-grams.
 Two documents link when their sets' Jaccard coefficient reaches the threshold. The steps:
 
-1. Documents with equal sets form a class; one of them stands for it.
+1. Texts with equal sets form a class with a number of its own (its node), and one text stands for it. All that follows
+   joins nodes, each of which is there once, however many rows and texts its id has.
 2. A first pass links what shares the least hash of its set: documents are dealt by it into bounded tiles, and only a
    document's link to its tile is kept. This joins most copies without any pair being written down. Steps 3 to 5 are first
    done with the next ``LEADS`` least hashes only, which leaves few documents of one component apart, then with all.
@@ -20,7 +21,8 @@ Two documents link when their sets' Jaccard coefficient reaches the threshold. T
 So no link between different texts is lost, although a group of copies costs about one comparison per document.
 
 A null or empty text has an empty set and links with nothing. A text of fewer than ``N`` words has its whole sequence as its one
-element. Rows with equal ids are one document whose texts all count; a null id links with nothing and has a null component.
+element. Rows with equal ids are one document whose texts all count, each as a set of its own; they are joined at the end.
+A null id links with nothing and has a null component.
 Exact copies and repeated rows get the same component. Other columns are ignored. An empty table gives an empty one.
 """
 
@@ -33,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlog.llm.components import components
 from emberlog.llm.shared import checkpointed, hinted, partitions, small_batches, small_enough
@@ -96,6 +99,11 @@ class Shingler:
             return np.unique(mixed(grams))
 
 
+def class_key(hashes: np.ndarray) -> bytes:
+    """What names a set that is not empty."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def prefix_size(n: int) -> int:
     """So many of its least elements a set may need to share one with every set that it links with."""
     return n - -(-n * PART // WHOLE) + 1
@@ -266,7 +274,7 @@ def summaries(docs: DataFrame) -> DataFrame:
                     n = len(found)
                     if n:
                         prefix = found[: prefix_size(n)].view(np.int64).copy()
-                        key = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
+                        key = class_key(found)
                         prefixes[key] = prefix
                         rows.append((n, key, int(prefix[0]), prefix, bitmap(found, fitting_width(n)).tobytes()))
                     else:
@@ -281,6 +289,54 @@ def summaries(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(summarise, schema)
 
 
+def with_keys(docs: DataFrame, text_col: str) -> DataFrame:
+    """The rows with the key of their text's set as ``key``; null for an empty set."""
+    names = docs.columns
+    place = names.index(text_col)
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                sets = (shingler(text) for text in part.column(place).to_pylist())
+                keys = pa.array([class_key(found) if len(found) else None for found in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, keys], [*names, "key"])
+
+    return docs.mapInArrow(keyed, T.StructType([*docs.schema.fields, T.StructField("key", T.BinaryType())]))
+
+
+def repeated_ids(base: DataFrame) -> DataFrame:
+    """(id) of several rows."""
+    counted = base.filter("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows"))
+    return checkpointed(counted.filter("rows > 1").select("id"))
+
+
+def numbered(classes: DataFrame) -> DataFrame:
+    """classes with their node: the id, or for all but the first class of an id a number made of the key."""
+    several = classes.groupBy("id").agg(F.min("key").alias("main"), F.count("*").alias("c")).filter("c > 1")
+    several = hinted(checkpointed(several.select("id", "main")))
+    first = F.col("main").isNull() | (F.col("main") == F.col("key"))
+    return classes.join(several, "id", "left").withColumn("node", F.when(first, F.col("id")).otherwise(F.xxhash64("key"))).drop("main")
+
+
+def one_of_each(docs: DataFrame, filled: DataFrame, classes: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, text) and (id, prefix, bits) with one row of each class, whose node is the id."""
+    if repeated.isEmpty():
+        return docs, filled.select("id", "prefix", "bits").join(hinted(classes.select("id")), "id", "left_semi")
+    single = hinted(repeated)
+    among = hinted(checkpointed(classes.join(single, "id", "left_semi").select("id", "key", "node")))
+    several = with_keys(docs.join(single, "id", "left_semi").select("id", "text"), "text")
+    texts = several.join(among, ["id", "key"]).groupBy("node").agg(F.min("text").alias("text"))
+    texts = checkpointed(texts.select(F.col("node").alias("id"), "text"))
+    described = filled.select("id", "key", "prefix", "bits").join(among, ["id", "key"])
+    described = described.select(F.col("node").alias("id"), "prefix", "bits").dropDuplicates(["id"])
+    alone = filled.select("id", "prefix", "bits").join(single, "id", "left_anti")
+    alone = alone.join(hinted(classes.select("id")), "id", "left_semi")
+    rest = docs.select("id", "text").join(single, "id", "left_anti")
+    return rest.unionByName(texts), alone.unionByName(checkpointed(described))
+
+
 def common_elements(base: DataFrame) -> np.ndarray:
     """Elements that many documents share, ascending; the commonest ``COMMON_MOST`` of them.
 
@@ -406,7 +462,7 @@ def further_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
         F.count("*").alias("c"), F.sum("n").alias("s"), F.bit_xor(F.xxhash64("id")).alias("who"),
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum("place").alias("places"),
     ).filter("low <> high")
-    # Of hashes with the very same documents the first is enough; it comes first in all of them.
+    # A document is there once, so nothing cancels out. Of hashes with the very same documents the first is enough; it comes first in all of them.
     shared = shared.groupBy("c", "who").agg(F.min_by("token", "places").alias("token"), F.max("s").alias("s"))
     shared = checkpointed(shared.select("token", blocks(F.col("c"), F.col("s")).alias("parts")))
     few = small_enough(shared)
@@ -421,7 +477,7 @@ def further_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
         members = in_bands(wide.join(hint, "token")).join(full, ["token", "band"])
     else:
         members = in_bands(tokens.join(hint, "token")).join(full, ["token", "band"])
-        members = members.join(rows.select("id", "bits").dropDuplicates(["id", "bits"]), "id")
+        members = members.join(rows.select("id", "bits"), "id")
     members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     members = members.select(
@@ -466,18 +522,18 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return _components_of(df, id_col, text_col)
 
 
-def _components_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+def _linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Of (id, text): the summary of each row, ids of several rows, classes (id, key, n, node) and links of nodes (a, b)."""
     summary = checkpointed(summaries(docs))
     base = summary.filter("n >= 0")
     filled = base.filter("key IS NOT NULL AND id IS NOT NULL")
     classes = filled.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("first").alias("token"))
-    classes = checkpointed(classes)
-    first = classes.select("token", "id", "n")
+    classes = checkpointed(numbered(checkpointed(classes)))
+    repeated = repeated_ids(base)
+    docs, heavy = one_of_each(docs, filled, classes, repeated)
+    first = classes.select("token", F.col("node").alias("id"), "n")
     links = joined_by_token(docs, first)
-    known = merged_by(classes.groupBy("id").agg(F.max("n").alias("n")).withColumn("comp", F.col("id")), links)
-
-    heavy = filled.select("id", "prefix", "bits").join(hinted(known.select("id")), "id", "left_semi")
+    known = merged_by(first.select("id", "n", F.col("id").alias("comp")), links)
 
     def described(rows: DataFrame, tokens: Column) -> DataFrame:
         return rows.select("id", "bits", tokens.alias("tokens")).join(hinted(known), "id")
@@ -486,15 +542,27 @@ def _components_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     more = checkpointed(further_links(docs, described(heavy, F.slice("prefix", 2, LEADS))))
     known = merged_by(known, more)
     rest = further_links(docs, described(rare_first(docs, heavy, common_elements(summary)), F.col("prefix")))
-    links = links.union(more).union(rest)
-    # An id with several texts may stand in several classes.
-    rows = base.join(hinted(classes.select("key", F.col("id").alias("class"))), "key", "left").select("id", "n", "class")
-    torn = rows.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    torn = rows.join(torn, "id").select(F.col("low").alias("a"), F.col("class").alias("b"))
     joined = known.select(F.col("id").alias("a"), F.col("comp").alias("b")).filter("a <> b")
-    labels = components(links.union(torn).union(joined))
-    final = known.join(labels, F.col("id") == F.col("node"), "left")
-    final = final.select(F.col("id").alias("class"), F.coalesce("label", "id").alias("component_id"))
+    return base, repeated, classes, links.union(more).union(rest).union(joined)
+
+
+def _components_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    base, repeated, classes, links = _linked_classes(docs)
+    rows = base.join(hinted(classes.select("key", F.col("node").alias("class"))), "key", "left").select("id", "n", "class")
+    if not repeated.isEmpty():
+        # An id with several texts may stand in several classes, and its empty texts go with the others.
+        spread = rows.join(hinted(repeated), "id").groupBy("id").agg(F.min("class").alias("low"))
+        spread = checkpointed(spread.filter("low IS NOT NULL"))
+        torn = rows.join(hinted(spread), "id").filter("class <> low").select(F.col("low").alias("a"), F.col("class").alias("b"))
+        links = links.union(torn)
+        rows = rows.join(hinted(spread), "id", "left").select("id", "n", F.coalesce("class", "low").alias("class"))
+    labels = components(links)
+    nodes = classes.select(F.col("id").alias("least"), "node")
+    named = labels.join(nodes, "node").groupBy("label").agg(F.min("least").alias("component_id"))
+    final = labels.join(hinted(named), "label").select(F.col("node").alias("class"), "component_id")
+    final = nodes.withColumnRenamed("node", "class").join(final, "class", "left")
+    final = final.select("class", F.coalesce("component_id", "least").alias("component_id"))
     joined = rows.join(hinted(final), "class", "left")
     alone = F.coalesce("component_id", "id")
     return joined.select(
@@ -502,3 +570,34 @@ def _components_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), alone).alias("component_id"),
     )
+
+
+def one_row_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each group of linked texts one row: of the least id, and of its rows the least by text, then by the other columns.
+
+    Here the texts of one id are not taken together, so one that is unlike the others stays. Of an id's empty texts one row
+    stays, and rows without an id all stay. All columns must have an order.
+    """
+    with small_batches(df.sparkSession):
+        key = F.col(id_col).cast("bigint")
+        base, repeated, classes, links = _linked_classes(df.select(key.alias("id"), F.col(text_col).alias("text")))
+        labels = components(links)
+        first = labels.join(classes.select("id", "key", "node"), "node").groupBy("label").agg(
+            F.min(F.struct("id", "key", "node")).alias("first")
+        )
+        gone = labels.join(first.select(F.col("first.node").alias("node")), "node", "left_anti").select("node")
+        kept = classes.join(hinted(checkpointed(gone)), "node", "left_anti").select("id", "key")
+        empty = base.filter("key IS NULL AND id IS NOT NULL").select("id", "key").distinct()
+        kept = checkpointed(kept.unionByName(empty).withColumnRenamed("id", "_id"))
+        nameless = df.filter(key.isNull())
+        named = df.withColumn("_id", key)
+        if repeated.isEmpty():
+            return named.join(hinted(kept), "_id").select(*df.columns).unionByName(nameless)
+        several = hinted(repeated.withColumnRenamed("id", "_id"))
+        single = named.join(several, "_id", "left_anti").join(hinted(kept), "_id").select(*df.columns)
+        keyed = with_keys(named.join(several, "_id", "left_semi").select("_id", *df.columns), text_col)
+        wanted = hinted(kept.withColumnsRenamed({"_id": "_of", "key": "_key"}))
+        keyed = keyed.join(wanted, (F.col("_id") == F.col("_of")) & F.col("key").eqNullSafe(F.col("_key")))
+        order = F.struct(text_col, *(name for name in df.columns if name != text_col))
+        chosen = keyed.groupBy("_id", "_key").agg(F.min(order).alias("row")).select("row.*").select(*df.columns)
+        return single.unionByName(chosen).unionByName(nameless)

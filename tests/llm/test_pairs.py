@@ -134,6 +134,17 @@ def test_ngram_components_against_brute_force(spark, monkeypatch, rows, broadcas
     assert ngram_join.ngram_components(df.limit(0)).count() == 0
 
 
+def test_ngram_components_of_repeated_rows(spark, monkeypatch):
+    """The whole table united with itself, with nothing joined by the least hash."""
+    monkeypatch.setattr(ngram_join, "joined_by_token", lambda docs, rows: spark.createDataFrame([], "a bigint, b bigint"))
+    docs = varied_documents()
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, component_id string")
+    got = ngram_join.ngram_components(df.union(df).repartition(5)).collect()
+    want = brute_components(docs)
+    assert len(got) == 2 * len(docs)
+    assert all(r.component_id == want[r.doc_id] for r in got)
+
+
 def test_ngram_components_near_the_threshold(spark, monkeypatch):
     """Stretches of one long line, so that sets overlap by a little more or less than the threshold."""
     monkeypatch.setattr(ngram_join, "COMMON_MOST", 60)

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.bpe import bpe_code
 from emberlog.llm.decontaminate import decontaminated
-from emberlog.llm.ngram_join import ngram_components
+from emberlog.llm.ngram_join import one_row_of_each
 from emberlog.llm.queries import scored
-from emberlog.llm.shared import fresh_folder, hinted, table
+from emberlog.llm.shared import fresh_folder, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,14 +25,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id. Rows without an id stay; of equal ids one row stays."""
-    groups = ngram_components(docs)
-    kept = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept = hinted(kept)
-    stay = docs.join(kept, "doc_id").select(*docs.columns, "copies")
-    once = stay.filter("copies = 1").drop("copies")
-    repeated = stay.filter("copies > 1").drop("copies").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.filter("doc_id IS NULL"))
+    """Of each group of linked texts one row, of the least id; texts of one id that are unlike stay, and rows without an id."""
+    return one_row_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

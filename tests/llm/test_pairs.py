@@ -160,6 +160,37 @@ def test_ngram_components_near_the_threshold(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want and 100 < len(set(want.values())) < 400
 
 
+def unlike_texts() -> list[tuple]:
+    """Ids with a short and a long text, near copies of the short ones under other ids, and empty texts of the same ids."""
+    dice, docs = random.Random(8), []
+    for k in range(30):
+        short, long = dice.choices(VOCABULARY, k=40), dice.choices(VOCABULARY, k=4000)
+        near = [*short[:-1], "last"]
+        docs += [(k, " ".join(near)), (100 + k, " ".join(long)), (100 + k, " ".join(short)), (100 + k, "")]
+    return docs
+
+
+def test_ngram_components_of_ids_with_unlike_texts(spark):
+    docs = unlike_texts()
+    want = brute_components(docs)
+    got = ngram_join.ngram_components(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)).collect()
+    assert len(got) == len(docs)
+    assert [(r.doc_id, r.component_id) for r in got if r.component_id != want[r.doc_id]] == []
+    assert all(want[100 + k] == k for k in range(30))
+
+
+def test_one_row_of_each_keeps_unlike_texts(spark):
+    docs = [(key, text, str(n % 3)) for n, (key, text) in enumerate(unlike_texts() * 2)] + [(None, "x", "0")] * 2
+    for parts in (1, 7):
+        df = spark.createDataFrame(docs, "doc_id bigint, text string, c string").repartition(parts)
+        got = sorted((tuple(r) for r in ngram_join.one_row_of_each(df).collect()), key=repr)
+        want = [(None, "x", "0")] * 2
+        for k in range(30):
+            near, long, _, empty = ({x for x in docs if x[:2] == y} for y in unlike_texts()[4 * k : 4 * k + 4])
+            want += [min(near), min(long), min(empty)]
+        assert got == sorted(want, key=repr)
+
+
 def test_words_hash_alike_only_if_equal():
     shingler = ngram_join.Shingler()
     texts = ["a", "b", "aa", "ab", "ba", "a b", "b a", "a b c d e", "a b c d e f", "é", "\x00", "a\x00"]

@@ -3,8 +3,9 @@
 A page is read once into a tree. Elements that never hold the article (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are marked as they open. Each remaining block of text passes points
 for its length and its commas to its container and, in decreasing parts, to the ancestors beyond. A container's points
-are discounted by the share of its text that is links. The best container, widened to the ``article`` element around
-it, gives the text, together with those siblings that score well themselves or are headings and paragraphs.
+are discounted by the share of its text that is links. The best container, widened to the ``article`` or ``main``
+element around it, gives the text. Without such an element all that is not marked does, so no section is lost. Lists of
+links are left out only where they stand before or after all other text.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by a line feed.
 A null or empty page, and one without text, gives an empty text. Broken markup is closed as browsers do in the simple
@@ -235,17 +236,16 @@ class Tree:
         while node > 0 and self.tag[node] != "article":
             node = self.parent[node]
         best = node if node > 0 else best
-        roots = {best}
-        if self.tag[best] not in ("article", "body", "html", "#"):
-            for node in range(1, n):
-                if self.parent[node] == self.parent[best] and not self.dropped[node] and total[node]:
-                    good = scores[node] >= max(10, 0.2 * scores[best])
-                    plain = self.tag[node] in HEADINGS or self.tag[node] == "p" and density[node] < 0.25
-                    if good or plain:
-                        roots.add(node)
-        lists = {k for k in range(n) if self.tag[k] in LISTS and density[k] > 0.5 and links[k] >= 3} - roots
-        chosen, cut = self._covered(roots), self._covered(lists)
-        return "\n".join(block for node, block in self.blocks if chosen[node] and not cut[node])
+        # Without an article all that is not marked counts, within the main element if there is one.
+        while best > 0 and self.tag[best] not in ("article", "main"):
+            best = self.parent[best]
+        chosen = self._covered({best})
+        lists = self._covered({k for k in range(n) if self.tag[k] in LISTS and density[k] > 0.5 and links[k] >= 3})
+        held = [(node, block) for node, block in self.blocks if chosen[node]]
+        plain = [k for k, (node, _) in enumerate(held) if not lists[node] or 2 * self.linked[node] <= self.own[node]]
+        if plain:
+            held = held[plain[0] : plain[-1] + 1]
+        return "\n".join(block for _, block in held)
 
     def _covered(self, roots: set[int]) -> list[int]:
         """For each element, how many of ``roots`` hold it."""

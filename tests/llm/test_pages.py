@@ -44,6 +44,21 @@ def test_nothing_is_cut():
     assert main_text(f"<nav>n</nav><div>{body}</div>").count("\n") == 2999
 
 
+@pytest.mark.parametrize("outer", ["main", "div", "body"])
+def test_sections_without_an_article_stay(outer):
+    short = "".join(f"<section><h2>Part {k}</h2><p>{'short words ' * 12}</p><p>{'other words ' * 12}</p></section>" for k in range(3))
+    long = "<section>" + "".join(f"<p>{'Long, long, long words, ' * 20}{k}</p>" for k in range(30)) + "</section>"
+    found = main_text(f"<nav>n</nav><{outer}>{short}{long}{short}</{outer}><footer>f</footer>").split("\n")
+    assert len(found) == 2 * 9 + 30 and found[0] == "Part 0" and found[-3] == "Part 2"
+
+
+def test_link_lists_inside_the_text_stay():
+    links = "<ul><li><a>one source</a><li><a>other source</a><li><a>third source</a></ul>"
+    kept = "one source\nother source\nthird source"
+    page = f"<article>{links}{ARTICLE}{links}<table><tr><td><a>a</a><td><a>b</a><td><a>c</a></table>{ARTICLE}{links}</article>"
+    assert main_text(page) == f"{PLAIN}\n{kept}\na\nb\nc\n{PLAIN}"
+
+
 def test_page_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x</p>", 5), (1, "u", None, 6), (None, None, "", 7)],
                                "page_id bigint, url string, html string, text int")

@@ -1,7 +1,8 @@
 """Main text of HTML pages by tree scoring.
 
 A page is read once into a tree. Elements that never hold the article (menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments) are marked as they open. Each remaining block of text passes points
+adverts, form controls, scripts, styles, reader comments) are marked as they open; a form is left out when it holds
+neither an article nor most of the text. Each remaining block of text passes points
 for its length and its commas to its container and, in decreasing parts, to the ancestors beyond. A container's points
 are discounted by the share of its text that is links. The best container, widened to the ``article`` or ``main``
 element around it, gives the text. Without such an element all that is not marked does, so no section is lost. Lists of
@@ -48,7 +49,7 @@ ENDS = {
     "option": ({"option"}, {"select", "datalist"}),
 }
 NEVER = frozenset(
-    "nav footer aside form script style noscript iframe button select textarea template svg object canvas audio video"
+    "nav footer aside script style noscript iframe button select textarea template svg object canvas audio video"
     " dialog title head menu input fieldset datalist".split()
 )
 KEPT = frozenset("html body main article".split())
@@ -63,6 +64,8 @@ FOREIGN = frozenset(
 #: Words that mark it unless the element is named as content too.
 DOUBTFUL = frozenset("nav navbar navigation menu sidebar header footer masthead banner widget toolbar topbar aside".split())
 CONTENT = frozenset("article content entry main post story text body".split())
+#: What may stand in a head; anything else ends it.
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS = frozenset("ul ol div section table dl".split())
 REACH = 5
@@ -86,6 +89,8 @@ class Tree:
         tag, parent, dropped, own, linked = self.tag, self.parent, self.dropped, self.own, self.linked
 
         def text(start: int, end: int) -> None:
+            if start < end and tag[stack[-1]] == "head" and page[start:end].strip():
+                close(len(stack) - 1)
             if start < end and not dropped[stack[-1]]:
                 found = page[start:end]
                 found = html.unescape(found) if "&" in found else found
@@ -122,7 +127,7 @@ class Tree:
                     flush()
                 for depth in range(len(stack) - 1, 0, -1):
                     if tag[stack[depth]] == name:
-                        if name in BLOCKS:
+                        if name in BLOCKS or name in NEVER:
                             close(depth)
                         else:  # formatting: end it alone, blocks inside stay open
                             if any(tag[node] in BLOCKS for node in stack[depth + 1 :]):
@@ -135,6 +140,10 @@ class Tree:
                             del stack[depth:]
                         break
                 continue
+            if tag[stack[-1]] == "head" and name not in HEAD:
+                close(len(stack) - 1)
+            if name in ("head", "html") and name in tag:
+                continue
             if name in RAW:
                 lower = lower or page.lower()
                 end = lower.find("</" + name, at) if len(lower) == len(page) else page.find("</" + name, at)
@@ -209,7 +218,26 @@ class Tree:
             return True
         return bool(named & FOREIGN or named & DOUBTFUL and not (named & CONTENT))
 
+    def _drop_forms(self) -> None:
+        """Leave out the forms that hold neither an article nor most of the page's text."""
+        forms = [k for k, name in enumerate(self.tag) if name == "form" and not self.dropped[k]]
+        if not forms:
+            return
+        sums = list(accumulate(self.own, initial=0))
+        articles = list(accumulate((x == "article" and not y for x, y in zip(self.tag, self.dropped, strict=True)), initial=0))
+        gone = set()
+        for node in forms:
+            end = self.last[node] + 1
+            if articles[end] == articles[node] and 2 * (sums[end] - sums[node]) <= sums[-1]:
+                gone.add(node)
+        cut = self._covered(gone)
+        self.blocks = [(node, block) for node, block in self.blocks if not cut[node]]
+        for node in range(len(self.tag)):
+            if cut[node]:
+                self.own[node] = self.linked[node] = self.links[node] = 0
+
     def text(self) -> str:
+        self._drop_forms()
         if not self.blocks:
             return ""
         n = len(self.tag)

@@ -59,6 +59,21 @@ def test_link_lists_inside_the_text_stay():
     assert main_text(page) == f"{PLAIN}\n{kept}\na\nb\nc\n{PLAIN}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><body>{ARTICLE}",
+        f"<head><meta charset=x><script>x</script>{ARTICLE}",
+        f"<html><head><title>t</title><body><form id=aspnetForm><input><select><option>o</select>{ARTICLE}</form></body>",
+        f"<form><div>few words in front of it</div><article>{ARTICLE}</article></form>",
+        f"<form id=f1><form><label>Search</label><input></form>{ARTICLE}</form>",
+    ],
+)
+def test_open_heads_and_forms_around_the_page(page):
+    assert main_text(page) == PLAIN
+    assert main_text("<head><title>t</title>bare text") == "bare text"
+
+
 def test_page_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x</p>", 5), (1, "u", None, 6), (None, None, "", 7)],
                                "page_id bigint, url string, html string, text int")

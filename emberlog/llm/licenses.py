@@ -15,6 +15,7 @@ Null and empty texts have no findings. A text may have many; repeated rows have
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from collections.abc import Iterable, Iterator
@@ -91,21 +92,38 @@ def words(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
 
 
-def wording(template: list[str], block: list[str]) -> tuple[int, int, int, bool] | None:
-    """(differing words, first and last aligned word of the block + 1, whether a word with a digit differs)."""
-    longest = difflib.SequenceMatcher(None, template, block, autojunk=False).find_longest_match()
-    if not longest.size:
-        return None
-    slack = len(template) // 10 + 1
-    start = max(0, longest.b - longest.a - slack)
-    part = block[start : longest.b + len(template) - longest.a + slack]
-    matches = difflib.SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks()[:-1]
-    first, last = matches[0].b, matches[-1].b + matches[-1].size
-    same = sum(match.size for match in matches)
-    covered = {k for match in matches for k in range(match.a, match.a + match.size)}
-    missing = [word for k, word in enumerate(template) if k not in covered]
-    differing = len(missing) + (last - first - same)
-    return differing, start + first, start + last, any(any(c.isdigit() for c in word) for word in missing)
+def wording(template: list[str], block: list[str]) -> Iterator[tuple[int, int, int]]:
+    """(differing words, first and last aligned word of the block + 1) of each place that has the template's wording.
+
+    The words on both sides of a place, and of a longest match that is none, are searched again, as long as matches are so
+    long that the allowed differences could lie between them.
+    """
+    most = int(MOST_DIFFERENT * len(template))
+    least = -(-(len(template) - most) // (most + 1))
+    search = difflib.SequenceMatcher(None, template, block, autojunk=False)
+    spans = [(0, len(block))]
+    while spans:
+        low, high = spans.pop()
+        if high - low < len(template) - most:
+            continue
+        longest = search.find_longest_match(0, len(template), low, high)
+        if longest.size < least:
+            continue
+        slack = len(template) // 10 + 1
+        start = max(low, longest.b - longest.a - slack)
+        part = block[start : min(high, longest.b + len(template) - longest.a + slack)]
+        matches = difflib.SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks()[:-1]
+        first, last = matches[0].b, matches[-1].b + matches[-1].size
+        same = sum(match.size for match in matches)
+        covered = {k for match in matches for k in range(match.a, match.a + match.size)}
+        missing = [word for k, word in enumerate(template) if k not in covered]
+        differing = len(missing) + (last - first - same)
+        if differing <= most and not any(any(c.isdigit() for c in word) for word in missing):
+            first, last = start + first, start + last
+            yield differing, first, last
+        else:
+            first, last = longest.b, longest.b + longest.size
+        spans += [(low, first), (last, high)]
 
 
 class Scanner:
@@ -160,16 +178,15 @@ class Scanner:
                 if share < LEAST_SHARE:
                     break
                 split = split or words(block)
-                aligned = wording(template, [word for word, _, _ in split])
-                if aligned and aligned[0] <= MOST_DIFFERENT * len(template) and not aligned[3]:
-                    differing, first, last, _ = aligned
+                for differing, first, last in wording(template, [word for word, _, _ in split]):
                     place = start + split[first][1], start + split[last - 1][2]
                     found.append((*place, name, share, differing, len(template)))
         chosen = []
-        for start, end, name, share, differing, size in sorted(found, key=lambda x: (-x[5] + x[4] * 4, x[4], -x[3], x[0])):
-            if all(end <= other[0] or start >= other[1] for other in chosen):
-                chosen.append((start, end, name, share, differing))
-        return sorted(chosen)
+        for start, end, name, share, differing, _ in sorted(found, key=lambda x: (-x[5] + x[4] * 4, x[4], -x[3], x[0])):
+            at = bisect.bisect_left(chosen, (start,))
+            if (not at or chosen[at - 1][1] <= start) and (at == len(chosen) or end <= chosen[at][0]):
+                chosen.insert(at, (start, end, name, share, differing))
+        return chosen
 
 
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -161,3 +161,19 @@ def test_license_notices_of_the_table(spark):
     want = sorted((r.doc_id, names[line]) for r in docs.collect() for line in r.text.split("\n") if line in names)
     got = sorted((r.doc_id, r.license) for r in licenses.license_scan(docs).collect())
     assert len(want) > 200 and got == want
+
+
+@pytest.mark.parametrize("between", [" ", "\n\n", "\nCopyright 2001 Y\n" + "other words " * 30])
+def test_repeated_licenses_are_each_found(between):
+    scanner = licenses.Scanner()
+    for name, text, most in (("MIT", licenses.TEXTS["MIT"], 7), ("ISC", licenses.TEXTS["ISC"], 7), ("GPL-2.0", licenses.NOTICES["GPL-2.0"], 30)):
+        found = scanner.findings(between.join([text] * most))
+        assert [(x[2], x[4]) for x in found] == [(name, 0)] * most
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_a_changed_license_does_not_hide_a_whole_one():
+    changed = licenses.TEXTS["MIT"].replace("free of charge", "for much money, in advance, and never to be paid back by us")
+    changed = changed.replace("NONINFRINGEMENT", "a b c d e f g h i j k l m")
+    found = licenses.Scanner().findings(f"{changed}\n{licenses.TEXTS['MIT']}\n{changed}")
+    assert [(x[2], x[4]) for x in found] == [("MIT", 0)]

@@ -10,6 +10,8 @@ differences counts, then the longer one.
 
 A block is a line with a hint, or its part around the hint, for templates of one line. For longer templates it is the text around hints, as far as the
 longest template reaches, cut into parts of bounded length that overlap by as much.
+Looked for are the licenses of ``NAMES`` by notice and SPDX tag, and the permission texts and file headers of ``TEXTS``. The whole
+texts of Apache, GPL, LGPL, AGPL, MPL and Creative Commons licenses are not among them. What leads to "under" in a notice is free.
 Null and empty texts have no findings. A text may have many; repeated rows have theirs each. Other columns are ignored.
 """
 
@@ -30,7 +32,7 @@ LEAST_SHARE = 0.3
 MOST_DIFFERENT = 0.1
 #: How far around a hint a notice of one line is looked for.
 NOTICE_REACH = 400
-HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|free software|cc by|spdx|©"
+HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|free software|cc[ -]by|creative commons|gpl|mpl 2|spdx|©"
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 # Notices and license texts without names and years, by SPDX identifier.
@@ -50,7 +52,55 @@ NOTICES = {
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
 }
+# Names as notices give them; what leads to "under" does not count.
+NAMES = {
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 License", "Apache-2.0 License"),
+    "MIT": ("MIT License",),
+    "ISC": ("ISC License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License 1.0"),
+    "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0"),
+    **{
+        f"{short}-{version}": tuple(
+            f"{name}{between}{version.removesuffix('.0')}{end}"
+            for name in (f"GNU {long}", f"GNU {short}", short)
+            for between in (", version ", " version ", " v", " ")
+            for end in ("", ".0")[: 2 if version.endswith(".0") else 1]
+        )
+        for short, long, versions in (
+            ("GPL", "General Public License", ("2.0", "3.0")),
+            ("LGPL", "Lesser General Public License", ("2.1", "3.0")),
+            ("AGPL", "Affero General Public License", ("3.0",)),
+        )
+        for version in versions
+    },
+    **{
+        f"CC-{kind}-4.0": (
+            f"CC {kind} 4.0", f"CC {kind} 4.0 License", f"Creative Commons {long} 4.0 License",
+            f"Creative Commons {long} 4.0 International License",
+        )
+        for kind, long in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+    },
+}
+LEADS = ("under the {}", "under {}", "under a {}", "under the terms of the {}")
+BSD_2 = """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+        following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_3 = """
+        3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission."""
 TEXTS = {
+    "BSD-2-Clause": BSD_2,
+    "BSD-3-Clause": BSD_2 + BSD_3,
     "MIT": """
         Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
         documentation files (the "Software"), to deal in the Software without restriction, including without limitation
@@ -77,6 +127,26 @@ TEXTS = {
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
         on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
         the specific language governing permissions and limitations under the License.""",
+    "MPL-2.0": """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "BSL-1.0": """
+        Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute,
+        execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties
+        to whom the Software is furnished to do so""",
+    "GPL-2.0": """
+        This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any
+        later version.""",
+    "LGPL-2.1": """
+        This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General
+        Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your
+        option) any later version.""",
+    "AGPL-3.0": """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option)
+        any later version.""",
     "GPL-3.0": """
         This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
         License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
@@ -132,7 +202,9 @@ class Scanner:
     def __init__(self):
         clean = {name: " ".join(text.split()) for name, text in TEXTS.items()}
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
-        self.short, self.long = ([self._prepared(*x) for x in kind.items()] for kind in (NOTICES, clean))
+        notices = [*NOTICES.items(), *((name, f"SPDX-License-Identifier: {name}") for name in {**NAMES, **clean})]
+        notices += [(name, lead.format(x)) for name, wordings in NAMES.items() for x in wordings for lead in LEADS]
+        self.short, self.long = ([self._prepared(*x) for x in kind] for kind in (notices, clean.items()))
         self.reach = max(map(len, clean.values()))
         self.hint = re.compile(HINT)
 
@@ -169,15 +241,16 @@ class Scanner:
             block = text[start:end]
             data = block.encode()
             alone = len(self.plain.compress(data))
+            split = words(block)
+            there = {word for word, _, _ in split}
             ranked = sorted(
                 ((alone - len(known.compress(data))) / size, name, template)
                 for name, known, size, template in (self.short if line else self.long)
+                if sum(word not in there for word in template) <= MOST_DIFFERENT * len(template)
             )
-            split = None
             for share, name, template in reversed(ranked):
                 if share < LEAST_SHARE:
                     break
-                split = split or words(block)
                 for differing, first, last in wording(template, [word for word, _, _ in split]):
                     place = start + split[first][1], start + split[last - 1][2]
                     found.append((*place, name, share, differing, len(template)))

@@ -177,3 +177,24 @@ def test_a_changed_license_does_not_hide_a_whole_one():
     changed = changed.replace("NONINFRINGEMENT", "a b c d e f g h i j k l m")
     found = licenses.Scanner().findings(f"{changed}\n{licenses.TEXTS['MIT']}\n{changed}")
     assert [(x[2], x[4]) for x in found] == [("MIT", 0)]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("It is licensed under the MIT License, see there.", "MIT"),
+        ("Code licensed under the Apache License 2.0", "Apache-2.0"),
+        ("Distributed under the terms of the GNU General Public License v3.0", "GPL-3.0"),
+        ("available under the GNU LGPL 2.1", "LGPL-2.1"),
+        ("// SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        ("Shared under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        (licenses.TEXTS["BSD-2-Clause"], "BSD-2-Clause"),
+        (licenses.TEXTS["BSD-3-Clause"], "BSD-3-Clause"),
+        (licenses.TEXTS["MPL-2.0"], "MPL-2.0"),
+        (licenses.TEXTS["GPL-2.0"], "GPL-2.0"),
+        (licenses.TEXTS["AGPL-3.0"], "AGPL-3.0"),
+    ],
+)
+def test_other_wordings_and_texts(text, want):
+    found = licenses.Scanner().findings(text)
+    assert [x[2] for x in found] == [want] and found[0][4] == 0

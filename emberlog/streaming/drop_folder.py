@@ -6,6 +6,9 @@ directory, so a lost executor or a restart cannot count anything twice.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from emberlog.config import BATCH, ParseProfile
 from emberlog.functions.timestamps import window_length
-from emberlog.operators.alert_log import sending_times
 from emberlog.operators.filters import filter_errors
 from emberlog.operators.metrics import count_rows
 from emberlog.plans.parse import parse_logs
@@ -121,17 +123,33 @@ def without_repeats(alerts: DataFrame, last: DataFrame, cooldown_s: int = 3600)
     """Alerts that are sent, given (username, alert_type, last) in microseconds of what was sent before.
 
     Per user and alert type, an alert is sent if none was sent less than the cooldown before it; of alerts of one instant
-    the one with the least id. Only the times of a user's type within one micro-batch are folded in order.
+    the one with the least id. Distinct times are sorted on Spark and folded as they stream by, and a task holds no more of a
+    user's type than its last sending.
     """
     key = ["username", "alert_type"]
     timed = alerts.withColumn("_time", F.unix_micros("alert_ts"))
-    times = timed.groupBy(*key).agg(F.array_sort(F.collect_set("_time")).alias("times"))
     known = last.select(*(F.col(name).alias(f"_{name}") for name in key), "last")
     same = F.col("username").eqNullSafe(F.col("_username")) & F.col("alert_type").eqNullSafe(F.col("_alert_type"))
-    folded = times.join(known, same, "left").select(
-        *(F.col(name).alias(f"_{name}") for name in key),
-        F.explode(sending_times(F.col("times"), cooldown_s, F.col("last"))).alias("_sent"),
-    )
+    times = timed.filter("_time IS NOT NULL").select(*key, "_time").distinct().join(known, same, "left").select(*key, "_time", "last")
+    cooldown = cooldown_s * 1_000_000
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = due = None
+        for batch in batches:
+            chosen = []
+            for k, (user, kind, time, before) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+                if current != (user, kind):
+                    current, due = (user, kind), None if before is None else before + cooldown
+                if due is None or time >= due:
+                    chosen.append(k)
+                    due = time + cooldown
+            if chosen:
+                sent = batch.take(pa.array(chosen, pa.int64()))
+                yield pa.RecordBatch.from_arrays(sent.columns[:3], ["_username", "_alert_type", "_sent"])
+
+    kinds = dict(alerts.dtypes)
+    schema = f"_username {kinds['username']}, _alert_type {kinds['alert_type']}, _sent bigint"
+    folded = times.repartition(*key).sortWithinPartitions(*key, "_time").mapInArrow(fold, schema)
     sent = timed.join(folded, same & (F.col("_time") == F.col("_sent")))
     order = Window.partitionBy(*key, "_time").orderBy("alert_id")
     return sent.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*alerts.columns)

@@ -141,6 +141,17 @@ def test_streamed_alert_dedup(spark, tmp_path):
     assert ("ann", start + hour, "A") in run(("ann", start + hour, "A"))
 
 
+def test_dedup_gathers_no_user_in_one_value(spark, capsys):
+    start = datetime(2024, 1, 1)
+    alerts = alert_table(spark, [("u", start + timedelta(minutes=k), "A") for k in range(300)] + [(None, start, "A")])
+    last = spark.createDataFrame([("u", "A", 1704067200_000_000 - 1800_000_000)], "username string, alert_type string, last bigint")
+    sent = drop_folder.without_repeats(alerts, last)
+    sent.explain(True)
+    assert "collect_" not in capsys.readouterr().out
+    found = sorted(tuples(sent, "username", "alert_ts"), key=repr)
+    assert found == sorted([("u", start + timedelta(minutes=30 + 60 * k)) for k in range(5)] + [(None, start)], key=repr)
+
+
 def test_streamed_dedup_is_the_same_for_one_and_many_batches(spark, tmp_path):
     start = datetime(2024, 1, 1)
     rows = sorted(((f"u{k % 3}", start + timedelta(minutes=37 * k + k % 5), "AB"[k % 2]) for k in range(120)), key=lambda r: r[1])

@@ -203,21 +203,27 @@ def _(t: Inputs):
 def _(t: Inputs):
     # The files of the first run are replaced, under their names, by files with all rows.
     base, drop, spare = t.scratch(), t.scratch(), t.scratch()
-    structured(t, drop, t.messages.filter("event_type = 'error'").coalesce(1))
+    # Dealt alike, so that each file of the first run has one with its rows and more in the second.
+    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    structured(t, drop, t.messages.filter("event_type = 'error'").repartition(parts, "event_id"))
     ingest_new(t.spark, base, drop)
-    structured(t, spare, t.messages.coalesce(1))
+    structured(t, spare, t.messages.repartition(parts, "event_id"))
     replace_files(t, spare, drop)
     ingest_new(t.spark, base, drop)
     return read_ingested(t.spark, base).select("timestamp", "log_level", "message", "error_type")
 
 
 def replace_files(t: Inputs, source: str, target: str) -> None:
-    """Put the one data file of ``source`` in the place and under the name of that of ``target``."""
-    jvm = t.spark._jvm
-    new, old = (jvm.org.apache.hadoop.fs.Path(list_files(t.spark, path)[0]) for path in (source, target))
-    files = old.getFileSystem(t.spark._jsc.hadoopConfiguration())
-    files.delete(old, False)
-    files.rename(new, old)
+    """Put the data files of ``source`` in the places and under the names of those of ``target``, and what is left beside them."""
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    new, old = (sorted(list_files(t.spark, folder)) for folder in (source, target))
+    if len(new) < len(old):
+        raise ValueError(f"{len(new)} files can't replace {len(old)}")
+    files = path(target).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for k, name in enumerate(new):
+        place = path(old[k]) if k < len(old) else path(target, path(name).getName())
+        files.delete(place, False)
+        files.rename(path(name), place)
 
 
 @register(

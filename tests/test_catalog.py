@@ -36,3 +36,20 @@ def test_entry(spark):
 
 def test_sql_covers_the_queries():
     assert set(catalog.oracle_sql()) == set(catalog.queries())
+
+
+def test_changed_files_are_many(spark, monkeypatch):
+    """Both drops are written as many files, and each of the first is replaced under its name."""
+    from catalog import sources
+
+    seen, real = [], sources.replace_files
+
+    def watched(t, source, target):
+        before = set(sources.list_files(spark, target))
+        real(t, source, target)
+        seen.append((before, set(sources.list_files(spark, target)), sources.list_files(spark, source)))
+
+    monkeypatch.setattr(sources, "replace_files", watched)
+    entry.queries()["incremental_changed_file"](spark, "/root/testdata/sf0.001")
+    before, after, left = seen[0]
+    assert len(before) > 1 and before <= after and not list(left)

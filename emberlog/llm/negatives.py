@@ -354,8 +354,8 @@ def hard_negatives(
         F.col("anchor_id").alias("id"),
         F.struct(
             "rank",
-            F.expr(f"-((-{low} * score - pmod(-{low} * score, 100)) div 100)").alias("lo"),
-            F.expr(f"({high} * score - pmod({high} * score, 100)) div 100").alias("hi"),
+            F.expr(f"CAST(ceil({low} * CAST(score AS decimal(20, 0)) / 100) AS bigint)").alias("lo"),
+            F.expr(f"CAST(floor({high} * CAST(score AS decimal(20, 0)) / 100) AS bigint)").alias("hi"),
         ).alias("bounds"),
     )
     bounds = bounds.groupBy("id").agg(F.array_sort(F.collect_list("bounds")).alias("bounds"))

@@ -35,8 +35,8 @@ from emberlog.llm.shared import partitions
 
 WINDOW = 20
 # Windows of a chunk, and of a bucket on average, with words of 5 bytes.
-CHUNK = 2_000_000
-BUCKET = 3_000_000
+CHUNK = 1_000_000
+BUCKET = 2_000_000
 # Bytes of text that are split into words at once.
 BLOCK_BYTES = 4 << 20
 # A null id is placed after all others.
@@ -126,7 +126,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
 
     import zstandard
 
-    planes = [(a.dtype.str, len(a), np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes()) for a in arrays]
+    planes = [(a.dtype.str, len(a), np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()) for a in arrays]
     return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(planes))
 
 
@@ -170,7 +170,7 @@ class _Chunk:
                 fresh[k], numbers[k] = True, len(self.docs)
                 self.docs[doc] = len(self.docs)
         hashes, place, n_windows = text_windows(data, offsets, self.window)
-        which, chosen = np.repeat(numbers, n_windows), np.repeat(fresh, n_windows)
+        place, which, chosen = place.astype(np.int32), np.repeat(numbers.astype(np.int32), n_windows), np.repeat(fresh, n_windows)
         if not fresh.all():
             hashes, place, which = hashes[chosen], place[chosen], which[chosen]
         self.parts.append((hashes, place, which))
@@ -179,6 +179,7 @@ class _Chunk:
     def rows(self, number: int) -> Iterator[tuple[int, int, int, bytes]]:
         """(bucket, chunk, kind, packed): the places for each bucket as kind 0, what the chunk knows by itself as kind 1."""
         hashes, place, which = (np.concatenate(a) for a in zip(*self.parts, strict=True))
+        self.parts.clear()
         keys = np.array(list(self.docs), np.int64).reshape(-1, 2)
         n_windows = np.bincount(which, minlength=len(keys))
         base = np.cumsum(n_windows) - n_windows

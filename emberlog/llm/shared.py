@@ -40,6 +40,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of their own in the shared folder. For loops: unlike a checkpoint it hands on no constraints of the
+    plan behind it, of which the optimizer would have more in every round."""
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Arrow batches of at most ``rows`` rows for the jobs that run inside, so that long texts take little memory."""

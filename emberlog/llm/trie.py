@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.shared import checkpointed, hinted, partitions
+from emberlog.llm.shared import checkpointed, hinted, partitions, stored
 
 SLICE = 1024
 LOCAL = 10_000
@@ -192,7 +192,7 @@ def subtree_sums(nodes: DataFrame, paths: DataFrame, values: list[str], local: i
     state = nodes.select(
         F.lit(ROOT).alias("comp"), *columns[: 5 + len(values)], *[F.lit(0).cast("bigint").alias(x) for x in extra]
     )
-    state, done, small = checkpointed(state), [], []
+    state, done, small = stored(state, "components"), [], []
     while True:
         size = state.groupBy("comp").agg(F.max("weight").alias("total"), F.count("*").alias("n"))
         large = checkpointed(size.filter(F.col("n") > local).select("comp", "total"))
@@ -229,14 +229,15 @@ def subtree_sums(nodes: DataFrame, paths: DataFrame, values: list[str], local: i
         totals = hinted(checkpointed(totals))
         summed = marked.join(totals, "comp")
         done.append(summed.filter("is_cut").select("node", *[(F.col(f"x_{v}") + F.col(f"t_{v}")).alias(v) for v in values]))
-        state = checkpointed(
+        state = stored(
             summed.filter("NOT is_cut").select(
                 F.coalesce("child", "comp").alias("comp"), *columns[:4],
                 F.when(F.col("above"), F.col("weight") - F.col("c_weight")).otherwise(F.col("weight")).alias("weight"),
                 *values,
                 *[F.when(F.col("above"), F.col(f"x_{v}") + F.col(f"t_{v}")).otherwise(F.col(f"x_{v}")).alias(f"x_{v}")
                   for v in values],
-            )
+            ),
+            "components",
         )
     rest = small[0]
     for part in small[1:]:

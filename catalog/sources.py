@@ -14,7 +14,7 @@ from emberlog.operators.metrics import count_rows
 from emberlog.plans.batch import ingest, ingest_interactive
 from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.sinks import history, reports
-from emberlog.sources.csv_logs import list_files, read_csv_logs
+from emberlog.sources.csv_logs import list_files, read_csv_logs, read_rejects
 from emberlog.sources.log_table import ingest_new, read_ingested, read_parsed, write_parsed
 
 SYSLOG_YEAR = replace(BATCH, default_year=2024)
@@ -82,6 +82,42 @@ def _(t: Inputs):
     return read_csv_logs(t.spark, path).select("lineid", "timestamp", "log_level", "message", "ip", "service")
 
 
+@register(
+    "scan_rejects",
+    """
+    WITH lines AS (SELECT event_id, event_id % 5 = 1 AS long, event_id % 7 = 2 AS short, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS ts,
+                          log_level, replace(message, '"', '""') AS said FROM logs)
+    SELECT CASE WHEN short THEN log_level || ',"' || said || ', quoted"'
+                ELSE ts || ',' || log_level || ',' || said || ', node 7,' || event_id END AS record,
+           CASE WHEN short THEN 'short' ELSE 'long' END AS reason, CASE WHEN short THEN 2 ELSE 5 END AS fields, 4 AS expected,
+           CAST(NULL AS VARCHAR) AS lineid, CAST(NULL AS VARCHAR) AS message
+    FROM lines WHERE long OR short
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, CAST(event_id AS VARCHAR), message || ', quoted' FROM logs
+    WHERE event_id % 5 <> 1 AND event_id % 7 <> 2
+    """,
+)
+def _(t: Inputs):
+    # A fifth of the records has a comma too many, a seventh lacks fields; with the rows they are all there is.
+    path, said = t.scratch(), F.replace("message", F.lit('"'), F.lit('""'))
+    event = F.col("event_id")
+    ts, quoted = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), F.concat(F.lit('"'), said, F.lit(', quoted"'))
+    number = event.cast("string")
+    line = (
+        F.when(event % 7 == 2, F.concat_ws(",", "log_level", quoted))
+        .when(event % 5 == 1, F.concat_ws(",", ts, "log_level", F.concat(said, F.lit(", node 7")), number))
+        .otherwise(F.concat_ws(",", ts, "log_level", quoted, number))
+    )
+    shaped = t.rows.select((event % 16).alias("part"), F.lit(1).alias("place"), line.alias("value"))
+    heads = shaped.select("part").distinct().select("part", F.lit(0).alias("place"), F.lit("timestamp,log_level,message,LineId").alias("value"))
+    lines = shaped.unionByName(heads).repartition("part").sortWithinPartitions("part", "place")
+    lines.select("part", "value").write.partitionBy("part").text(path)
+    found = {"glob": "*.txt", "recursive": True, "strict": True}
+    rejects = read_rejects(t.spark, path, **found).drop("source_file")
+    rows = read_csv_logs(t.spark, path, **found).select("lineid", "message")
+    return rejects.unionByName(rows, allowMissingColumns=True)
+
+
 @register(
     "ts_from_date_time",
     """SELECT event_id, date_trunc('millisecond', "timestamp") AS "timestamp" FROM logs""",

@@ -36,8 +36,12 @@ def _(t: Inputs):
     """,
 )
 def _(t: Inputs):
+    # Alerts arrive file by file in an order that has nothing to do with their times.
     base = t.scratch()
-    t.alerts.write.parquet(f"{base}/alerts")
-    stream = t.spark.readStream.schema(t.alerts.schema).parquet(f"{base}/alerts")
-    drop_folder.start_alert_dedup(stream, f"{base}/kept", f"{base}/checkpoint").awaitTermination()
-    return drop_folder.read_sent_alerts(t.spark, f"{base}/kept").select("username", "alert_type", "alert_ts")
+    shuffled = t.alerts.repartition(4, F.xxhash64("alert_id"))
+    shuffled.write.parquet(f"{base}/alerts")
+    stream = t.spark.readStream.schema(t.alerts.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/alerts")
+    out = f"{base}/kept"
+    drop_folder.start_alert_dedup(stream, out, f"{base}/checkpoint", lateness_s=40 * 86_400).awaitTermination()
+    drop_folder.release_held(t.spark, out, t.alerts.schema)
+    return drop_folder.read_sent_alerts(t.spark, out).select("username", "alert_type", "alert_ts")

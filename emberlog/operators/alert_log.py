@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.functions.timestamps import instant
 from emberlog.operators.filters import all_of
 from emberlog.operators.metrics import count_rows
 from emberlog.operators.ranking import top_messages
+from emberlog.sinks.scratch import stored
 
 
 def alert_history(
@@ -82,46 +83,81 @@ def in_cooldown(
     return latest.agg(F.coalesce(age_us < cooldown_s * 1_000_000, F.lit(False))).scalar()
 
 
-def sending_times(times: Column, cooldown_s: int, last: Column | None = None) -> Column:
-    """Of ascending times in microseconds those that send: each the first one at least the cooldown after the one before.
+def _next_times(times: DataFrame, cooldown: int) -> DataFrame:
+    """(key, time, next): the first of a key's real times that is at least the cooldown later, null if there is none.
 
-    ``last`` is the time of a sending before them, if any.
+    ``times`` has (key, time, real). Time is cut into slots of one cooldown. What is looked for lies in the slot after the time's
+    own, or else is the first time of the next slot that has any, so windows hold the rows of one slot, or one row per slot.
     """
-    start = F.struct(
-        (F.lit(None) if last is None else last).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("sent")
+    slot = F.floor(F.col("at") / cooldown).cast("long")
+    here = times.filter("real").select("key", F.col("time").alias("at"), F.lit(1).alias("kind"), "time")
+    asked = times.select("key", (F.col("time") + cooldown).alias("at"), F.lit(0).alias("kind"), "time")
+    both = here.unionByName(asked).withColumn("slot", slot)
+    # From the latest to the earliest: the time passed last is the first one at or after a row.
+    passed = Window.partitionBy("key", "slot").orderBy(F.desc("at"), F.desc("kind"))
+    is_time = F.col("kind") == 1
+    found = F.last(F.when(is_time, F.col("at")), ignorenulls=True).over(passed.rowsBetween(Window.unboundedPreceding, 0))
+    firsts = both.groupBy("key", "slot").agg(F.min(F.when(is_time, F.col("at"))).alias("first"))
+    beyond = Window.partitionBy("key").orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select("key", "slot", F.last("first", ignorenulls=True).over(beyond).alias("beyond"))
+    return (
+        both.withColumn("found", found)
+        .filter("kind = 0")
+        .join(firsts, ["key", "slot"])
+        .select("key", "time", F.coalesce("found", "beyond").alias("next"))
     )
 
-    def step(state: Column, time: Column) -> Column:
-        sends = state["last"].isNull() | (time - state["last"] >= cooldown_s * 1_000_000)
-        sent = F.struct(time.alias("last"), F.array_append(state["sent"], time).alias("sent"))
-        return F.when(sends, sent).otherwise(state)
 
-    return F.aggregate(times, start, step, lambda state: state["sent"])
+def sending_times(times: DataFrame, cooldown: int, last: DataFrame | None = None) -> DataFrame:
+    """(key, time) of those of the distinct ``times`` (key, time) that send: each the first at least the cooldown after the one before.
 
+    ``last`` (key, time) has the sending before them, where there was one. The chain of a key is followed by pointer doubling:
+    every time points to the next sending after it if it were one itself; in each round the times known to send are joined by
+    those that the pointers lead to, and pointers are joined to themselves, so they lead twice as far. The rounds follow the
+    logarithm of the longest chain, rows are spread by (key, time), and nothing is gathered by key.
+    """
+    every = times.select("key", "time", F.lit(True).alias("real"))
+    if last is not None:
+        every = every.unionByName(last.select("key", "time", F.lit(False).alias("real")))
+    # Where there was a sending before, the chain begins with it.
+    start = every.groupBy("key").agg(
+        F.coalesce(F.min(F.when(~F.col("real"), F.col("time"))), F.min("time")).alias("time"),
+        F.min("real").alias("sends"),
+    )
+    # A time that equals the earlier sending's is a node of its own, which no chain can reach.
+    pointers = _next_times(every, cooldown).filter("next IS NOT NULL").distinct()
+    pointers, reached = stored(pointers), stored(start)
+    while not pointers.isEmpty():
+        # What a round adds is as far along the chain as all that was known before is long, so there are no repeats.
+        led = reached.join(pointers, ["key", "time"]).select("key", F.col("next").alias("time"), F.lit(True).alias("sends"))
+        reached = stored(reached.unionByName(led))
+        further = pointers.select("key", F.col("time").alias("next"), F.col("next").alias("after"))
+        pointers = stored(pointers.join(further, ["key", "next"]).select("key", "time", F.col("after").alias("next")))
+    return reached.filter("sends").select("key", "time")
 
-def replay_cooldown(
-    alerts: DataFrame, cooldown_s: int = 3600, tick_s: int = 60
-) -> DataFrame:
+
+def key_of(*names: str) -> Column:
+    """Columns as one text that is never null and differs where they do."""
+    parts = [F.coalesce(F.concat(F.char_length(name).cast("string"), F.lit(":"), F.col(name)), F.lit("-")) for name in names]
+    return F.concat(*parts)
+
+
+def replay_cooldown(alerts: DataFrame, cooldown_s: int = 3600, tick_s: int = 60) -> DataFrame:
     """Mark which alerts of a log would have been ``sent`` had the cooldown been applied all along.
 
     Rules are checked once per tick, at the time of the tick's first alert, and all alerts of one check share its fate: a
     user's check sends if the last sending one is at least ``cooldown_s`` earlier. Alerts without a user are one user's.
-    What is folded in order is the user's checks, whose number is bounded by the covered time and not by the number
-    of alerts; the alerts themselves stay distributed.
+    Neither a user's alerts nor their checks are gathered (see ``sending_times``).
     """
     tick = F.floor(F.unix_seconds("alert_ts") / tick_s).cast("long")
-    ticked = alerts.withColumn("_tick", tick)
-    checks = ticked.groupBy("username", "_tick").agg(F.min(F.unix_micros("alert_ts")).alias("_time"))
-    folded = checks.groupBy("username").agg(F.array_sort(F.collect_list("_time")).alias("times"))
-    sending = folded.select(
-        F.col("username").alias("_user"), F.explode(sending_times(F.col("times"), cooldown_s)).alias("_time")
-    ).select("_user", F.floor(F.col("_time") / (tick_s * 1_000_000)).cast("long").alias("_sent_tick"))
-    same = F.col("username").eqNullSafe(F.col("_user")) & (F.col("_tick") == F.col("_sent_tick"))
-    return (
-        ticked.join(sending, same, "left")
-        .withColumn("sent", F.col("_sent_tick").isNotNull())
-        .drop("_tick", "_user", "_sent_tick")
-    )
+    ticked = alerts.withColumns({"_tick": tick, "_key": key_of("username")})
+    checks = ticked.filter("alert_ts IS NOT NULL").groupBy(F.col("_key").alias("key"), "_tick")
+    checks = checks.agg(F.min(F.unix_micros("alert_ts")).alias("time"))
+    sent = sending_times(checks.select("key", "time"), cooldown_s * 1_000_000)
+    sent = sent.select(F.col("key").alias("_key"), F.floor(F.col("time") / (tick_s * 1_000_000)).cast("long").alias("_tick"))
+    sent = sent.withColumn("sent", F.lit(True))
+    marked = ticked.join(sent, ["_key", "_tick"], "left")
+    return marked.select(*alerts.columns, F.coalesce("sent", F.lit(False)).alias("sent"))
 
 
 def history_list(history: DataFrame, username: str, limit: int = 50) -> DataFrame:

@@ -16,7 +16,7 @@ from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.plans.reports import export_all
 from emberlog.schema import validate_schema
 from emberlog.sinks.alerts import append_alert_lines, append_alerts
-from emberlog.sources.csv_logs import read_csv_logs
+from emberlog.sources.csv_logs import read_csv_logs, read_rejects
 from emberlog.sources.log_table import read_parsed, write_parsed
 
 log = logging.getLogger(__name__)
@@ -55,9 +55,11 @@ def run_batch(
     at: datetime | None = None,
     username: str | None = None,
 ) -> BatchResult:
-    """Run everything. The raw text is read and parsed once; all results come from the columnar table."""
+    """Run everything. The raw text is parsed once; all results come from the columnar table. Records that don't fit their file's
+    header are found by a second reading and written to ``rejects``."""
     parsed_path, alerts_path = f"{out}/parsed", f"{out}/alerts"
     write_parsed(ingest(spark, paths, profile), parsed_path)
+    read_rejects(spark, paths).write.mode("overwrite").parquet(f"{out}/rejects")
     parsed = read_parsed(spark, parsed_path)
     written = export_all(parsed, f"{out}/reports", top_n)
     # The moment is fixed here, so that the lines are those of this run's alerts.

@@ -25,10 +25,14 @@ from emberlog.schema import RAW
 
 log = logging.getLogger(__name__)
 
-FILES = "path string"
-HEADERS = "path string, header string, opened boolean, reachable boolean"
-# Bytes looked at at once for a header line.
-BLOCK_BYTES = 1 << 16
+HEADERS = "path string, header string"
+REJECTS = "source_file string, record string, reason string, fields int, expected int"
+# Characters that a header probe decodes at once, and the size up to which a file is simply read to its end.
+PROBE_CHARS = 1 << 16
+SMALL_FILE = 1 << 20
+# Fields of a record at most; one with more makes Spark's parser fail the job.
+MOST_FIELDS = 1 << 19
+RECORD = "_record"
 
 
 def list_files(
@@ -59,73 +63,69 @@ def same_file_key(uri: Column) -> Column:
     return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
-def _header_probe(multi_line: bool):
-    """The task function that looks up the header of each path.
+def path_key(uri: str) -> str:
+    """``same_file_key`` for the driver."""
+    return re.sub("^file:/+", "file:/", uri)
+
+
+def _first_records(multi_line: bool):
+    """The task function that finds the first record with text of each file and then stops reading it.
 
     It is built inside a function so that it travels to the executors by value; they need not have this package.
     """
-    import pandas as pd
-
-    block_bytes = BLOCK_BYTES
-
-    def record_end(data: bytes, start: int) -> int:
-        end = data.find(b"\n", start)
-        while multi_line and end >= 0 and data.count(b'"', start, end) % 2:  # a line break inside quotes
-            end = data.find(b"\n", end + 1)
-        return end
-
-    def header_of(stream) -> str:
-        """The first record that isn't blank, however long it is."""
-        data, start, block = b"", 0, b"more"
-        while block:
-            block = stream.read(block_bytes)
-            data += block
-            while (end := record_end(data, start)) >= 0:
-                line = data[start:end].decode("utf-8-sig", "replace").rstrip("\r")
-                if line.strip():
-                    return line
-                start = end + 1
-        return data[start:].decode("utf-8-sig", "replace")
+    import pyarrow as pa
 
-    def probe(batches):
-        """Header and state per path, reading no more of a file than its header takes."""
-        from pyarrow import fs
+    small = SMALL_FILE
 
+    def probe(batches):
+        current, lines, done = None, [], False
         for batch in batches:
-            rows = []
-            for path in batch["path"]:
-                header, opened, reachable = None, False, False
-                try:
-                    files, inside = fs.FileSystem.from_uri(path)
-                    reachable = True
-                    with files.open_input_stream(inside) as stream:
-                        header = header_of(stream)
-                    opened = True
-                except Exception:  # noqa: BLE001  any kind of unreadable file is reported, not fatal
-                    pass
-                rows.append((path, header, opened, reachable))
-            yield pd.DataFrame(rows, columns=["path", "header", "opened", "reachable"])
+            for path, size, line in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if path != current:
+                    if lines and not done:
+                        yield pa.RecordBatch.from_pydict({"path": [current], "header": ["\n".join(lines)]})
+                    current, lines, done = path, [], False
+                if done:
+                    if size > small:
+                        return
+                    continue
+                line = (line or "").removeprefix("\ufeff")
+                if not lines and not line.strip():
+                    continue
+                lines.append(line)
+                if not multi_line or "".join(lines).count('"') % 2 == 0:  # no line break inside quotes
+                    done = True
+                    yield pa.RecordBatch.from_pydict({"path": [current], "header": ["\n".join(lines)]})
+        if lines and not done:
+            yield pa.RecordBatch.from_pydict({"path": [current], "header": ["\n".join(lines)]})
 
     return probe
 
 
-def _scan_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """First line with text per file by a Spark text scan, for file systems that the probe cannot open."""
-    lines = spark.read.text([readable_path(path) for path in paths])
-    start = lines.filter("_metadata.file_block_start = 0 AND trim(value) <> ''").select(
-        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("n")
-    )
-    first = start.groupBy("path").agg(F.min_by("value", "n").alias("header"))
-    return {row.path: row.header.lstrip("\ufeff") for row in first.toLocalIterator()}
-
-
 def file_headers(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
-    """Header of each file, looked up by the executors."""
+    """(path, header) of each file that has a line with text, on any file system that Spark reads.
+
+    Every file is a task of its own, whose input is an unsplit stream of lines. The task asks for the first few and ends, so not
+    much more than ``PROBE_CHARS`` of a file are read however large it is. Files that can't be read give no row.
+    """
     if not paths:
         return spark.createDataFrame([], HEADERS)
-    tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
-    listed = spark.createDataFrame([(path,) for path in paths], FILES).repartition(tasks)
-    return listed.mapInPandas(_header_probe(multi_line), HEADERS)
+    # Of a session of its own, whose settings concern nothing but this read.
+    probing = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        probing.conf.set(f"spark.sql.files.{name}", str(1 << 27))
+    probing.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    lines = (
+        probing.read.schema("value string")
+        .option("multiLine", True)
+        .option("sep", "\u0001")
+        .option("quote", "")
+        .option("inputBufferSize", PROBE_CHARS)
+        .option("ignoreCorruptFiles", True)
+        .csv([readable_path(path) for path in paths])
+    )
+    described = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), "value")
+    return described.mapInArrow(_first_records(multi_line), HEADERS)
 
 
 def file_states(
@@ -149,42 +149,97 @@ def group_by_header(spark: SparkSession, paths: list[str], multi_line: bool = Fa
     What reaches the driver is one short row per file, of the same order as Spark's own file listing.
     """
     groups: dict[str, list[str]] = defaultdict(list)
-    unreachable = []
+    left = {path_key(path): path for path in paths}
     for row in file_headers(spark, paths, multi_line).toLocalIterator():
-        if row.header and row.header.strip():
-            groups[row.header].append(row.path)
-        elif not row.reachable:
-            unreachable.append(row.path)
-        else:
-            log.warning("skipped %s file: %s", "empty" if row.opened else "unreadable", row.path)
-    for path, header in (_scan_headers(spark, unreachable) if unreachable else {}).items():
-        groups[header].append(path)
+        groups[row.header].append(left.pop(path_key(row.path)))
+    for path in left.values():
+        log.warning("skipped empty or unreadable file: %s", path)
     return {header: sorted(groups[header]) for header in sorted(groups)}
 
 
-def read_one_header(
-    spark: SparkSession, paths: list[str], header: str, multi_line: bool = False, keep_path: bool = False
-) -> DataFrame:
-    """Files that share one header line, as text columns with lower-case names; of equal names the first is kept.
-
-    ``keep_path`` adds the file each row came from as ``source_file``.
-    """
-    names = clean.unique_names(next(csv.reader([header])))
-    positional = [f"_{i}" for i in range(len(names))]
-    df = (
-        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in positional]))
+def _records(spark: SparkSession, paths: list[str], n_fields: int, multi_line: bool) -> DataFrame:
+    """Records of files of one header by position, with the whole text of those that don't fit it as ``RECORD``."""
+    fields = [T.StructField(f"_{i}", T.StringType()) for i in range(n_fields)]
+    return (
+        spark.read.schema(T.StructType([*fields, T.StructField(RECORD, T.StringType())]))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", RECORD)
+        .option("columnPruning", False)  # else only as many fields are looked at as are asked for
+        .option("maxColumns", MOST_FIELDS)
         .option("multiLine", multi_line)
         .csv([readable_path(path) for path in paths])
     )
-    named = [(p, name if name else f"_c{i}") for i, (p, name) in enumerate(zip(positional, names)) if name is not None]
+
+
+def _record() -> Column:
+    """The text of a record that doesn't fit. Spark gives it only to those who ask for a column of the file besides."""
+    return F.coalesce(RECORD, "_0")
+
+
+def _field_count() -> Column:
+    """Fields of a record's text: separators outside quotes, and one. Only a quote at the start of a field encloses it."""
+    closed = F.regexp_replace(_record(), '(^|,)"([^"]|"")*+"', "$1")
+    plain = F.regexp_replace(closed, '(?s)(^|,)".*$', "$1")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
+
+
+def _rejected(n_fields: int, strict: bool) -> Column:
+    """Whether a record can't be a row: it has more fields than the header, or with ``strict`` another number of them."""
+    return F.col(RECORD).isNotNull() & (_field_count() > (0 if strict else n_fields))
+
+
+def header_names(header: str) -> list[str | None]:
+    return clean.unique_names(next(csv.reader([header])))
+
+
+def read_one_header(
+    spark: SparkSession,
+    paths: list[str],
+    header: str,
+    multi_line: bool = False,
+    keep_path: bool = False,
+    strict: bool = False,
+) -> DataFrame:
+    """Files that share one header line, as text columns with lower-case names; of equal names the first is kept.
+
+    A record with more fields than the header is no row but one of ``read_rejects``: cut to the header it would lose what it
+    says. Missing fields at the end are null, unless ``strict`` makes such records rejects too. ``keep_path`` adds the file each
+    row came from as ``source_file``.
+    """
+    names = header_names(header)
+    df = _records(spark, paths, len(names), multi_line).filter(~_rejected(len(names), strict))
+    named = [(f"_{i}", name if name else f"_c{i}") for i, name in enumerate(names) if name is not None]
     source = [same_file_key(F.col("_metadata.file_path")).alias("source_file")] if keep_path else []
     return df.select(*[F.col(p).alias(name) for p, name in named], *source)
 
 
+def rejects_of_one_header(
+    spark: SparkSession, paths: list[str], header: str, multi_line: bool = False, strict: bool = False
+) -> DataFrame:
+    """The records that ``read_one_header`` leaves out: file, text, reason (``long`` or ``short``), fields found and expected."""
+    n = len(header_names(header))
+    rejected = _records(spark, paths, n, multi_line).filter(_rejected(n, strict))
+    count = _field_count()
+    return rejected.select(
+        same_file_key(F.col("_metadata.file_path")).alias("source_file"),
+        _record().alias("record"),
+        F.when(count > n, "long").otherwise("short").alias("reason"),
+        count.cast("int").alias("fields"),
+        F.lit(n).alias("expected"),
+    )
+
+
+def rejects_of_groups(
+    spark: SparkSession, groups: dict[str, list[str]], multi_line: bool = False, strict: bool = False
+) -> DataFrame:
+    """The rejects of files given per header line."""
+    frames = [rejects_of_one_header(spark, files, header, multi_line, strict) for header, files in groups.items()]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], REJECTS)
+
+
 def standard_columns(df: DataFrame, profile: ParseProfile = BATCH) -> DataFrame:
     """Canonical names and an assembled text timestamp, still otherwise raw."""
     return clean.assemble_timestamp(clean.rename_aliases(df), profile.strip_brackets)
@@ -201,10 +256,11 @@ def read_grouped(
     profile: ParseProfile = BATCH,
     multi_line: bool = False,
     keep_path: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """CSV files, given per header line, as one raw table; without any file, an empty one with the required columns."""
     frames = [
-        standard_columns(read_one_header(spark, files, header, multi_line, keep_path), profile)
+        standard_columns(read_one_header(spark, files, header, multi_line, keep_path, strict), profile)
         for header, files in groups.items()
     ]
     return merge_by_name(frames) if frames else spark.createDataFrame([], RAW)
@@ -216,9 +272,10 @@ def read_files(
     profile: ParseProfile = BATCH,
     multi_line: bool = False,
     keep_path: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """Listed CSV files as one raw table; a file that can't be read to its end fails the job that reads it."""
-    return read_grouped(spark, group_by_header(spark, paths, multi_line), profile, multi_line, keep_path)
+    return read_grouped(spark, group_by_header(spark, paths, multi_line), profile, multi_line, keep_path, strict)
 
 
 def read_csv_logs(
@@ -229,10 +286,27 @@ def read_csv_logs(
     glob: str | None = "*.csv",
     recursive: bool = False,
     multi_line: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
-    """CSV files and directories as one raw table with canonical names and a text timestamp."""
+    """CSV files and directories as one raw table with canonical names and a text timestamp.
+
+    Records that don't fit their file's header are those of ``read_rejects`` with the same arguments.
+    """
     files = list_files(spark, paths, glob, recursive)
     if header or not files:
-        return read_files(spark, files, profile, multi_line)
+        return read_files(spark, files, profile, multi_line, strict=strict)
     plain = spark.read.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     return clean.lower_columns(plain.csv([readable_path(path) for path in files]))
+
+
+def read_rejects(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    glob: str | None = "*.csv",
+    recursive: bool = False,
+    multi_line: bool = False,
+    strict: bool = False,
+) -> DataFrame:
+    """(source_file, record, reason, fields, expected) of every record that ``read_csv_logs`` leaves out."""
+    files = list_files(spark, paths, glob, recursive)
+    return rejects_of_groups(spark, group_by_header(spark, files, multi_line), multi_line, strict)

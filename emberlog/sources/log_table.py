@@ -7,6 +7,7 @@ Layout below a base directory:
 * ``manifest`` — one small row per source file that was read. A batch counts as soon as its manifest rows are there;
   what a batch that died half way has left behind is never read. A file that was skipped as empty or unreadable has no
   row, so the next run tries it again.
+* ``rejects/batch_id=…`` — records that don't fit the header of their file, with their text.
 * ``superseded`` — (source_file, batch_id, by_batch) of files that changed and were ingested again: rows of the earlier
   batch no longer count once the later one does.
 """
@@ -23,7 +24,14 @@ from pyspark.sql.utils import AnalysisException
 from emberlog.config import BATCH, ParseProfile
 from emberlog.plans.parse import parse_logs
 from emberlog.schema import PARSED
-from emberlog.sources.csv_logs import file_states, group_by_header, read_grouped, same_file_key
+from emberlog.sources.csv_logs import (
+    REJECTS,
+    file_states,
+    group_by_header,
+    read_grouped,
+    rejects_of_groups,
+    same_file_key,
+)
 
 FILE = "path string, modified timestamp, bytes long"
 MANIFEST = f"{FILE}, batch_id string, ingested timestamp"
@@ -85,6 +93,7 @@ def ingest_new(
     batch_id = f"b{uuid.uuid4().hex}"
     raw = read_grouped(spark, groups, profile, keep_path=True)
     write_parsed(parse_logs(raw, profile), f"{base}/logs/batch_id={batch_id}", mode="errorifexists")
+    rejects_of_groups(spark, groups).write.mode("errorifexists").parquet(f"{base}/rejects/batch_id={batch_id}")
     rows = spark.createDataFrame(read, FILE)
     earlier = read_if_exists(spark, f"{base}/manifest", MANIFEST).join(rows.select("path"), "path", "left_semi")
     replaced = earlier.select(same_file_key(F.col("path")).alias("source_file"), "batch_id", F.lit(batch_id).alias("by_batch"))
@@ -95,6 +104,17 @@ def ingest_new(
     return batch_id
 
 
+def _as_ingested(spark: SparkSession, base: str, rows: DataFrame) -> DataFrame:
+    """Rows with (source_file, batch_id) that belong to the latest finished batch of their file."""
+    manifest = read_if_exists(spark, f"{base}/manifest", MANIFEST)
+    finished = sorted(row.batch_id for row in manifest.select("batch_id").distinct().toLocalIterator())
+    rows = rows.filter(F.col("batch_id").isin(finished))
+    replaced = read_if_exists(spark, f"{base}/superseded", SUPERSEDED).filter(F.col("by_batch").isin(finished))
+    if replaced.isEmpty():
+        return rows
+    return rows.join(replaced.select("source_file", "batch_id").distinct(), ["source_file", "batch_id"], "left_anti")
+
+
 def read_ingested(spark: SparkSession, base: str, extra_columns: bool = False) -> DataFrame:
     """Rows of every source file as of its latest finished batch.
 
@@ -102,15 +122,14 @@ def read_ingested(spark: SparkSession, base: str, extra_columns: bool = False) -
     The canonical columns are read by their known schema. ``extra_columns`` adds the pass-through columns of all
     batches, which means looking at the schema of every file first.
     """
-    manifest = spark.read.schema(MANIFEST).parquet(f"{base}/manifest")
-    finished = sorted(row.batch_id for row in manifest.select("batch_id").distinct().toLocalIterator())
     reader = spark.read
     if extra_columns:
         rows = reader.option("mergeSchema", True).parquet(f"{base}/logs")
     else:
         rows = reader.schema(INGESTED).parquet(f"{base}/logs")
-    rows = rows.filter(F.col("batch_id").isin(finished))
-    replaced = read_if_exists(spark, f"{base}/superseded", SUPERSEDED).filter(F.col("by_batch").isin(finished))
-    if replaced.isEmpty():
-        return rows
-    return rows.join(replaced.select("source_file", "batch_id").distinct(), ["source_file", "batch_id"], "left_anti")
+    return _as_ingested(spark, base, rows)
+
+
+def read_ingested_rejects(spark: SparkSession, base: str) -> DataFrame:
+    """The rejects of every source file as of its latest finished batch."""
+    return _as_ingested(spark, base, read_if_exists(spark, f"{base}/rejects", f"{REJECTS}, batch_id string"))

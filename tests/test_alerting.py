@@ -253,6 +253,42 @@ def test_replayed_cooldown_compares_seconds_and_takes_alerts_without_a_user(spar
         assert mine == [(59, True), (3600, False), (3659, False), (3661, True)]
 
 
+def test_sendings_of_a_hot_user_are_those_of_the_fold(spark):
+    rng = random.Random(8)
+    hot = sorted(rng.sample(range(8_000), 1500))
+    rows = [("ann", t) for t in hot] + [("bob", t) for t in (5, 14, 15, 24, 25, 26, 900, 909, 910)] + [("eve", 3)]
+    times = spark.createDataFrame(rows, "key string, time bigint")
+    last = spark.createDataFrame([("bob", 5), ("eve", 3), ("ann", -20), ("zoe", 1)], "key string, time bigint")
+
+    def fold(own: list[int], before: int | None) -> list[int]:
+        sent = []
+        for t in own:
+            if before is None or t - before >= 10:
+                before = t
+                sent.append(t)
+        return sent
+
+    def found(known):
+        return sorted(tuples(alert_log.sending_times(times, 10, known), "key", "time"))
+
+    ann = [("ann", t) for t in fold(hot, None)]
+    assert found(None) == sorted([*ann, *(("bob", t) for t in (5, 15, 25, 900, 910)), ("eve", 3)])
+    assert found(last) == sorted([*(("ann", t) for t in fold(hot, -20)), *(("bob", t) for t in (15, 25, 900, 910))])
+    assert alert_log.sending_times(times.filter("false"), 10).count() == 0
+
+
+def test_cooldown_gathers_nothing_by_user(spark):
+    rows = [("ann", START + timedelta(minutes=3 * k), "A") for k in range(300)]
+    plan = alert_log.replay_cooldown(alert_table(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Python" not in plan and "Window" not in plan
+
+
+def test_keys_tell_null_from_text(spark):
+    rows = [(None, "a"), ("", "a"), ("-", "a"), ("1:x", "a"), ("1", ":xa"), ("a", None), ("a", "")]
+    keys = spark.createDataFrame(rows, "u string, t string").select(alert_log.key_of("u", "t").alias("k"))
+    assert keys.distinct().count() == len(rows)
+
+
 def test_checks_remember_the_last_count(spark, tmp_path):
     base, df = str(tmp_path), logs(spark, (3, "ERROR", "a"))
     found = [rules.check_for_change(df, base, "ann", START + timedelta(hours=k)).first() for k in range(2)]

@@ -152,6 +152,33 @@ def test_dedup_gathers_no_user_in_one_value(spark, capsys):
     assert found == sorted([("u", start + timedelta(minutes=30 + 60 * k)) for k in range(5)] + [(None, start)], key=repr)
 
 
+def test_alerts_out_of_order_are_sent_as_in_order(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    minutes = [0, 30, 61, 90, 130, 200, 259, 260, 400, 401, 461]
+    alerts = [("ann", start + timedelta(minutes=m), "A") for m in minutes] + [("bob", start + timedelta(minutes=70), "B")]
+    shuffled = [alerts[k] for k in (3, 0, 11, 2, 1, 5, 4, 8, 6, 7, 10, 9)]
+    drop, out = str(tmp_path / "drop"), str(tmp_path / "out")
+    for k in range(0, len(shuffled), 3):
+        alert_table(spark, shuffled[k : k + 3]).coalesce(1).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(spark.read.parquet(drop).schema).parquet(drop)
+        drop_folder.start_alert_dedup(stream, out, str(tmp_path / "cp"), lateness_s=200 * 60).awaitTermination()
+    drop_folder.release_held(spark, out, spark.read.parquet(drop).schema)
+    sent = sorted((r.username, (r.alert_ts - start).seconds // 60) for r in drop_folder.read_sent_alerts(spark, out).collect())
+    assert sent == [("ann", 0), ("ann", 61), ("ann", 130), ("ann", 200), ("ann", 260), ("ann", 400), ("ann", 461), ("bob", 70)]
+    assert drop_folder.read_late_alerts(spark, out).count() == 0
+
+
+def test_alerts_behind_the_watermark_are_kept_apart(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    drop, out = str(tmp_path / "drop"), str(tmp_path / "out")
+    for minute in (100, 50, 170):
+        alert_table(spark, [("ann", start + timedelta(minutes=minute), "A")]).coalesce(1).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(spark.read.parquet(drop).schema).parquet(drop)
+        drop_folder.start_alert_dedup(stream, out, str(tmp_path / "cp")).awaitTermination()
+    assert [r.alert_ts.minute for r in drop_folder.read_late_alerts(spark, out).collect()] == [50]
+    assert drop_folder.read_sent_alerts(spark, out).count() == 2
+
+
 def test_streamed_dedup_is_the_same_for_one_and_many_batches(spark, tmp_path):
     start = datetime(2024, 1, 1)
     rows = sorted(((f"u{k % 3}", start + timedelta(minutes=37 * k + k % 5), "AB"[k % 2]) for k in range(120)), key=lambda r: r[1])
@@ -180,6 +207,26 @@ def test_folder_trend_with_two_orders_of_columns(spark, write_csv, tmp_path):
         assert got == tuples(metrics.error_trends(ingest(spark, drop)))
 
 
+def test_folder_trend_counts_files_that_were_empty_at_first(spark, write_csv, tmp_path):
+    drop, out, checkpoint = str(tmp_path / "drop"), str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def total():
+        drop_folder.start_folder_trends(spark, drop, out, checkpoint).awaitTermination()
+        return sum(r.error_count for r in drop_folder.read_folder_trends(spark, out).collect())
+
+    write_csv("drop/a.csv", HEADER, SAMPLE[2])
+    late = [tmp_path / "drop" / f"{name}.csv" for name in "xy"]
+    for file in late:
+        file.write_text("")
+    assert total() == 1
+    # The stream has seen the path; no new file arrives, then one does.
+    late[0].write_text(Path(write_csv("spare/x.csv", HEADER, SAMPLE[3])).read_text())
+    assert total() == 2 and total() == 2
+    late[1].write_text(Path(write_csv("spare/y.csv", HEADER, SAMPLE[4], SAMPLE[7])).read_text())
+    write_csv("drop/b.csv", HEADER, SAMPLE[2])
+    assert total() == 5 and total() == 5
+
+
 def test_stream_fails_on_another_header(spark, write_csv, tmp_path):
     write_csv("drop/a.csv", ["Level", "Content", "Date", "Time"], ["ERROR", "x", "2024-01-01", "00:00:01"])
     with pytest.raises(Exception, match="(?i)header"):

@@ -53,13 +53,56 @@ def test_odd_files(spark, write_csv, tmp_path):
     assert sorted(tuples(df, "message")) == [("kept",), ("with cr",), ("with mark",)]
 
 
-def test_header_scan_agrees_with_probe(spark, write_csv, tmp_path):
+def test_headers_are_found_without_reading_files(spark, write_csv, tmp_path):
     write_csv("d/a.csv", ["message", "level"], ["one", "INFO"])
     write_csv("d/b c.csv", ["x"], ["1"], ["2"])
+    (tmp_path / "d" / "none.csv").write_text("\n \n")
+    line = "a long line of a big file that nobody needs to see for its header\n"
+    (tmp_path / "d" / "big.csv").write_text("message\n" + line * 600_000)
     files = csv_logs.list_files(spark, str(tmp_path / "d"))
-    probed = {os.path.basename(r.path): r.header for r in csv_logs.file_headers(spark, files).collect()}
-    scanned = {os.path.basename(p): h for p, h in csv_logs._scan_headers(spark, files).items()}
-    assert probed == scanned == {"a.csv": "message,level", "b%20c.csv": "x"}
+    found = csv_logs.file_headers(spark, files)
+    assert {os.path.basename(r.path): r.header for r in found.collect()} == {
+        "a.csv": "message,level", "b%20c.csv": "x", "big.csv": "message"
+    }
+    # One task per file, so no file is read on the way to another's header.
+    assert found.rdd.getNumPartitions() == len(files)
+    rows = found._jdf.queryExecution().executedPlan()
+    read = [rows]
+    while not read[-1].nodeName().startswith("Scan csv"):
+        read.append(read[-1].children().apply(0))
+    assert "value" in read[-1].simpleString(100)
+
+
+def test_ragged_records_are_rejects(spark, write_csv, tmp_path):
+    path = tmp_path / "ragged"
+    path.mkdir()
+    wide = ",".join(["x"] * 30_000)
+    (path / "a.csv").write_text(f'date,time,level,content\n1,2,INFO,disk full, node 7\n1,2,INFO,"disk full, node 7"\n1,2\n{wide}\n1,2,INFO,say "a, b"\n')
+    (path / "b.csv").write_text('content,level\nfine,INFO\n"un,closed,INFO\n')
+    rows = csv_logs.read_csv_logs(spark, str(path))
+    assert sorted(tuples(rows, "message"), key=repr) == [("disk full, node 7",), ("fine",), ("un,closed,INFO",), (None,)]
+    rejects = csv_logs.read_rejects(spark, str(path))
+    assert sorted(tuples(rejects, "reason", "fields", "expected")) == [("long", 5, 4), ("long", 5, 4), ("long", 30_000, 4)]
+    texts = {r.record for r in rejects.collect()}
+    assert {"1,2,INFO,disk full, node 7", wide} <= texts and all(r.source_file.endswith("a.csv") for r in rejects.collect())
+    strict = csv_logs.read_rejects(spark, str(path), strict=True)
+    assert strict.filter("reason = 'short'").count() == 2
+    assert csv_logs.read_csv_logs(spark, str(path), strict=True).count() + strict.count() == 7
+    # However few columns are asked for.
+    assert rows.select("log_level").count() == 4 and rows.count() == 4 and rejects.count() == 3
+    assert csv_logs.read_rejects(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_rejects_follow_their_files(spark, tmp_path):
+    base, drop = str(tmp_path / "table"), tmp_path / "drop"
+    drop.mkdir()
+    (drop / "a.csv").write_text("timestamp,level,content\n2024-01-01 00:00:00,INFO,a,b\n2024-01-01 00:00:00,INFO,c\n")
+    log_table.ingest_new(spark, base, str(drop))
+    assert tuples(log_table.read_ingested_rejects(spark, base), "record") == [("2024-01-01 00:00:00,INFO,a,b",)]
+    (drop / "a.csv").write_text("timestamp,level,content\n2024-01-01 00:00:00,INFO,\"a,b\"\n2024-01-01 00:00:00,INFO,c\n")
+    log_table.ingest_new(spark, base, str(drop))
+    assert log_table.read_ingested_rejects(spark, base).count() == 0
+    assert sorted(tuples(log_table.read_ingested(spark, base), "message")) == [("a,b",), ("c",)]
 
 
 def test_headerless(spark, write_csv):

@@ -10,7 +10,8 @@ looked for by the hash of all their words, one pass for each length that occurs.
 Words are runs of letters, digits and characters beyond ASCII, with A-Z in lower case. A null or empty text has no words
 and is clean. Items without words have no window. Documents are told apart by id and text, so rows with equal ids
 are judged by their own text, and repeated rows each get the same answer. A null item id is left out of the lists but its
-windows count. An empty table of documents or of items gives the obvious result. Other columns are ignored.
+windows count. An empty table of documents or of items gives the obvious result. Other columns of documents are
+handed on, whatever their names, but for those that bear the name of a result (n_words, n_hit, items): these are left out.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.shared import ascii_lower, small_enough
+from emberlog.llm.shared import ascii_lower, sealed, small_enough, unsealed
 
 SPAN, GRAM = 10, 5
 
@@ -178,11 +179,11 @@ def decontaminated(
                          F.col("id").eqNullSafe(F.col("l_id")) & (F.col("mark") == F.col("l_mark")))
     found = found.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), "n_hit", "items")
     found = found.withColumnsRenamed({"n_hit": "_n_hit", "items": "_items"})
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumns({"_doc_mark": F.xxhash64(text_col)})
-    joined = rows.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_doc_mark") == F.col("_mark")), "left")
+    text = F.coalesce("sealed_text", F.lit(""))
+    rows = sealed(docs, id_col, text_col).withColumn("_doc_mark", F.xxhash64("sealed_text"))
+    joined = rows.join(found, F.col("sealed_id").eqNullSafe(F.col("_id")) & (F.col("_doc_mark") == F.col("_mark")), "left")
     return joined.select(
-        *(joined[c] for c in docs.columns if c not in ("n_words", "n_hit", "items")),
+        *unsealed([c for c in docs.columns if c not in ("n_words", "n_hit", "items")], id_col, text_col),
         F.regexp_count(text, F.lit(ANY_CASE_WORD)).cast("bigint").alias("n_words"),
         F.coalesce("_n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce("_items", F.array().cast("array<string>")).alias("items"),

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog.llm.components import components
-from emberlog.llm.shared import checkpointed, hinted, partitions, small_batches, small_enough
+from emberlog.llm.shared import checkpointed, hinted, partitions, sealed, small_batches, small_enough, unsealed
 
 N = 5
 #: The threshold as a fraction.
@@ -578,6 +578,13 @@ def one_row_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Here the texts of one id are not taken together, so one that is unlike the others stays. Of an id's empty texts one row
     stays, and rows without an id all stay. All columns must have an order.
     """
+    columns = df.columns
+    rows = _one_row_of_each(sealed(df, id_col, text_col))
+    return rows.select(*unsealed(columns, id_col, text_col))
+
+
+def _one_row_of_each(df: DataFrame) -> DataFrame:
+    id_col, text_col = "sealed_id", "sealed_text"
     with small_batches(df.sparkSession):
         key = F.col(id_col).cast("bigint")
         base, repeated, classes, links = _linked_classes(df.select(key.alias("id"), F.col(text_col).alias("text")))

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A build side is broadcast only when it was counted first and holds at most so many rows of fixed width.
@@ -82,5 +82,21 @@ def ascii_lower(text):
     )
 
 
+def sealed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(sealed_id, sealed_text, sealed_rest): id, text, and all other columns as one value, so that their names clash with nothing."""
+    rest = [F.col(f"`{name}`") for name in df.columns if name not in (id_col, text_col)]
+    return df.select(
+        F.col(f"`{id_col}`").alias("sealed_id"),
+        F.col(f"`{text_col}`").alias("sealed_text"),
+        (F.struct(*rest) if rest else F.lit(0)).alias("sealed_rest"),
+    )
+
+
+def unsealed(columns: list[str], id_col: str, text_col: str) -> list[Column]:
+    """The columns of a table that was ``sealed``, as they were; ``columns`` names those wanted in their order."""
+    own = {id_col: F.col("sealed_id"), text_col: F.col("sealed_text")}
+    return [own.get(name, F.col("sealed_rest").getField(name)).alias(name) for name in columns]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

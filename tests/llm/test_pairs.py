@@ -252,3 +252,27 @@ def test_stages_keep_rows_with_gaps(spark):
         assert stage(spark, rows.limit(0), sf).count() == 0
     once = corpus_pipeline.keep_one_of_each(spark, rows, sf).collect()
     assert sum(r.doc_id is None for r in once) == 2 and len({r.doc_id for r in once}) == len(once) - 1
+
+
+def test_stages_keep_the_values_of_any_other_column(spark):
+    import corpus_pipeline
+    from emberlog.llm import decontaminate, ngram_join
+
+    names = ["_id", "_mark", "_n_hit", "_items", "_doc_mark", "n_words", "n_hit", "items", "key", "_key", "_of", "id", "mark", "node",
+             "label", "first", "n", "score", "predicted", "held_out", "features", "labelled", "quality", "sealed_rest", "class", "row",
+             "a.b", "words", "equal", "Text "]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(40)
+    docs = docs.union(docs.limit(5)).union(docs.limit(3).selectExpr("doc_id", "text || ' other words at its end'"))
+    rows = docs.select(*[F.concat(F.lit(f"{name} of "), F.col("doc_id")).alias(name) for name in names], "text", "doc_id").checkpoint()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, rows, "/root/testdata/sf0.001")
+        assert found.columns == rows.columns
+        got = found.collect()
+        assert got and all(r[name] == f"{name} of {r.doc_id}" for r in got for name in names)
+    assert {"doc_id", "n_tokens"} <= set(corpus_pipeline.encode(spark, rows.withColumn("ids", F.lit(1)), "").columns)
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    kept = [name for name in names if name not in ("n_words", "n_hit", "items")]
+    judged = decontaminate.decontaminated(rows, items).collect()
+    assert len(judged) == rows.count() and all(r[name] == f"{name} of {r.doc_id}" for r in judged for name in kept)
+    assert all(isinstance(r.n_hit, int) and isinstance(r["items"], list) for r in judged)
+    assert ngram_join.one_row_of_each(rows).columns == rows.columns

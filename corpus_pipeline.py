@@ -16,12 +16,22 @@ from emberlog.llm.bpe import bpe_code
 from emberlog.llm.decontaminate import decontaminated
 from emberlog.llm.ngram_join import one_row_of_each
 from emberlog.llm.queries import scored
-from emberlog.llm.shared import fresh_folder, table
+from emberlog.llm.shared import fresh_folder, sealed, table, unsealed
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """Documents with their other columns as one, so that the names of these clash with no result of an operator."""
+    return sealed(docs, "doc_id", "text").withColumnsRenamed({"sealed_id": "doc_id", "sealed_text": "text"})
+
+
+def _restored(docs: DataFrame) -> DataFrame:
+    return docs.withColumnsRenamed({"doc_id": "sealed_id", "text": "sealed_text"})
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; null and empty texts are scored like others."""
-    return scored(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*docs.columns)
+    judged = scored(_plain(docs), table(spark, sf_dir, "labels"))
+    return _restored(judged.filter("predicted = 1")).select(*unsealed(docs.columns, "doc_id", "text"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +41,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    judged = decontaminated(docs, table(spark, sf_dir, "benchmark"))
-    return judged.filter("n_hit = 0").select(*docs.columns)
+    judged = decontaminated(_plain(docs), table(spark, sf_dir, "benchmark"))
+    return _restored(judged.filter("n_hit = 0")).select(*unsealed(docs.columns, "doc_id", "text"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digest of the text decoded from them."""
-    coded = bpe_code(docs, public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe_code(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
+from emberlog.llm.shared import released
+
 # Texts are worked on in parts of so many characters, and the words of finished parts are kept up to so many.
 PART_CHARS = 4_000_000
 KNOWN_WORDS = 200_000
@@ -229,5 +231,5 @@ def bpe_code(
             pa.default_memory_pool().release_unused()
 
     chosen = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    result = chosen.mapInArrow(code, f"id {kind.simpleString()}, n bigint, ids string, decoded string")
+    result = chosen.mapInArrow(released(code), f"id {kind.simpleString()}, n bigint, ids string, decoded string")
     return result.toDF(id_col, "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog.llm.components import components
-from emberlog.llm.shared import checkpointed, hinted, partitions, sealed, small_batches, small_enough, unsealed
+from emberlog.llm.shared import checkpointed, hinted, partitions, released, sealed, small_batches, small_enough, unsealed
 
 N = 5
 #: The threshold as a fraction.
@@ -239,7 +239,7 @@ def with_sets(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([*(f"{name} {kinds[name]}" for name in keep), "hashes array<bigint>"])
-    return docs.select("text", *keep).mapInArrow(shingle, schema)
+    return docs.select("text", *keep).mapInArrow(released(shingle), schema)
 
 
 def summaries(docs: DataFrame) -> DataFrame:
@@ -286,7 +286,7 @@ def summaries(docs: DataFrame) -> DataFrame:
         yield from several()
 
     schema = "id bigint, n bigint, key binary, first bigint, prefix array<bigint>, bits binary"
-    return docs.select("id", "text").mapInArrow(summarise, schema)
+    return docs.select("id", "text").mapInArrow(released(summarise), schema)
 
 
 def with_keys(docs: DataFrame, text_col: str) -> DataFrame:
@@ -303,7 +303,7 @@ def with_keys(docs: DataFrame, text_col: str) -> DataFrame:
                 keys = pa.array([class_key(found) if len(found) else None for found in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, keys], [*names, "key"])
 
-    return docs.mapInArrow(keyed, T.StructType([*docs.schema.fields, T.StructField("key", T.BinaryType())]))
+    return docs.mapInArrow(released(keyed), T.StructType([*docs.schema.fields, T.StructField("key", T.BinaryType())]))
 
 
 def repeated_ids(base: DataFrame) -> DataFrame:
@@ -369,7 +369,7 @@ def rare_first(docs: DataFrame, heavy: DataFrame, common: np.ndarray) -> DataFra
             ends = np.cumsum(np.r_[0, contained(prefixes.values.to_numpy(), common)])[prefixes.offsets.to_numpy()]
             yield batch.select([0]).filter(pa.array(ends[1:] > ends[:-1]))
 
-    again = checkpointed(heavy.select("id", "prefix").mapInArrow(touched, "id bigint").distinct())
+    again = checkpointed(heavy.select("id", "prefix").mapInArrow(released(touched), "id bigint").distinct())
 
     def anew(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
@@ -390,7 +390,7 @@ def rare_first(docs: DataFrame, heavy: DataFrame, common: np.ndarray) -> DataFra
 
     few = hinted(again)
     texts = docs.join(few, "id").select("text", "id")
-    renewed = checkpointed(texts.mapInArrow(anew, "id bigint, prefix array<bigint>, bits binary"))
+    renewed = checkpointed(texts.mapInArrow(released(anew), "id bigint, prefix array<bigint>, bits binary"))
     return heavy.join(few, "id", "left_anti").unionByName(renewed)
 
 
@@ -403,7 +403,7 @@ def blocks(count, total):
 def in_tiles(df: DataFrame, keys: list[str], function: Callable, schema: str) -> DataFrame:
     """``function`` on the batches of each partition, in which the rows of a tile follow one another."""
     dealt = df.repartition(partitions(df.sparkSession), *keys)
-    return dealt.sortWithinPartitions(*keys).mapInArrow(function, schema)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(released(function), schema)
 
 
 def joined_by_token(docs: DataFrame, rows: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from emberlog.llm.shared import released
+
 #: Shares of the pooled covariance and of its diagonal in each class's covariance.
 POOLED, DIAGONAL = 0.05, 0.05
 SENTENCE = ".,;:'\"-()"
@@ -86,19 +88,26 @@ def statistics(text: str, kind: np.ndarray) -> list[float]:
     ]
 
 
+def _parts(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches cut to a few texts each, so that few are in Python at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def with_statistics(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` of each row and the statistics of its text (features array<double>)."""
     schema = ", ".join(f"c{k} {df.schema[name].dataType.simpleString()}" for k, name in enumerate(keep))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = kinds()
-        for batch in batches:
+        for batch in _parts(batches):
             found = [statistics(text or "", kind) for text in batch.column(0).to_pylist()]
             columns = [*batch.columns[1:], pa.array(found, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, [*(f"c{k}" for k in range(len(keep))), "features"])
 
     chosen = df.select(F.col(text_col).alias("text"), *(F.col(name).alias(f"c{k}") for k, name in enumerate(keep)))
-    return chosen.mapInArrow(measure, f"{schema}, features array<double>").toDF(*keep, "features")
+    return chosen.mapInArrow(released(measure), f"{schema}, features array<double>").toDF(*keep, "features")
 
 
 @dataclass
@@ -137,7 +146,7 @@ def fit(labelled: DataFrame, label_col: str, features_col: str = "features") ->
         )
 
     chosen = labelled.select(F.col(label_col).cast("int").alias("label"), F.col(features_col).alias("features"))
-    parts = chosen.filter("label IN (0, 1)").mapInArrow(moments, "label int, sums array<double>")
+    parts = chosen.filter("label IN (0, 1)").mapInArrow(released(moments), "label int, sums array<double>")
     added = parts.select("label", F.posexplode("sums")).groupBy("label", "pos").agg(F.sum("col").alias("value"))
     values: dict[int, dict[int, float]] = {0: {}, 1: {}}
     for row in added.collect():  # a fixed number of rows: two classes by the moments
@@ -171,13 +180,13 @@ def with_score(df: DataFrame, model: Discriminant, text_col: str = "text") -> Da
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = kinds()
-        for batch in batches:
+        for batch in _parts(batches):
             found = [statistics(text or "", kind) for text in batch.column(place).to_pylist()]
             scores = model.scores(np.array(found)) if found else np.array([])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
     chosen = df.select(*names)
-    return chosen.mapInArrow(score, StructType([*chosen.schema, StructField("score", DoubleType())]))
+    return chosen.mapInArrow(released(score), StructType([*chosen.schema, StructField("score", DoubleType())]))
 
 
 def held_out(id_col: str = "doc_id"):

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.shared import partitions
+from emberlog.llm.shared import partitions, released
 
 WINDOW = 20
 # Windows of a chunk, and of a bucket on average, with words of 5 bytes.
@@ -345,8 +345,8 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, chunk: int = CHUNK
     if buckets is None:
         size = docs.agg(F.sum(F.octet_length("_text").cast("bigint"))).first()[0] or 0
         buckets = max(partitions(spark), -(-size // (5 * BUCKET)))
-    packed = docs.select("_key", "_same", "_text").mapInArrow(_chunked(window, buckets, chunk), PACKED)
-    counted = packed.repartitionById(buckets, "bucket").mapInArrow(_counted, PACKED)
+    packed = docs.select("_key", "_same", "_text").mapInArrow(released(_chunked(window, buckets, chunk)), PACKED)
+    counted = packed.repartitionById(buckets, "bucket").mapInArrow(released(_counted), PACKED)
     by_chunk = counted.repartition(partitions(spark), "chunk").sortWithinPartitions("chunk")
     # Equal rows of one id in several chunks give equal intervals.
     return by_chunk.mapInArrow(_intervals(window), REMOVED).dropDuplicates(["_key", "_same"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +60,27 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def released(task: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """A task function that gives its memory back when it ends. Python workers live on beside the joins of later stages, and what
+    their allocators keep would count against the executor all that time."""
+
+    def run(batches: Iterable) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow
+
+        yield from task(batches)
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another allocator than that of glibc
+            pass
+
+    return run
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

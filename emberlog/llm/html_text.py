@@ -1,17 +1,23 @@
 """Main text of HTML pages by tree scoring.
 
-A page is read once into a tree. Elements that never hold the article (menus, headers, footers, sidebars, notices,
-adverts, form controls, scripts, styles, reader comments) are marked as they open; a form is left out when it holds
-neither an article nor most of the text. Each remaining block of text passes points
-for its length and its commas to its container and, in decreasing parts, to the ancestors beyond. A container's points
-are discounted by the share of its text that is links. The best container, widened to the ``article`` or ``main``
-element around it, gives the text. Without such an element all that is not marked does, so no section is lost. Lists of
-links are left out only where they stand before or after all other text.
+A page is read once into a tree. Elements that never hold the article by their kind (menus, footers, sidebars, form
+controls, scripts, styles, hidden parts, the page's header) are left out as they open; a form is left out when it holds
+neither an article nor most of the text. What remains is scored, by one rule for all pages:
+
+* A block of text is worth a point, and more for its length and its commas, less for the share of it that is links. Words of a
+  class or id that speak of adverts, comments, notices and the like lower the worth of all that is inside, and no more than that.
+* A block passes its points to its container and, in decreasing parts, to the ancestors beyond; a container's points are
+  discounted by its link density. From the best container on, the lowest ancestor with ``NEARLY`` all worth of the page is taken.
+* Siblings of that container and of its ancestors, up to an ``article`` or ``main``, stay when they are parts of the same
+  kind, when they are worth about as much a block as the container is, or when they are headings of what follows.
+* Inside, parts named as foreign go when their lowered worth a block is far below that of the rest. Lists of links go only where they
+  stand before or after all other text, and so do boxes of a few words where no ``article`` or ``main`` bounds the text.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by a line feed.
 A null or empty page, and one without text, gives an empty text. Broken markup is closed as browsers do in the simple
-cases: a block ends an open paragraph, an unknown end tag is ignored, an unclosed comment or script goes to the end.
-Repeated rows are treated each. Very long pages take time and memory in proportion.
+cases: a block ends an open paragraph, an unknown end tag is ignored, an unclosed comment or script goes to the end; quotes
+count in attribute values only, and no longer once a tag was found not to end; a last tag without an end is text.
+Repeated rows are treated each. Time and memory are in proportion to a page's length, whatever its markup is.
 """
 
 from __future__ import annotations
@@ -25,14 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# The possessive parts never try a second reading, so a tag costs its length.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+UNQUOTED_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+OPENING = re.compile(r"<(?=[a-zA-Z!?]|/[a-zA-Z])")
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
 WORD = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+RAW = {
+    name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE | re.ASCII)
+    for name in "script style textarea title noscript iframe xmp noembed noframes".split()
+}
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody"
@@ -54,21 +64,40 @@ NEVER = frozenset(
 )
 KEPT = frozenset("html body main article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words in a class or id that mark what is no article.
-FOREIGN = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion"
-    " cookie cookies consent gdpr notice notices notification alert newsletter subscribe subscription signup login"
-    " comment comments commentlist disqus reply replies respond discussion share sharing social related recommended"
-    " recommendations popup modal overlay breadcrumb breadcrumbs pagination pager paywall".split()
+#: Words of a class or id by what they leave of the worth; of several the strongest counts.
+NAMED = (
+    (
+        0.05,
+        frozenset(
+            "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos cookie cookies consent"
+            " gdpr newsletter subscribe subscription comment comments commentlist disqus breadcrumb breadcrumbs pagination pager paywall"
+            " nav navbar navigation menu sidebar footer masthead banner widget toolbar topbar".split()
+        ),
+    ),
+    (
+        0.3,
+        frozenset(
+            "promotion notice notices notification alert signup login reply replies respond discussion share sharing social related"
+            " recommended recommendations popup modal overlay header aside".split()
+        ),
+    ),
 )
-#: Words that mark it unless the element is named as content too.
-DOUBTFUL = frozenset("nav navbar navigation menu sidebar header footer masthead banner widget toolbar topbar aside".split())
+#: Words that speak for an element; beside them a weak word counts nothing and a strong one as a weak one.
 CONTENT = frozenset("article content entry main post story text body".split())
 #: What may stand in a head; anything else ends it.
 HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS = frozenset("ul ol div section table dl".split())
+BOXES = LISTS | {"center", "address", "form"}
+BOUNDS = frozenset(("article", "main"))
+PARTS = frozenset(("article", "section"))
 REACH = 5
+#: Texts from this length on are worth a point of their own.
+SENTENCE = 25
+#: The share of all worth that the container must hold.
+NEARLY = 0.75
+#: Worth a block, in parts of the container's, that siblings must have, and that parts named as foreign must have.
+SIBLING, FOREIGN = 0.5, 0.2
 
 
 class Tree:
@@ -77,18 +106,22 @@ class Tree:
     def __init__(self, page: str):
         self.tag, self.parent, self.dropped, self.last = ["#"], [-1], [False], [0]
         self.own, self.linked, self.links = [0], [0], [0]
-        self.blocks: list[tuple[int, str]] = []
+        self.kind, self.factor, self.weight = [""], [1.0], [1.0]
+        #: (innermost block element, text, share of it that is links)
+        self.blocks: list[tuple[int, str, float]] = []
         self._read(page)
 
     def _read(self, page: str) -> None:
         stack, piece = [0], []
-        inside_link = 0
-        owner = 0  # the innermost block element
+        open_at: dict[str, list[int]] = {}  # the places in the stack of the open elements of a name
+        block_at = [0]  # those of the block elements
+        inside_link = in_links = 0
         at = 0
-        lower = ""
+        tags = TAG
         tag, parent, dropped, own, linked = self.tag, self.parent, self.dropped, self.own, self.linked
 
         def text(start: int, end: int) -> None:
+            nonlocal in_links
             if start < end and tag[stack[-1]] == "head" and page[start:end].strip():
                 close(len(stack) - 1)
             if start < end and not dropped[stack[-1]]:
@@ -96,59 +129,68 @@ class Tree:
                 found = html.unescape(found) if "&" in found else found
                 piece.append(found)
                 if inside_link:
-                    linked[owner] += len(found)
+                    in_links += len(found)
 
         def flush() -> None:
+            nonlocal in_links
             if piece:
                 block = " ".join("".join(piece).split())
                 piece.clear()
                 if block:
+                    owner = stack[block_at[-1]]
                     own[owner] += len(block)
-                    self.blocks.append((owner, block))
+                    linked[owner] += min(in_links, len(block))
+                    self.blocks.append((owner, block, min(1.0, in_links / len(block))))
+            in_links = 0
 
         def close(depth: int) -> None:
-            nonlocal inside_link, owner
+            nonlocal inside_link
             flush()
-            for node in stack[depth:]:
+            for node in reversed(stack[depth:]):
                 self.last[node] = len(tag) - 1
                 inside_link -= tag[node] == "a"
+                open_at[tag[node]].pop()
             del stack[depth:]
-            owner = next(node for node in reversed(stack) if tag[node] in BLOCKS or not node)
+            while block_at[-1] >= depth:
+                block_at.pop()
 
-        while (found := MARKUP.search(page, at)) is not None:
-            text(at, found.start())
-            at = found.end()
-            name = found[2]
-            if name is None:
+        def innermost(names: Iterable[str]) -> int:
+            return max((open_at[name][-1] for name in names if open_at.get(name)), default=0)
+
+        while (opening := OPENING.search(page, at)) is not None:
+            start = opening.start()
+            if page[start + 1] in "!?":
+                text(at, start)
+                comment = page.startswith("<!--", start)
+                end = page.find("-->", start + 4) if comment else page.find(">", start)
+                at = len(page) if end < 0 else end + (3 if comment else 1)
                 continue
-            name = name.lower()
+            found = tags.match(page, start)
+            if found is None and tags is TAG:
+                tags = UNQUOTED_TAG
+                found = tags.match(page, start)
+            if found is None:  # no tag ends behind this place
+                break
+            text(at, start)
+            at = found.end()
+            name = found[2].lower()
             if found[1]:
-                if name == "p" and all(tag[node] != "p" for node in stack):
+                depth = innermost((name,))
+                if name == "p" and not depth:
                     flush()
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tag[stack[depth]] == name:
-                        if name in BLOCKS or name in NEVER:
-                            close(depth)
-                        else:  # formatting: end it alone, blocks inside stay open
-                            if any(tag[node] in BLOCKS for node in stack[depth + 1 :]):
-                                break
-                            self.last[stack[depth]] = len(tag) - 1
-                            inside_link -= name == "a"
-                            for node in stack[depth + 1 :]:
-                                self.last[node] = len(tag) - 1
-                                inside_link -= tag[node] == "a"
-                            del stack[depth:]
-                        break
+                # The end of a formatting element leaves blocks open that were opened inside it.
+                if depth and (name in BLOCKS or name in NEVER):
+                    close(depth)
+                elif depth > block_at[-1]:
+                    inside_link = self._end_inline(stack, open_at, depth, inside_link)
                 continue
             if tag[stack[-1]] == "head" and name not in HEAD:
                 close(len(stack) - 1)
-            if name in ("head", "html") and name in tag:
+            if name in ("head", "html") and name in open_at:
                 continue
             if name in RAW:
-                lower = lower or page.lower()
-                end = lower.find("</" + name, at) if len(lower) == len(page) else page.find("</" + name, at)
-                at = len(page) if end < 0 else end
-                closing = page.find(">", at)
+                ending = RAW[name].search(page, at)
+                closing = -1 if ending is None else page.find(">", ending.end())
                 at = len(page) if closing < 0 else closing + 1
                 continue
             if name == "br":
@@ -156,67 +198,81 @@ class Tree:
                     piece.append(" ")
                 continue
             if name in BLOCKS:
-                for depth in range(len(stack) - 1, 0, -1):
-                    inner = tag[stack[depth]]
-                    if inner == "p":
-                        close(depth)
-                        break
-                    if inner in BLOCKS:
-                        break
+                if tag[stack[block_at[-1]]] == "p":
+                    close(block_at[-1])
                 if name in ENDS:
                     ended, bound = ENDS[name]
-                    for depth in range(len(stack) - 1, 0, -1):
-                        inner = tag[stack[depth]]
-                        if inner in bound:
-                            break
-                        if inner in ended:
-                            close(depth)
-                            break
+                    depth = innermost(ended)
+                    if depth > innermost(bound):
+                        close(depth)
                 flush()
             if name in VOID:
                 continue
             above = stack[-1]
             node = len(tag)
+            values = self._attributes(found[3])
+            inside = any(open_at.get(bound) for bound in BOUNDS)
+            factor = self._named(name, values)
             tag.append(name)
             parent.append(above)
-            dropped.append(dropped[above] or self._foreign(name, found[3], stack))
+            dropped.append(dropped[above] or self._never(name, values, inside))
             self.last.append(node)
             own.append(0)
             linked.append(0)
             self.links.append(0)
-            stack.append(node)
+            self.kind.append(values.get("class", ""))
+            self.factor.append(factor)
+            self.weight.append(self.weight[above] * factor)
+            open_at.setdefault(name, []).append(len(stack))
             if name in BLOCKS:
-                owner = node
+                block_at.append(len(stack))
             elif name == "a":
                 inside_link += 1
-                self.links[owner] += 1
+                self.links[stack[block_at[-1]]] += 1
+            stack.append(node)
         text(at, len(page))
         close(1)
         flush()
         self.last[0] = len(tag) - 1
 
-    def _foreign(self, name: str, attributes: str, stack: list[int]) -> bool:
-        if name in NEVER:
-            return True
-        if name == "header" and not any(self.tag[node] in ("article", "main") for node in stack):
-            return True
+    def _end_inline(self, stack: list[int], open_at: dict[str, list[int]], depth: int, inside_link: int) -> int:
+        """End formatting elements without ending the block of text they stand in; how many links are open then."""
+        for node in reversed(stack[depth:]):
+            self.last[node] = len(self.tag) - 1
+            inside_link -= self.tag[node] == "a"
+            open_at[self.tag[node]].pop()
+        del stack[depth:]
+        return inside_link
+
+    @staticmethod
+    def _attributes(attributes: str) -> dict[str, str]:
         if "=" not in attributes and "hidden" not in attributes:
+            return {}
+        return {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
+
+    @staticmethod
+    def _never(name: str, values: dict[str, str], inside: bool) -> bool:
+        """Whether an element is left out by its kind, whatever it holds."""
+        if name in NEVER or name == "header" and not inside:
+            return True
+        if name in ("html", "body"):
             return False
-        values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
-        if name not in ("html", "body") and (
+        if (
             "hidden" in values
             or values.get("aria-hidden") == "true"
             or "display:none" in values.get("style", "").replace(" ", "").lower()
         ):
             return True
+        return name not in KEPT and values.get("role", "").lower() in ROLES
+
+    @staticmethod
+    def _named(name: str, values: dict[str, str]) -> float:
+        """What the words of its class and id leave of an element's worth."""
+        if not values or name in ("html", "body"):
+            return 1.0
         named = set(WORD.findall((values.get("class", "") + " " + values.get("id", "")).lower()))
-        if name == "article":  # reader comments are often articles inside the article
-            return bool(named & {"comment", "comments", "reply", "ad", "ads", "advert", "promo", "sponsored", "related"})
-        if name in KEPT:
-            return False
-        if values.get("role", "").lower() in ROLES:
-            return True
-        return bool(named & FOREIGN or named & DOUBTFUL and not (named & CONTENT))
+        levels = [left for left, words in NAMED if named & words] + [1.0]
+        return levels[0] if not named & CONTENT else NAMED[1][0] if levels[0] < NAMED[1][0] else 1.0
 
     def _drop_forms(self) -> None:
         """Leave out the forms that hold neither an article nor most of the page's text."""
@@ -231,48 +287,93 @@ class Tree:
             if articles[end] == articles[node] and 2 * (sums[end] - sums[node]) <= sums[-1]:
                 gone.add(node)
         cut = self._covered(gone)
-        self.blocks = [(node, block) for node, block in self.blocks if not cut[node]]
+        self.blocks = [block for block in self.blocks if not cut[block[0]]]
         for node in range(len(self.tag)):
             if cut[node]:
                 self.own[node] = self.linked[node] = self.links[node] = 0
 
+    def _summed(self, values: list[float]) -> list[float]:
+        """For each element, the sum over it and all that is inside it."""
+        total = values[:]
+        for node in range(len(total) - 1, 0, -1):
+            total[self.parent[node]] += total[node]
+        return total
+
     def text(self) -> str:
         self._drop_forms()
         if not self.blocks:
             return ""
-        n = len(self.tag)
-        points = [0.0] * n
-        for node, block in self.blocks:
-            worth = 1 + block.count(",") + min(len(block) / 100, 3)
+        n, tag, parent = len(self.tag), self.tag, self.parent
+        points, worth, plain, blocks, headings = [0.0] * n, [0.0] * n, [0.0] * n, [0] * n, [0] * n
+        values = [(len(block) >= SENTENCE) + block.count(",") + min(len(block) / 100, 3) for _, block, _ in self.blocks]
+        for (node, _, share), value in zip(self.blocks, values, strict=True):
+            worth[node] += value * (1 - share) * self.weight[node]
+            plain[node] += value * (1 - share)
+            blocks[node] += 1
+            headings[node] += tag[node] in HEADINGS
             # A paragraph's own element is no container.
-            container = self.parent[node] if self.tag[node] in ("p", "pre", "td", "li", "blockquote", *HEADINGS) else node
+            container = parent[node] if tag[node] in ("p", "pre", "td", "li", "blockquote", *HEADINGS) else node
             for level in range(REACH):
                 if container < 0:
                     break
-                points[container] += worth / (1 if level == 0 else 2 if level == 1 else 3 * level)
-                container = self.parent[container]
-        total, linked, links = self.own[:], self.linked[:], self.links[:]
-        for node in range(n - 1, 0, -1):
-            above = self.parent[node]
-            total[above] += total[node]
-            linked[above] += linked[node]
-            links[above] += links[node]
+                points[container] += value * self.weight[node] / (1 if level == 0 else 2 if level == 1 else 3 * level)
+                container = parent[container]
+        total, linked, links = self._summed(self.own), self._summed(self.linked), self._summed(self.links)
+        worth, plain, blocks, headings = map(self._summed, (worth, plain, blocks, headings))
         density = [min(1.0, linked[k] / total[k]) if total[k] else 0.0 for k in range(n)]
-        scores = [points[k] * (1 - density[k]) for k in range(n)]
-        best = max(range(n), key=lambda k: (scores[k], -k))
+        best = max(range(n), key=lambda k: (points[k] * (1 - density[k]), -k))
+        while best > 0 and worth[best] < NEARLY * worth[0]:
+            best = parent[best]
+        rate = [worth[k] / blocks[k] if blocks[k] else 0.0 for k in range(n)]
+
+        children: list[list[int]] = [[] for _ in range(n)]
+        for node in range(1, n):
+            if blocks[node]:
+                children[parent[node]].append(node)
+        kept = {best}
         node = best
-        while node > 0 and self.tag[node] != "article":
-            node = self.parent[node]
-        best = node if node > 0 else best
-        # Without an article all that is not marked counts, within the main element if there is one.
-        while best > 0 and self.tag[best] not in ("article", "main"):
-            best = self.parent[best]
-        chosen = self._covered({best})
-        lists = self._covered({k for k in range(n) if self.tag[k] in LISTS and density[k] > 0.5 and links[k] >= 3})
-        held = [(node, block) for node, block in self.blocks if chosen[node]]
-        plain = [k for k, (node, _) in enumerate(held) if not lists[node] or 2 * self.linked[node] <= self.own[node]]
-        if plain:
-            held = held[plain[0] : plain[-1] + 1]
+        while node > 0:
+            below, node = node, parent[node]
+            follows = False
+            for child in reversed(children[node]):
+                if child == below:
+                    follows = True
+                    continue
+                alike = tag[child] == tag[below] and (tag[child] in PARTS or self.kind[child] and self.kind[child] == self.kind[below])
+                good = density[child] < 0.5 and (alike and self.factor[child] == 1 or rate[child] >= SIBLING * rate[best])
+                follows = good or follows and headings[child] == blocks[child] and self.factor[child] == 1
+                if follows:
+                    kept.add(child)
+            if tag[below] in BOUNDS:
+                break
+        chosen = self._covered(kept)
+
+        # What is foreign by name is measured against the blocks beside it that are not.
+        unnamed = [
+            value * (1 - share)
+            for (node, _, share), value in zip(self.blocks, values, strict=True)
+            if chosen[node] and self.weight[node] == self.weight[best]
+        ]
+        usual = sum(unnamed) / len(unnamed) if unnamed else 0.0
+        cut = {
+            k for k in range(1, n)
+            if self.factor[k] < 1 and chosen[k] and blocks[k]
+            and not (k <= best <= self.last[k]) and rate[k] / self.weight[best] < FOREIGN * usual
+        }
+        gone = self._covered(cut)
+        # At the ends, what is mostly links or, where nothing bounds the text, a box of a few words.
+        bounded = self._covered({k for k in range(n) if tag[k] in BOUNDS})
+        lists = self._covered({k for k in range(n) if tag[k] in LISTS and density[k] > 0.5 and links[k] >= 3})
+        boxes = self._covered(
+            {c for c in children[best] if tag[c] in BOXES and not bounded[c] and plain[c] < 1 and not headings[c]}
+        )
+        held = [(node, block) for node, block, _ in self.blocks if chosen[node] and not gone[node]]
+        solid = [
+            k for k, (node, _) in enumerate(held)
+            if not boxes[node] and (not lists[node] or 2 * self.linked[node] <= self.own[node])
+        ]
+        if solid:
+            held = held[solid[0] : solid[-1] + 1]
         return "\n".join(block for _, block in held)
 
     def _covered(self, roots: set[int]) -> list[int]:

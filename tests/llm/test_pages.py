@@ -74,6 +74,128 @@ def test_open_heads_and_forms_around_the_page(page):
     assert main_text("<head><title>t</title>bare text") == "bare text"
 
 
+LONG = "".join(f"<p>Sentence {k} of the text, which goes on, as texts do, for a good while and then ends.</p>" for k in range(6))
+READ = "\n".join(f"Sentence {k} of the text, which goes on, as texts do, for a good while and then ends." for k in range(6))
+
+
+def test_scores_decide_without_an_article():
+    junk = "<div>Call 555-1234 today!</div>", "<div>Copyright 2020 Foo Inc.</div><div>Follow us</div>"
+    assert main_text(f"<body>{junk[0]}<div id=c>{LONG}</div>{junk[1]}</body>") == READ
+    assert main_text(f"<body>{junk[0]}{LONG}{junk[1]}</body>") == READ
+    assert main_text(f"<body><h1>Title</h1><div>{LONG}</div><div>{'<a>link, link</a> ' * 30}</div></body>") == f"Title\n{READ}"
+
+
+def test_parts_of_one_kind_stay():
+    assert main_text(f"<main><article>{LONG}</article><article>{LONG}</article></main>") == f"{READ}\n{READ}"
+    assert main_text(f"<main><article>{LONG * 9}</article><article><p>Short part.</p></article></main>").endswith("Short part.")
+
+
+@pytest.mark.parametrize("named", ["class=discussion", "id=related-work", "class='notice-text content'", "class='comment post-body'"])
+def test_words_only_lower_points(named):
+    assert main_text(f"<article>{LONG}<section {named}>{LONG}</section></article>") == f"{READ}\n{READ}"
+    assert main_text(f"<body><div {named}>{LONG}</div></body>") == READ
+
+
+@pytest.mark.parametrize("named", ["class=discussion", "id=related-posts", "class=notice", "class=comments", "class=ad"])
+def test_poor_foreign_parts_go(named):
+    assert main_text(f"<article>{LONG}<div {named}><p>Nice.</p><p>Buy now, it is cheap</p></div>{LONG}</article>") == f"{READ}\n{READ}"
+    assert main_text(f"<article>{LONG}<div class=comments>{LONG}</div></article>") == READ
+
+
+@pytest.mark.parametrize("unit", ["<a '", '<a "', '<a ="', "<a =\"'>", "<a", "<b></p>", "</x>", "<div><b></i>", "<li><p></b>", "<!-", "<a b", "</",
+                                  "<div class='", "<script>", "<textarea></", "&amp", "<p><a>x", "<table><tr><td><ul><li>"])
+def test_hostile_pages_take_linear_time(unit):
+    import time
+
+    half = 500_000 // len(unit)
+    for page in (unit * 2 * half, "<b>" * 100_000 + "</p>" * 100_000 if unit == "<b></p>" else "<div><i>" * 50_000 + unit * half):
+        start = time.process_time()
+        main_text(page)
+        assert time.process_time() - start < 8
+
+
+def test_rule_against_a_plain_version():
+    """Random trees of block elements: every number anew from the tree, by recursion."""
+    import random
+    from xml.etree import ElementTree
+
+    def blocks(e):
+        return ([e] if e.text else []) + [x for c in e for x in blocks(c)]
+
+    def value(e):
+        return (len(e.text) >= 25) + e.text.count(",") + min(len(e.text) / 100, 3)
+
+    def named(e):
+        return {"related": 0.3, "ad": 0.05}.get(e.get("class"), 1.0)
+
+    def plain_version(page):
+        root = ElementTree.fromstring(page)
+        above = {c: e for e in root.iter() for c in e}
+
+        def up(e):
+            return [e, *up(above[e])] if e in above else [e]
+
+        def weight(e):
+            w = 1.0
+            for x in reversed(up(e)):
+                w *= named(x)
+            return w
+
+        def worth(e):
+            return sum(value(x) * weight(x) for x in blocks(e))
+
+        def rate(e):
+            return worth(e) / max(1, len(blocks(e)))
+
+        order = list(root.iter())
+        points = dict.fromkeys(order, 0.0)
+        for e in blocks(root):
+            for level, x in enumerate(up(above[e] if e.tag in ("p", "h2") else e)[:5]):
+                points[x] += value(e) * weight(e) / (1, 2, 6, 9, 12)[level]
+        best = max(order, key=lambda e: (round(points[e], 9), -order.index(e)))
+        while best in above and worth(best) < 0.75 * worth(root) - 1e-9:
+            best = above[best]
+        kept, path = {best}, up(best)
+        for below, e in zip(path, path[1:], strict=False):
+            follows = False
+            for c in [c for c in reversed(list(e)) if blocks(c) or c is below]:
+                if c is below:
+                    follows = True
+                    continue
+                alike = c.tag == below.tag and (c.tag in ("section", "article") or c.get("class") and c.get("class") == below.get("class"))
+                good = alike and named(c) == 1 or rate(c) >= 0.5 * rate(best)
+                follows = good or follows and all(x.tag == "h2" for x in blocks(c)) and named(c) == 1
+                if follows:
+                    kept.add(c)
+            if below.tag == "article":
+                break
+        chosen = [e for e in blocks(root) if kept & set(up(e))]
+        usual = [value(e) for e in chosen if weight(e) == weight(best)]
+        usual = sum(usual) / len(usual) if usual else 0.0
+        cut = {e for e in order if named(e) < 1 and best not in e.iter() and blocks(e) and rate(e) / weight(best) < 0.2 * usual}
+        boxes = {c for c in best if c.tag in ("div", "section") and "article" not in {x.tag for x in up(c)}
+                 and sum(map(value, blocks(c))) < 1 and not any(x.tag == "h2" for x in blocks(c))}
+        held = [e for e in chosen if not cut & set(up(e))]
+        solid = [k for k, e in enumerate(held) if not boxes & set(up(e))]
+        held = held[solid[0] : solid[-1] + 1] if solid else held
+        return "\n".join(e.text for e in held)
+
+    draw = random.Random(5)
+
+    def grown(depth):
+        if depth == 0 or draw.random() < 0.3:
+            tag = draw.choice(["p", "p", "p", "h2", "div"])
+            text = " ".join(draw.choice(["word", "longer,", "text"]) for _ in range(draw.choice([1, 2, 4, 30, 90])))
+            return f"<{tag}>{text}</{tag}>"
+        tag = draw.choice(["div", "div", "section", "article"])
+        kind = draw.choice(["", "", "", ' class="x"', ' class="related"', ' class="ad"'])
+        return f"<{tag}{kind}>" + "".join(grown(depth - 1) for _ in range(draw.randint(1, 5))) + f"</{tag}>"
+
+    for _ in range(600):
+        page = "<body>" + "".join(grown(4) for _ in range(draw.randint(1, 4))) + "</body>"
+        assert main_text(page) == plain_version(page), page
+
+
 def test_page_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>é x</p>", 5), (1, "u", None, 6), (None, None, "", 7)],
                                "page_id bigint, url string, html string, text int")

@@ -9,7 +9,8 @@ neither an article nor most of the text. What remains is scored, by one rule for
 * A block passes its points to its container and, in decreasing parts, to the ancestors beyond; a container's points are
   discounted by its link density. From the best container on, the lowest ancestor with ``NEARLY`` all worth of the page is taken.
 * Siblings of that container and of its ancestors, up to an ``article`` or ``main``, stay when they are parts of the same
-  kind, when they are worth about as much a block as the container is, or when they are headings of what follows.
+  kind, when they are worth about as much a block as the container is, or when they are headings of what follows; those named
+  as foreign do not.
 * Inside, parts named as foreign go when their lowered worth a block is far below that of the rest. Lists of links go only where they
   stand before or after all other text, and so do boxes of a few words where no ``article`` or ``main`` bounds the text.
 
@@ -67,7 +68,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 #: Words of a class or id by what they leave of the worth; of several the strongest counts.
 NAMED = (
     (
-        0.05,
+        1e-6,  # counts only where nothing else does
         frozenset(
             "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos cookie cookies consent"
             " gdpr newsletter subscribe subscription comment comments commentlist disqus breadcrumb breadcrumbs pagination pager paywall"
@@ -340,7 +341,7 @@ class Tree:
                     follows = True
                     continue
                 alike = tag[child] == tag[below] and (tag[child] in PARTS or self.kind[child] and self.kind[child] == self.kind[below])
-                good = density[child] < 0.5 and (alike and self.factor[child] == 1 or rate[child] >= SIBLING * rate[best])
+                good = density[child] < 0.5 and self.factor[child] == 1 and (alike or rate[child] >= SIBLING * rate[best])
                 follows = good or follows and headings[child] == blocks[child] and self.factor[child] == 1
                 if follows:
                     kept.add(child)

@@ -85,6 +85,10 @@ def test_scores_decide_without_an_article():
     assert main_text(f"<body><h1>Title</h1><div>{LONG}</div><div>{'<a>link, link</a> ' * 30}</div></body>") == f"Title\n{READ}"
 
 
+def test_a_long_advert_beside_a_short_article():
+    assert main_text(f"<body><div class=ad>{LONG}</div><article><h1>Title</h1><p>Short.</article></body>") == "Title\nShort."
+
+
 def test_parts_of_one_kind_stay():
     assert main_text(f"<main><article>{LONG}</article><article>{LONG}</article></main>") == f"{READ}\n{READ}"
     assert main_text(f"<main><article>{LONG * 9}</article><article><p>Short part.</p></article></main>").endswith("Short part.")
@@ -126,7 +130,7 @@ def test_rule_against_a_plain_version():
         return (len(e.text) >= 25) + e.text.count(",") + min(len(e.text) / 100, 3)
 
     def named(e):
-        return {"related": 0.3, "ad": 0.05}.get(e.get("class"), 1.0)
+        return {"related": 0.3, "ad": 1e-6}.get(e.get("class"), 1.0)
 
     def plain_version(page):
         root = ElementTree.fromstring(page)
@@ -163,7 +167,7 @@ def test_rule_against_a_plain_version():
                     follows = True
                     continue
                 alike = c.tag == below.tag and (c.tag in ("section", "article") or c.get("class") and c.get("class") == below.get("class"))
-                good = alike and named(c) == 1 or rate(c) >= 0.5 * rate(best)
+                good = named(c) == 1 and (alike or rate(c) >= 0.5 * rate(best))
                 follows = good or follows and all(x.tag == "h2" for x in blocks(c)) and named(c) == 1
                 if follows:
                     kept.add(c)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -15,14 +14,14 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one in the warehouse where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    own = "file://" + tempfile.mkdtemp(prefix="checkpoint-")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     spark.sparkContext.setCheckpointDir(own)
     return own
 

@@ -9,11 +9,13 @@ Files are written under a temporary name and moved into place, so a repeated tas
 
 A null payload is empty. Payloads of at least ``least`` bytes that occur more than once become one response, that of the
 smallest id, and revisits; rows without an id are always responses. Repeated rows with equal ids are all responses if they
-hold the smallest id. Line ends in URLs become spaces, a null URL is left out. Columns beyond the named ones are ignored.
+hold the smallest id. A stream that ends within a gzip member, a header or a record fails the job, as does a response whose
+payload has another digest than it declares. Line ends in URLs become spaces, a null URL is left out. Columns beyond the named ones are ignored.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import uuid
@@ -24,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm.shared import checkpointed
+from emberlog.llm.shared import checkpointed, small_enough
 
 LINE = "\r\n"
 RECORD_END = LINE * 2
 CHUNK = 1 << 20
+#: So many digests of recurring payloads, of about a hundred bytes each, are broadcast at most.
+KNOWN_DIGESTS = 200_000
 INDEX = "archive string, offset bigint, length bigint, record_id string"
 RECORDS = (
     "record_id string, record_type string, refers_to string, payload_bytes bigint, payload_digest string, payload binary"
@@ -40,17 +44,21 @@ def with_revisits(df: DataFrame, id_col: str, payload_col: str, least: int = 100
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     known = df.withColumns({"payload": payload, "payload_bytes": F.octet_length(payload).cast("bigint")})
     known = known.withColumn("payload_digest", F.sha2(F.col("payload").cast("binary"), 256))
-    # Only payloads that recur are joined; this side has one narrow row for each of them.
-    first = (
-        known.filter(F.col("payload_bytes") >= least)
+    large = F.col("payload_bytes") >= least
+    first = checkpointed(
+        known.filter(large)
         .groupBy("payload_digest")
         .agg(F.min(id_col).alias("first_id"), F.count("*").alias("copies"))
         .filter("copies > 1")
         .drop("copies")
     )
-    joined = known.join(first, "payload_digest", "left")
-    refers = F.when((F.col("payload_bytes") >= least) & (F.col(id_col) != F.col("first_id")), F.col("first_id"))
-    return joined.withColumn("refers_to", refers).drop("first_id")
+    # A narrow row for each payload that recurs. As a table of its own it leaves Spark free to split a digest with many copies.
+    first = F.broadcast(first) if small_enough(first, KNOWN_DIGESTS) else first
+    joined = known.filter(large).join(first, "payload_digest", "left")
+    refers = F.when(F.col(id_col) != F.col("first_id"), F.col("first_id"))
+    # Short payloads take no part in the join, however often one occurs.
+    short = known.filter(~large).withColumn("refers_to", F.lit(None).cast(known.schema[id_col].dataType))
+    return joined.withColumn("refers_to", refers).drop("first_id").unionByName(short)
 
 
 def write_archives(rows: DataFrame, folder: str, id_col: str, url_col: str, date: str = "2000-01-01T00:00:00Z") -> None:
@@ -94,17 +102,24 @@ class Inflated:
 
     def __init__(self, stream):
         self.stream, self.buffer = stream, bytearray()
-        self.inflater, self.rest = zlib.decompressobj(31), b""
+        self.inflater, self.rest, self.within = zlib.decompressobj(31), b"", False
 
     def more(self) -> bool:
         while True:
             raw = self.rest or self.stream.read(CHUNK)
+            if not raw and self.within:
+                raise ValueError("the archive ends within a gzip member")
             if not raw:
                 return False
-            if self.inflater.eof:
-                self.inflater = zlib.decompressobj(31)
+            if not self.within:
+                raw = raw.lstrip(b"\0")  # padding between and after members
+                if not raw:
+                    self.rest = b""
+                    continue
+                self.inflater, self.within = zlib.decompressobj(31), True
             found = self.inflater.decompress(raw, CHUNK)
-            self.rest = self.inflater.unused_data if self.inflater.eof else self.inflater.unconsumed_tail
+            self.within = not self.inflater.eof
+            self.rest = self.inflater.unconsumed_tail if self.within else self.inflater.unused_data
             if found:
                 self.buffer += found
                 return True
@@ -139,16 +154,60 @@ def fields(head: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, _, value in (x.partition(":") for x in lines if x)}
 
 
+def located(uri: str):
+    """The file system of a path as pyarrow knows it, and the path inside."""
+    from pyarrow import fs
+
+    scheme, _, inside = uri.partition(":")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3:{inside}"
+    elif scheme == "file" and not inside.startswith("//"):
+        uri = f"file://{inside}"
+    return fs.FileSystem.from_uri(uri)
+
+
+def agrees(payload: bytes, declared: str) -> bool:
+    """Whether a payload has the digest that its record declares, in hexadecimal or Base32; unknown kinds are not looked at."""
+    kind, _, value = declared.partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in ("sha1", "sha256", "sha512", "md5"):
+        return True
+    found = hashlib.new(kind, payload, usedforsecurity=False).digest()
+    return value.lower() == found.hex() or value.upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
+
+
+def read_member(record: bytes) -> tuple[str | None, str | None, str | None, int | None, str | None, bytes]:
+    """A record as a row of ``RECORDS``. What is no HTTP message is its own payload, as it is."""
+    end = record.index(b"\r\n\r\n") + 4
+    head = fields(record[:end])
+    block = record[end : end + int(head["content-length"])]
+    if len(block) != int(head["content-length"]):
+        raise ValueError(f"{head.get('warc-record-id')} is cut")
+    inner, payload = {}, block
+    if head.get("content-type", "").replace(" ", "").lower().startswith("application/http"):
+        start = block.find(b"\r\n\r\n") + 4
+        start = start if start > 3 else len(block)
+        inner, payload = fields(block[:start]), block[start:]
+    declared, kind = head.get("warc-payload-digest", ""), head.get("warc-type")
+    if kind == "revisit":  # what it refers to is told by its headers alone
+        size = inner.get("content-length", "")
+        digest = declared.removeprefix("sha256:") or None
+        return head.get("warc-record-id"), kind, head.get("warc-refers-to"), int(size) if size.isdecimal() else None, digest, payload
+    # A segment holds a part of the payload that the digest is about.
+    if kind == "response" and "warc-segment-number" not in head and not agrees(payload, declared):
+        raise ValueError(f"{head.get('warc-record-id')} is damaged")
+    digest = hashlib.sha256(payload).hexdigest()
+    return head.get("warc-record-id"), kind, head.get("warc-refers-to"), len(payload), digest, payload
+
+
 def normalise(spark: SparkSession, folder: str, out: str) -> DataFrame:
     """Rewrite the archives of ``folder`` to ``out`` with a gzip member per record; the offset index of all of them."""
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                source, inside = fs.FileSystem.from_uri(path)
-                target, base = fs.FileSystem.from_uri(out)
+                source, inside = located(path)
+                target, base = located(out)
                 target.create_dir(base, recursive=True)
                 name = inside.rsplit("/", 1)[-1].removesuffix(".gz").removesuffix(".txt")
                 final = f"{base}/{name}.warc.gz"
@@ -165,9 +224,10 @@ def normalise(spark: SparkSession, folder: str, out: str) -> DataFrame:
                             sink.write(deflater.compress(head))
                             for piece in inflated.pieces(int(named["content-length"])):
                                 sink.write(deflater.compress(piece))
-                            list(inflated.pieces(4))
+                            if b"".join(inflated.pieces(4)) != RECORD_END.encode():
+                                raise ValueError(f"a record of {path} is longer than it declares")
                             sink.write(deflater.compress(RECORD_END.encode()) + deflater.flush())
-                            entries.append((start, sink.tell() - start, named["warc-record-id"]))
+                            entries.append((start, sink.tell() - start, named.get("warc-record-id", "")))
                 with target.open_output_stream(f"{temporary}.index", compression=None) as sink:
                     sink.write("".join(f"{a} {b} {c}\n" for a, b, c in entries).encode())
                 target.move(temporary, final)
@@ -191,13 +251,12 @@ def normalise(spark: SparkSession, folder: str, out: str) -> DataFrame:
 def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records that the index names, fetched member by member.
 
-    The digest of a response is taken from its payload and must be the declared one; length and digest of a revisit are
-    those it declares. ``payloads`` false leaves the payload column null.
+    The SHA-256 digest is taken from the payload; that of a response must have the declared digest, of whatever kind. Length and
+    digest of a revisit are those it declares, a digest of another kind with its name in front; null where it tells none. Records
+    of other types (``warcinfo``, ``request``, ``metadata``) come out alike. ``payloads`` false leaves the payload column null.
     """
 
     def fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         kinds = pa.schema(
             [(n, t) for n, t in zip(
                 ["record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"],
@@ -211,24 +270,12 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
                 if archive != name:
                     if file is not None:
                         file.close()
-                    system, inside = fs.FileSystem.from_uri(archive)
+                    system, inside = located(archive)
                     name, file = archive, system.open_input_file(inside)
                 record = gzip.decompress(file.read_at(length, offset))
-                end = record.index(b"\r\n\r\n") + 4
-                head = fields(record[:end])
-                block = record[end : end + int(head["content-length"])]
-                start = block.index(b"\r\n\r\n") + 4
-                payload = block[start:]
-                declared = head["warc-payload-digest"].removeprefix("sha256:")
-                count = int(fields(block[:start])["content-length"])
-                if head["warc-type"] == "response" and (
-                    len(payload) != count or hashlib.sha256(payload).hexdigest() != declared
-                ):
-                    raise ValueError(f"{head['warc-record-id']} in {archive} is damaged")
-                refers = head.get("warc-refers-to")
-                kept = payload if payloads else None
-                rows.append((head["warc-record-id"], head["warc-type"], refers, count, declared, kept))
-                size += len(payload) if payloads else 200
+                row = read_member(record)
+                rows.append(row if payloads else (*row[:-1], None))
+                size += len(row[-1]) if payloads else 200
                 if size > CHUNK * 8:
                     yield pa.RecordBatch.from_pylist([dict(zip(kinds.names, row, strict=True)) for row in rows], kinds)
                     rows, size = [], 0

@@ -269,3 +269,53 @@ def test_streams_of_many_members_and_damage(spark, tmp_path):
         cut = warc.Inflated(io.BytesIO(gzip.compress(parts[0][:-6])))
         cut.head()
         list(cut.pieces(7))
+
+
+def test_streams_cut_between_records(spark):
+    import io
+
+    data = gzip.compress(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n")
+    for cut in (data[:-8], data[:-1], data + data[:12]):
+        stream = warc.Inflated(io.BytesIO(cut))
+        with pytest.raises(ValueError, match="within a gzip member"):
+            while (head := stream.head()) is not None:
+                list(stream.pieces(int(warc.fields(head)["content-length"]) + 4))
+    assert warc.Inflated(io.BytesIO(b"")).head() is None
+    padded = warc.Inflated(io.BytesIO(data + b"\0" * 100))
+    assert padded.head() and list(padded.pieces(7)) and padded.head() is None
+
+
+def test_public_archives(spark, tmp_path):
+    import base64
+
+    def record(kind, block, **more):
+        lines = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{kind}>", **{k.replace("_", "-"): v for k, v in more.items()}}
+        head = "".join(f"{k}: {v}\r\n" for k, v in lines.items())
+        return f"WARC/1.0\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    html = b"<p>page</p>"
+    sha1 = "sha1:" + base64.b32encode(hashlib.sha1(html).digest()).decode()
+    http = {"Content_Type": "application/http; msgtype=response", "WARC_Payload_Digest": sha1}
+    parts = [
+        record("warcinfo", b"software: x\r\n", Content_Type="application/warc-fields"),
+        record("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", Content_Type="application/http; msgtype=request"),
+        record("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + html, **http),
+        record("revisit", b"", **http, WARC_Refers_To="<urn:uuid:response>"),
+        record("metadata", b"fetchTimeMs: 5"),
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    index = warc.normalise(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out")
+    got = {r.record_type: r for r in warc.read_records(index).collect()}
+    assert got.keys() == {"warcinfo", "request", "response", "revisit", "metadata"}
+    assert (got["response"].payload, got["response"].payload_digest) == (html, hashlib.sha256(html).hexdigest())
+    assert (got["revisit"].payload_digest, got["revisit"].payload_bytes, got["revisit"].refers_to) == (sha1, None, "<urn:uuid:response>")
+    assert (got["request"].payload, got["metadata"].payload) == (b"", b"fetchTimeMs: 5")
+    with pytest.raises(ValueError, match="damaged"):
+        warc.read_member(record("response", b"HTTP/1.1 200 OK\r\n\r\nother", **http))
+
+
+def test_short_payloads_stay_out_of_the_join(spark):
+    pages = spark.range(4000).selectExpr("id AS page_id", "IF(id % 2 = 0, NULL, repeat('x', 200)) AS html")
+    rows = warc.with_revisits(pages, "page_id", "html")
+    assert rows.filter("refers_to = 1").count() == 1999 and rows.filter("html IS NULL AND refers_to IS NULL").count() == 2000

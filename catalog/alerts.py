@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import Inputs, register
 from emberlog.config import Thresholds
-from emberlog.operators import alert_log, filters, metrics, rolling, rules
+from emberlog.operators import alert_log, filters, heavy, metrics, rolling, rules
 from emberlog.sinks.alerts import alert_lines, append_alerts, read_alerts
 from emberlog.sinks.reports import TIMESTAMP_FORMAT, export_csv
 
@@ -64,6 +64,10 @@ def threshold_rule(t: Inputs, alert_type: str) -> DataFrame:
     return shown(fired.filter(F.col("alert_type") == alert_type))
 
 
+ALERT_SQL = "username, alert_ts, alert_type, severity, message, details"
+ALERT = ("username", "alert_ts", "alert_type", "severity", "message", "details")
+
+
 @register("alert_error_rate", f"WITH {TOTALS_SQL} {RATE_SQL}")
 def _(t: Inputs):
     return threshold_rule(t, "HIGH_ERROR_RATE")
@@ -110,6 +114,21 @@ def _(t: Inputs):
     return rules.frequent_messages(t.logs)
 
 
+@register("heavy_messages", "SELECT message, n AS count FROM message_counts WHERE n > 5")
+def _(t: Inputs):
+    return heavy.heavy_messages(t.logs)
+
+
+@register(
+    "alerts_with_frequent_messages",
+    f"""WITH wanted AS (SELECT message FROM message_counts WHERE n > 5 AND trim(message) <> '')
+        SELECT {ALERT_SQL} FROM alerts a WHERE EXISTS (
+          SELECT 1 FROM wanted w WHERE contains(concat_ws(' ', coalesce(a.details, ''), coalesce(a.message, '')), w.message))""",
+)
+def _(t: Inputs):
+    return heavy.alerts_with_messages(t.alerts, rules.frequent_messages(t.logs)).select(*ALERT)
+
+
 @register(
     "alert_frequent_all",
     f"""WITH a AS ({PATTERN_SQL}), m AS (SELECT message AS error_message, n AS count,
@@ -205,10 +224,6 @@ def _(t: Inputs):
     return alert_log.replay_cooldown(t.alerts).select("username", "alert_ts", "details", "sent")
 
 
-ALERT_SQL = "username, alert_ts, alert_type, severity, message, details"
-ALERT = ("username", "alert_ts", "alert_type", "severity", "message", "details")
-
-
 @register(
     "alert_history",
     f"""SELECT {ALERT_SQL} FROM alerts WHERE username = 'user-2' AND alert_ts >= '2024-01-05'

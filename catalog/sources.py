@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from emberlog.operators.metrics import count_rows
 from emberlog.plans.batch import ingest, ingest_interactive
 from emberlog.plans.parse import parse_logs, parse_logs_interactive
 from emberlog.sinks import history, reports
+from emberlog.sources import keyword_index, rollups
 from emberlog.sources.csv_logs import list_files, read_csv_logs, read_rejects
 from emberlog.sources.log_table import ingest_new, read_ingested, read_parsed, write_parsed
 
@@ -231,22 +233,87 @@ def _(t: Inputs):
     return read_csv_logs(t.spark, path, glob="*.txt", recursive=True).select("lineid", "timestamp", "log_level", "message")
 
 
-@register(
-    "incremental_changed_file",
-    """SELECT date_trunc('second', "timestamp") AS "timestamp", log_level, trim(message) AS message, error_type
-       FROM parsed""",
-)
-def _(t: Inputs):
-    # The files of the first run are replaced, under their names, by files with all rows.
+def changed(t: Inputs, after_each: Callable[[str], None] = lambda base: None) -> str:
+    """A log table whose first files, of errors only, were replaced under their names by files with all rows."""
     base, drop, spare = t.scratch(), t.scratch(), t.scratch()
     # Dealt alike, so that each file of the first run has one with its rows and more in the second.
     parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     structured(t, drop, t.messages.filter("event_type = 'error'").repartition(parts, "event_id"))
     ingest_new(t.spark, base, drop)
+    after_each(base)
     structured(t, spare, t.messages.repartition(parts, "event_id"))
     replace_files(t, spare, drop)
     ingest_new(t.spark, base, drop)
-    return read_ingested(t.spark, base).select("timestamp", "log_level", "message", "error_type")
+    after_each(base)
+    return base
+
+
+@register(
+    "incremental_changed_file",
+    """SELECT date_trunc('second', "timestamp") AS "timestamp", log_level, trim(message) AS message, error_type
+       FROM parsed""",
+)
+def _(t: Inputs):
+    return read_ingested(t.spark, changed(t)).select("timestamp", "log_level", "message", "error_type")
+
+
+def rolled(t: Inputs) -> str:
+    return changed(t, lambda base: rollups.refresh(t.spark, base))
+
+
+@register(
+    "trend_incremental",
+    """SELECT date_trunc('hour', "timestamp") AS bucket, log_level, count(*) AS count FROM parsed
+       WHERE log_level IN ('ERROR', 'WARN') GROUP BY 1, 2""",
+)
+def _(t: Inputs):
+    return rollups.trend(t.spark, rolled(t))
+
+
+@register(
+    "errors_by_type_incremental",
+    "SELECT error_type, count(*) AS count FROM errors GROUP BY error_type",
+)
+def _(t: Inputs):
+    return rollups.errors_by_type(t.spark, rolled(t))
+
+
+@register(
+    "first_last_seen_incremental",
+    """SELECT message, date_trunc('second', min("timestamp")) AS first_seen, date_trunc('second', max("timestamp")) AS last_seen,
+       count(*) AS count FROM errors GROUP BY message""",
+)
+def _(t: Inputs):
+    return rollups.first_last_seen(t.spark, rolled(t))
+
+
+@register(
+    "distinct_sketches",
+    r"""SELECT count(DISTINCT nullif(regexp_extract(message, '\b(?:\d{1,3}\.){3}\d{1,3}\b', 0), '')) AS unique_ips,
+        count(DISTINCT error_type) FILTER (log_level = 'ERROR') AS unique_error_types, TRUE AS close FROM parsed""",
+)
+def _(t: Inputs):
+    # The exact counts, and whether the estimates of the stored sketches are within three standard errors.
+    base = rolled(t)
+    names = ("unique_ips", "unique_error_types")
+    exact = metrics.distinct_counts(read_ingested(t.spark, base)).select(F.lit(True).alias("exact"), *names)
+    estimated = rollups.distinct_between(t.spark, base).select(F.lit(False).alias("exact"), *names)
+    bound = 3 * 1.04 / 2 ** (rollups.SKETCH_BITS / 2)
+    both = exact.unionByName(estimated).agg(
+        *(F.max(F.when(F.col("exact") == kind, F.col(name))).alias(f"{name}_{kind}") for name in names for kind in (True, False))
+    )
+    close = [F.abs(F.col(f"{name}_False") - F.col(f"{name}_True")) <= bound * F.col(f"{name}_True") for name in names]
+    return both.select(*(F.col(f"{name}_True").alias(name) for name in names), (close[0] & close[1]).alias("close"))
+
+
+@register(
+    "search_keyword_skipping",
+    """SELECT date_trunc('second', "timestamp") AS "timestamp", log_level, trim(message) AS message FROM parsed
+       WHERE contains(lower(trim(message)), 'timeout') OR contains(lower(log_level), 'timeout')""",
+)
+def _(t: Inputs):
+    base = changed(t, lambda table: keyword_index.refresh(t.spark, table))
+    return keyword_index.search_keyword(t.spark, base, " TimeOut").select("timestamp", "log_level", "message")
 
 
 def replace_files(t: Inputs, source: str, target: str) -> None:
@@ -307,6 +374,22 @@ def _(t: Inputs):
     return history.load_snapshot(t.spark, base, record).select("event_id", "timestamp", "log_level", "message")
 
 
+@register(
+    "history_as_of",
+    """SELECT date_trunc('second', "timestamp") AS "timestamp", log_level, trim(message) AS message FROM parsed
+       WHERE event_type = 'error'""",
+)
+def _(t: Inputs):
+    # Recorded before the files were replaced, loaded after.
+    base, records = t.scratch(), []
+
+    def record(table: str) -> None:
+        records.append(history.record_ingested(t.spark, base, table, "user-1", ["events.csv"]))
+
+    changed(t, record)
+    return history.load_snapshot(t.spark, base, records[0]).select("timestamp", "log_level", "message")
+
+
 @register(
     "history_record",
     """SELECT 'user-1' AS username, 'a.csv, b.csv' AS file_name, count(*) FILTER (log_level = 'ERROR') AS num_errors,

@@ -1,4 +1,8 @@
-"""Analysis history: a Parquet snapshot per analysis and one row about it."""
+"""Analysis history: one row per analysis, and its rows as a Parquet snapshot or as the batches of the log table that it saw.
+
+Batches of the log table are never changed, so a list of them is a snapshot without a copy. They must be kept as long as
+a record names them.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +16,9 @@ from pyspark.sql import functions as F
 from emberlog.functions.timestamps import instant
 from emberlog.operators.filters import is_error, is_level
 from emberlog.schema import HISTORY
-from emberlog.sources.log_table import read_if_exists, read_parsed, write_parsed
+from emberlog.sources.log_table import INGESTED, finished_batches, read_if_exists, read_ingested, read_parsed, write_parsed
+
+SEEN = "record_id string, batch_id string"
 
 
 def display_name(files: Sequence[str]) -> str:
@@ -61,6 +67,21 @@ def record_analysis(
     return record_id
 
 
+def record_ingested(
+    spark: SparkSession, base: str, table: str, username: str, files: Sequence[str], at: datetime | None = None
+) -> str:
+    """Append the history row of the log table ``table`` as it is now, and name the finished batches it is made of; the record's
+    id. No rows are copied; the counts read the level column alone."""
+    record_id, batches = uuid.uuid4().hex, finished_batches(spark, table)
+    seen = spark.createDataFrame([(record_id, batch_id) for batch_id in batches], SEEN)
+    seen.coalesce(1).write.mode("append").parquet(f"{base}/seen")
+    rows = read_ingested(spark, table, batches=batches) if batches else spark.createDataFrame([], "log_level string")
+    when = at or datetime.now(timezone.utc)
+    row = history_row(rows, record_id, username, display_name(files), table, when)
+    row.coalesce(1).write.mode("append").parquet(f"{base}/history")
+    return record_id
+
+
 def read_history(spark: SparkSession, base: str) -> DataFrame:
     """The history table, empty where there is none yet."""
     return read_if_exists(spark, f"{base}/history", HISTORY)
@@ -69,4 +90,10 @@ def read_history(spark: SparkSession, base: str) -> DataFrame:
 def load_snapshot(spark: SparkSession, base: str, record_id: str) -> DataFrame | None:
     """The rows of a recorded analysis, None for an unknown record."""
     found = read_history(spark, base).filter(F.col("record_id") == record_id).select("data_path").first()
-    return None if found is None else read_parsed(spark, found.data_path)
+    if found is None:
+        return None
+    if found.data_path == f"{base}/snapshots/{record_id}":
+        return read_parsed(spark, found.data_path)
+    seen = read_if_exists(spark, f"{base}/seen", SEEN).filter(F.col("record_id") == record_id)
+    batches = sorted(row.batch_id for row in seen.select("batch_id").toLocalIterator())
+    return read_ingested(spark, found.data_path, batches=batches) if batches else spark.createDataFrame([], INGESTED)

@@ -104,10 +104,14 @@ def ingest_new(
     return batch_id
 
 
-def _as_ingested(spark: SparkSession, base: str, rows: DataFrame) -> DataFrame:
-    """Rows with (source_file, batch_id) that belong to the latest finished batch of their file."""
+def finished_batches(spark: SparkSession, base: str) -> list[str]:
     manifest = read_if_exists(spark, f"{base}/manifest", MANIFEST)
-    finished = sorted(row.batch_id for row in manifest.select("batch_id").distinct().toLocalIterator())
+    return sorted(row.batch_id for row in manifest.select("batch_id").distinct().toLocalIterator())
+
+
+def as_ingested(spark: SparkSession, base: str, rows: DataFrame, batches: list[str] | None = None) -> DataFrame:
+    """Rows with (source_file, batch_id) that belong to the latest finished batch of their file; ``batches`` are all that count."""
+    finished = finished_batches(spark, base) if batches is None else batches
     rows = rows.filter(F.col("batch_id").isin(finished))
     replaced = read_if_exists(spark, f"{base}/superseded", SUPERSEDED).filter(F.col("by_batch").isin(finished))
     if replaced.isEmpty():
@@ -115,21 +119,24 @@ def _as_ingested(spark: SparkSession, base: str, rows: DataFrame) -> DataFrame:
     return rows.join(replaced.select("source_file", "batch_id").distinct(), ["source_file", "batch_id"], "left_anti")
 
 
-def read_ingested(spark: SparkSession, base: str, extra_columns: bool = False) -> DataFrame:
+def read_ingested(
+    spark: SparkSession, base: str, extra_columns: bool = False, batches: list[str] | None = None
+) -> DataFrame:
     """Rows of every source file as of its latest finished batch.
 
     Batches are picked by their directories. Only where files have been superseded are their rows taken out by a join.
     The canonical columns are read by their known schema. ``extra_columns`` adds the pass-through columns of all
-    batches, which means looking at the schema of every file first.
+    batches, which means looking at the schema of every file first. ``batches`` gives the table as it was when those were
+    the finished ones.
     """
     reader = spark.read
     if extra_columns:
         rows = reader.option("mergeSchema", True).parquet(f"{base}/logs")
     else:
         rows = reader.schema(INGESTED).parquet(f"{base}/logs")
-    return _as_ingested(spark, base, rows)
+    return as_ingested(spark, base, rows, batches)
 
 
 def read_ingested_rejects(spark: SparkSession, base: str) -> DataFrame:
     """The rejects of every source file as of its latest finished batch."""
-    return _as_ingested(spark, base, read_if_exists(spark, f"{base}/rejects", f"{REJECTS}, batch_id string"))
+    return as_ingested(spark, base, read_if_exists(spark, f"{base}/rejects", f"{REJECTS}, batch_id string"))

@@ -6,6 +6,7 @@ JVM parser raise and catch an exception per row, which would dominate the cost o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -17,28 +18,29 @@ ISO = r"^[+-]?\d{4,6}(-|$)"
 SHORT_YEAR = (r"^\d{2}/\d{1,2}/\d{1,2} ", "yy/MM/dd HH:mm:ss")
 SYSLOG = (r"^[A-Za-z]{3} \d", "yyyy MMM d HH:mm:ss")
 
-# Further layouts of the interactive profile, month before day.
-EXTRA_LAYOUTS = (
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d+:\d+:\d+$", "yyyy/M/d H:mm:ss"),
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d+:\d+:\d+\.", "yyyy/M/d H:mm:ss.SSSSSS"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d+:\d+:\d+$", "M/d/yyyy H:mm:ss"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2} \d+:\d+:\d+ \d{4}$", "MMM d H:mm:ss yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d+:\d+:\d+$", "d MMM yyyy H:mm:ss"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4} \d+:\d+:\d+$", "d-MMM-yyyy H:mm:ss"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4} \d+:\d+:\d+$", "MMM d[,] yyyy H:mm:ss"),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", "MMM d[,] yyyy"),
-    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4} \d+:\d+:\d+$", "MMMM d[,] yyyy H:mm:ss"),
-    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", "MMMM d[,] yyyy"),
-    (r"^\d{1,2} [A-Za-z]{4,9} \d{4} \d+:\d+:\d+$", "d MMMM yyyy H:mm:ss"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d+:\d+:\d+ [APap][Mm]$", "yyyy-M-d h:mm:ss a"),
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d+:\d+:\d+ [APap][Mm]$", "yyyy/M/d h:mm:ss a"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d+:\d+:\d+ [APap][Mm]$", "M/d/yyyy h:mm:ss a"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d+:\d+ [APap][Mm]$", "M/d/yyyy h:mm a"),
-    (r"^[A-Za-z]{3} \d{1,2},? \d{4} \d+:\d+:\d+ [APap][Mm]$", "MMM d[,] yyyy h:mm:ss a"),
-    (r"^[A-Za-z]{4,9} \d{1,2},? \d{4} \d+:\d+:\d+ [APap][Mm]$", "MMMM d[,] yyyy h:mm:ss a"),
-)
+# Further layouts of the interactive profile, month before day, by the shape of the text: Y is a number of four
+# digits, 9 one of one or two, M a word of three letters, L a longer one, P one of two, F a fraction.
+EXTRA_LAYOUTS = {
+    "Y/9/9 9:9:9": "yyyy/M/d H:mm:ss",
+    "Y/9/9 9:9:9.F": "yyyy/M/d H:mm:ss.SSSSSS",
+    "9/9/Y 9:9:9": "M/d/yyyy H:mm:ss",
+    "9/9/Y": "M/d/yyyy",
+    "M 9 9:9:9 Y": "MMM d H:mm:ss yyyy",
+    "9 M Y 9:9:9": "d MMM yyyy H:mm:ss",
+    "9-M-Y 9:9:9": "d-MMM-yyyy H:mm:ss",
+    "9-M-Y": "d-MMM-yyyy",
+    "M 9 Y 9:9:9": "MMM d[,] yyyy H:mm:ss",
+    "M 9 Y": "MMM d[,] yyyy",
+    "L 9 Y 9:9:9": "MMMM d[,] yyyy H:mm:ss",
+    "L 9 Y": "MMMM d[,] yyyy",
+    "9 L Y 9:9:9": "d MMMM yyyy H:mm:ss",
+    "Y-9-9 9:9:9 P": "yyyy-M-d h:mm:ss a",
+    "Y/9/9 9:9:9 P": "yyyy/M/d h:mm:ss a",
+    "9/9/Y 9:9:9 P": "M/d/yyyy h:mm:ss a",
+    "9/9/Y 9:9 P": "M/d/yyyy h:mm a",
+    "M 9 Y 9:9:9 P": "MMM d[,] yyyy h:mm:ss a",
+    "L 9 Y 9:9:9 P": "MMMM d[,] yyyy h:mm:ss a",
+}
 WEEKDAY_PREFIX = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun),? "
 
 
@@ -46,6 +48,41 @@ def _patterned(value: Column, candidate: Column, shape: str, pattern: str) -> Co
     return F.when(value.rlike(shape), F.try_to_timestamp(candidate, F.lit(pattern)))
 
 
+def _shape(text: Column) -> Column:
+    """What a text looks like, as a key of ``EXTRA_LAYOUTS``. Reduced once, so a value costs one parser and not a test for each layout."""
+    digits, letters = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    # Capitals in the text are gone before capitals come to stand for something.
+    shape = F.translate(text, digits + letters, "9" * len(digits) + "a" * len(letters))
+    for pattern, sign in (
+        (r"\.9+$", ".F"), ("(?<!9)9{4}(?!9)", "Y"), ("(?<!9)9{1,2}(?!9)", "9"),
+        ("(?<!a)a{3}(?!a)", "M"), ("(?<!a)a{2}(?!a)", "P"), ("(?<!a)a{4,9}(?!a)", "L"), ("(?<=^[ML] 9),", ""),
+    ):
+        shape = F.regexp_replace(shape, pattern, sign)
+    return shape
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _further(text: Column) -> Column:
+    """A text of the interactive profile's further layouts as TIMESTAMP."""
+    plain = F.regexp_replace(text, WEEKDAY_PREFIX, "")
+
+    def parsed(both: Column) -> Column:
+        given, shape = both["given"], both["shape"]
+        dotted = F.regexp_replace(given, r",(\d+)$", ".$1")
+        result = F.when(dotted.rlike(r"^\d{4}-.*\.\d+$"), F.try_to_timestamp(dotted))
+        upper = F.concat(F.substring(given, F.lit(1), F.char_length(given) - 2), F.upper(F.right(given, F.lit(2))))
+        for key, pattern in EXTRA_LAYOUTS.items():
+            candidate = upper if pattern.endswith("a") else given
+            result = result.when(shape == key, F.try_to_timestamp(candidate, F.lit(pattern)))
+        return result
+
+    return _bound(F.struct(plain.alias("given"), _shape(plain).alias("shape")), parsed)
+
+
 def parse_timestamp(value: Column, default_year: int = 2025, extra_layouts: bool = False) -> Column:
     """A text timestamp in any known layout as TIMESTAMP; null where none fits.
 
@@ -59,19 +96,7 @@ def parse_timestamp(value: Column, default_year: int = 2025, extra_layouts: bool
     text = F.regexp_replace(given, r"\s+", " ")
     attempts.append(_patterned(text, text, *SHORT_YEAR))
     if extra_layouts:
-        plain = F.regexp_replace(text, WEEKDAY_PREFIX, "")
-        dotted = F.regexp_replace(plain, r",(\d+)$", ".$1")
-        attempts.append(F.when(dotted.rlike(r"^\d{4}-.*\.\d+$"), F.try_to_timestamp(dotted)))
-        upper = F.regexp_replace(F.regexp_replace(plain, "(?i)am$", "AM"), "(?i)pm$", "PM")
-        by_shape = [
-            _patterned(plain, upper if pattern.endswith("a") else plain, shape, pattern)
-            for shape, pattern in EXTRA_LAYOUTS
-        ]
-        # Shapes that begin alike are only looked at for text that begins so.
-        letters = [a for a, (shape, _) in zip(by_shape, EXTRA_LAYOUTS, strict=True) if shape.startswith("^[A-Za-z]")]
-        digits = [a for a, (shape, _) in zip(by_shape, EXTRA_LAYOUTS, strict=True) if not shape.startswith("^[A-Za-z]")]
-        begins_with_digit = F.substring(plain, 1, 1).between("0", "9")
-        attempts.append(F.when(begins_with_digit, F.coalesce(*digits)).otherwise(F.coalesce(*letters)))
+        attempts.append(_further(text))
     attempts.append(_patterned(text, F.concat(F.lit(f"{default_year} "), text), *SYSLOG))
     return F.coalesce(*attempts)
 

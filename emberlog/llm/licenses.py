@@ -1,16 +1,19 @@
 """License scans by conditional compression.
 
 Blocks of a text that speak of licenses are compressed alone and with each license template as a raw zstandard
-dictionary. How much smaller a template makes a block, measured by what the template itself takes compressed, says how
-much of the template the block holds; templates are ranked by it. Those above ``LEAST_SHARE`` are then confirmed by their
-wording: the template's words are aligned with the block's, and the differing words are counted. A finding is exact
-when none differ; it stands while they are at most ``MOST_DIFFERENT`` of the template's words and none of the template's words
-with a digit is among them, so that versions are told apart. Of findings that overlap the one with fewer
-differences counts, then the longer one.
+dictionary. Templates are ranked by the bytes that they save; those that save less than ``LEAST_SHARE`` of what they take
+compressed themselves are out. Then they are confirmed in that order by their wording: the template's words are aligned with the
+block's, and the differing words are counted. The first that is confirmed is the winner: its places are findings, no further
+template is looked at there, and what lies between and beside them is a block again. A finding is exact
+when no words differ; it stands while they are at most ``MOST_DIFFERENT`` of the template's words and neither a
+number of the template nor a word of ``TELLING`` is among them, so that versions and kinds are told apart.
+
+An SPDX tag is no wording but names its licenses: each identifier of its expression is a finding as it is written, with
+``-only``, ``-or-later`` or ``+``.
 
 A block is a line with a hint, or its part around the hint, for templates of one line. For longer templates it is the text around hints, as far as the
 longest template reaches, cut into parts of bounded length that overlap by as much.
-Looked for are the licenses of ``NAMES`` by notice and SPDX tag, and the permission texts and file headers of ``TEXTS``. The whole
+Looked for are the licenses of ``NAMES`` by notice, all by SPDX tag, and the permission texts and file headers of ``TEXTS``. The whole
 texts of Apache, GPL, LGPL, AGPL, MPL and Creative Commons licenses are not among them. What leads to "under" in a notice is free.
 Null and empty texts have no findings. A text may have many; repeated rows have theirs each. Other columns are ignored.
 """
@@ -33,6 +36,8 @@ MOST_DIFFERENT = 0.1
 #: How far around a hint a notice of one line is looked for.
 NOTICE_REACH = 400
 HINT = r"(?i)licen[sc]e|copyright|permission|redistribut|free software|cc[ -]by|creative commons|gpl|mpl 2|spdx|©"
+TAG = re.compile(r"SPDX-License-Identifier:[ \t]*((?:[\w.+-]+|[()])(?:[ \t]*(?:[\w.+-]+|[()]))*)", re.IGNORECASE)
+IDENTIFIER = re.compile(r"[\w.+-]+")
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 # Notices and license texts without names and years, by SPDX identifier.
@@ -87,6 +92,10 @@ NAMES = {
         )
     },
 }
+#: Words that tell licenses apart; they may neither lack nor be added.
+TELLING = frozenset(
+    "noncommercial sharealike noderivatives nc sa nd lesser affero library gpl lgpl agpl mpl mit isc bsd apache mozilla boost".split()
+)
 LEADS = ("under the {}", "under {}", "under a {}", "under the terms of the {}")
 BSD_2 = """
         Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
@@ -184,11 +193,13 @@ def wording(template: list[str], block: list[str]) -> Iterator[tuple[int, int, i
         part = block[start : min(high, longest.b + len(template) - longest.a + slack)]
         matches = difflib.SequenceMatcher(None, template, part, autojunk=False).get_matching_blocks()[:-1]
         first, last = matches[0].b, matches[-1].b + matches[-1].size
-        same = sum(match.size for match in matches)
         covered = {k for match in matches for k in range(match.a, match.a + match.size)}
         missing = [word for k, word in enumerate(template) if k not in covered]
-        differing = len(missing) + (last - first - same)
-        if differing <= most and not any(any(c.isdigit() for c in word) for word in missing):
+        there = {k for match in matches for k in range(match.b, match.b + match.size)}
+        more = [part[k] for k in range(first, last) if k not in there]
+        differing = len(missing) + len(more)
+        tells = any(any(c.isdigit() for c in word) for word in missing) or not TELLING.isdisjoint([*missing, *more])
+        if differing <= most and not tells:
             first, last = start + first, start + last
             yield differing, first, last
         else:
@@ -202,7 +213,7 @@ class Scanner:
     def __init__(self):
         clean = {name: " ".join(text.split()) for name, text in TEXTS.items()}
         self.plain = zstandard.ZstdCompressor(level=LEVEL)
-        notices = [*NOTICES.items(), *((name, f"SPDX-License-Identifier: {name}") for name in {**NAMES, **clean})]
+        notices = [*NOTICES.items()]
         notices += [(name, lead.format(x)) for name, wordings in NAMES.items() for x in wordings for lead in LEADS]
         self.short, self.long = ([self._prepared(*x) for x in kind] for kind in (notices, clean.items()))
         self.reach = max(map(len, clean.values()))
@@ -234,28 +245,63 @@ class Scanner:
             for part in range(start, max(start + 1, end - self.reach), 2 * self.reach):
                 yield part, min(end, part + 3 * self.reach), False
 
+    def ranked(self, block: str, line: bool) -> list[tuple[int, float, str, list[str]]]:
+        """(bytes saved, their share of the template, license, its words) of the templates that may be in a block, best first."""
+        data = block.encode()
+        alone = len(self.plain.compress(data))
+        saved = ((alone - len(known.compress(data)), size, name, template) for name, known, size, template in (self.short if line else self.long))
+        kept = [(n, n / size, name, template) for n, size, name, template in saved if n >= LEAST_SHARE * size]
+        return sorted(kept, key=lambda x: (-x[0], -len(x[3]), x[2]))
+
+    def _winners(self, block: str, line: bool) -> Iterator[tuple[int, int, str, float, int]]:
+        """The findings of a block. Every step hands on shorter blocks, and only those with a hint are compressed."""
+        rest = [(0, len(block))]
+        while rest:
+            low, high = rest.pop()
+            part = block[low:high]
+            if not self.hint.search(part):
+                continue
+            split = words(part)
+            plain = [word for word, _, _ in split]
+            for _, share, name, template in self.ranked(part, line):
+                places = sorted((first, last, differing) for differing, first, last in wording(template, plain))
+                if not places:
+                    continue
+                at = low
+                for first, last, differing in places:
+                    start, end = low + split[first][1], low + split[last - 1][2]
+                    yield start, end, name, share, differing
+                    rest.append((at, start))
+                    at = end
+                rest.append((at, high))
+                break
+
+    @staticmethod
+    def tags(text: str) -> Iterator[tuple[int, int, str, float, int]]:
+        """The identifiers of SPDX tags; what follows ``WITH`` is an exception and no license."""
+        for tag in TAG.finditer(text):
+            start, expected = tag.start(), True
+            for found in IDENTIFIER.finditer(text, tag.start(1), tag.end(1)):
+                if found[0].upper() in ("AND", "OR", "WITH"):
+                    expected = found[0].upper() != "WITH"
+                    skip = not expected
+                    continue
+                if not expected and not skip:
+                    break  # words behind the expression
+                if expected:
+                    if found[0].upper() not in ("NONE", "NOASSERTION"):
+                        yield start, found.end(), found[0], 1.0, 0
+                    start = found.end()
+                expected = skip = False
+
     def findings(self, text: str) -> list[tuple[int, int, str, float, int]]:
         """(start, end, license, share of the template saved, differing words) of each finding, by place."""
-        found = []
+        found = [(*tag, True) for tag in self.tags(text)]
         for start, end, line in self.blocks(text):
-            block = text[start:end]
-            data = block.encode()
-            alone = len(self.plain.compress(data))
-            split = words(block)
-            there = {word for word, _, _ in split}
-            ranked = sorted(
-                ((alone - len(known.compress(data))) / size, name, template)
-                for name, known, size, template in (self.short if line else self.long)
-                if sum(word not in there for word in template) <= MOST_DIFFERENT * len(template)
-            )
-            for share, name, template in reversed(ranked):
-                if share < LEAST_SHARE:
-                    break
-                for differing, first, last in wording(template, [word for word, _, _ in split]):
-                    place = start + split[first][1], start + split[last - 1][2]
-                    found.append((*place, name, share, differing, len(template)))
+            found += [(start + a, start + b, *rest, False) for a, b, *rest in self._winners(text[start:end], line)]
+        # Blocks overlap, and lines lie inside the others: of two findings at a place the longer counts.
         chosen = []
-        for start, end, name, share, differing, _ in sorted(found, key=lambda x: (-x[5] + x[4] * 4, x[4], -x[3], x[0])):
+        for start, end, name, share, differing, _ in sorted(found, key=lambda x: (not x[5], x[0] - x[1], x[4], -x[3], x[0])):
             at = bisect.bisect_left(chosen, (start,))
             if (not at or chosen[at - 1][1] <= start) and (at == len(chosen) or end <= chosen[at][0]):
                 chosen.insert(at, (start, end, name, share, differing))

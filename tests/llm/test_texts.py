@@ -198,3 +198,68 @@ def test_a_changed_license_does_not_hide_a_whole_one():
 def test_other_wordings_and_texts(text, want):
     found = licenses.Scanner().findings(text)
     assert [x[2] for x in found] == [want] and found[0][4] == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("# SPDX-License-Identifier: MIT OR Apache-2.0\ncode", ["MIT", "Apache-2.0"]),
+        ("/* SPDX-License-Identifier: (MIT AND BSD-3-Clause) */", ["MIT", "BSD-3-Clause"]),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", ["GPL-3.0-or-later"]),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR Zlib", ["GPL-2.0-only", "Zlib"]),
+        ("SPDX-License-Identifier: MIT and then some more words", ["MIT", "then"]),
+        ("SPDX-License-Identifier: MIT see the file", ["MIT"]),
+        ("SPDX-License-Identifier: NONE", []),
+    ],
+)
+def test_spdx_expressions(text, want):
+    assert [x[2] for x in licenses.Scanner().findings(text)] == want
+
+
+def aligned_everywhere(scanner, text):
+    """The findings without any compression: every template aligned with the whole text, the longest places first."""
+    split = licenses.words(text)
+    plain = [word for word, _, _ in split]
+    found = [(split[a][1], split[b - 1][2], name, d) for kind in (scanner.short, scanner.long) for name, _, _, template in kind
+             for d, a, b in licenses.wording(template, plain)]
+    chosen = []
+    for x in sorted(found, key=lambda x: (x[0] - x[1], x[3], x[0])):
+        if all(x[1] <= y[0] or y[1] <= x[0] for y in chosen):
+            chosen.append(x)
+    return sorted(chosen)
+
+
+def test_ranking_finds_what_full_alignment_finds_with_fewer_alignments(monkeypatch):
+    import random
+
+    draw, scanner, calls = random.Random(8), licenses.Scanner(), []
+    unranked, ranked = licenses.Scanner(), 0
+    unranked.ranked = lambda block, line: [(1, 1.0, name, words) for name, _, _, words in (unranked.short if line else unranked.long)]
+    full = 0
+    plain = licenses.wording
+    monkeypatch.setattr(licenses, "wording", lambda *x: calls.append(1) or plain(*x))
+    pool = [*licenses.NOTICES.values(), *(" ".join(x.split()) for x in licenses.TEXTS.values())]
+    for _ in range(25):
+        parts = []
+        for text in draw.sample(pool, draw.randint(1, 4)):
+            split = text.split(" ")
+            if len(split) > 40 and draw.random() < 0.5:
+                split[draw.randrange(20, 30)] = "changed"
+            parts += [" ".join(split), " ".join(draw.choice(["some", "other", "words", "here"]) for _ in range(draw.randint(0, 60)))]
+        text = "\n".join(parts)
+        calls.clear()
+        got = [(a, b, name, d) for a, b, name, _, d in scanner.findings(text)]
+        ranked += len(calls)
+        assert got == aligned_everywhere(scanner, text), text
+        calls.clear()
+        unranked.findings(text)
+        full += len(calls)
+    assert ranked < full / 3
+
+
+def test_the_first_confirmed_in_rank_wins(monkeypatch):
+    scanner = licenses.Scanner()
+    text = licenses.NOTICES["Apache-2.0"]
+    assert [x[2] for x in scanner.findings(text)] == ["Apache-2.0"]
+    monkeypatch.setattr(scanner, "ranked", lambda *x: [])
+    assert scanner.findings(text) == []

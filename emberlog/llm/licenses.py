@@ -280,10 +280,10 @@ class Scanner:
     def tags(text: str) -> Iterator[tuple[int, int, str, float, int]]:
         """The identifiers of SPDX tags; what follows ``WITH`` is an exception and no license."""
         for tag in TAG.finditer(text):
-            start, expected = tag.start(), True
+            start, expected, skip = tag.start(), True, False
             for found in IDENTIFIER.finditer(text, tag.start(1), tag.end(1)):
-                if found[0].upper() in ("AND", "OR", "WITH"):
-                    expected = found[0].upper() != "WITH"
+                if found[0] in ("AND", "OR", "WITH"):
+                    expected = found[0] != "WITH"
                     skip = not expected
                     continue
                 if not expected and not skip:

@@ -207,7 +207,7 @@ def test_other_wordings_and_texts(text, want):
         ("/* SPDX-License-Identifier: (MIT AND BSD-3-Clause) */", ["MIT", "BSD-3-Clause"]),
         ("SPDX-License-Identifier: GPL-3.0-or-later", ["GPL-3.0-or-later"]),
         ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR Zlib", ["GPL-2.0-only", "Zlib"]),
-        ("SPDX-License-Identifier: MIT and then some more words", ["MIT", "then"]),
+        ("SPDX-License-Identifier: MIT and then some more words", ["MIT"]),
         ("SPDX-License-Identifier: MIT see the file", ["MIT"]),
         ("SPDX-License-Identifier: NONE", []),
     ],

@@ -6,11 +6,15 @@ its spans hold the text and the end mark, and nothing else is trained on.
 
 The result has one row per participant and turn, so a conversation of any length is never gathered in one value: a row
 holds the rendered turn, its place in the whole rendering and its span there. Joined in the order of ``position`` the
-segments are the dialogue. Places come from running sums over slices of ``SLICE`` turns and over the slices.
+segments are the dialogue. Places come from running sums over slices and over the totals of the slices. A slice is what one
+range of the whole table's order holds of a conversation, and of that at most ``SLICE`` turn numbers; so turns without a
+number or with the same one are spread over slices as well. Equal turns of a conversation are counted first and counted
+out at the end, so any number of them is one row on the way.
 
-Turns are ordered by number, ties by role, then text. A null role is named ``unknown``, a null text is empty, a row
+Turns are ordered by number (null first), ties by role, then text. A null role is named ``unknown``, a null text is empty, a row
 without a conversation is left in a conversation of its own name (null). Repeated rows are repeated turns. A dialogue of
-system turns alone has no participant and gives no rows. Role names are reduced to letters, digits, ``-`` and ``_``.
+system turns alone has no participant and gives no rows. Role names are reduced to letters, digits, ``-`` and ``_``;
+names that become equal are one participant.
 """
 
 from __future__ import annotations
@@ -18,7 +22,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberlog.llm.shared import stored
+
 SLICE = 1024
+#: Ranges of the order look at so many code points of a text, as samples of their bounds reach the driver.
+BOUND = 64
+#: Equal turns are counted out in blocks of so many.
+BLOCK = 1024
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -36,6 +46,12 @@ def rotated(
         # Marks inside a text are no marks.
         F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "<\\|(im_start|im_end)\\|>", "<|$1 |>").alias("text"),
     )
+    order = ["turn", "role", "text"]
+    counted = turns.groupBy("conv", *order).agg(F.count("*").alias("copies"))
+    ranged = counted.repartitionByRange("conv", "turn", "role", F.substring("text", 1, BOUND))
+    # Both parts of a slice's name grow with the order. The table keeps them as they are if a task is run again.
+    sliced = ranged.withColumns({"range": F.spark_partition_id(), "span": F.floor(F.col("turn") / SLICE)})
+    turns = stored(sliced, "chat")
     participants = (
         turns.filter("role <> 'system'").select(F.col("conv").alias("of"), F.col("role").alias("participant")).distinct()
     )
@@ -54,30 +70,34 @@ def rotated(
             "segment": F.concat(head, F.col("text"), F.lit(END + "\n")),
         }
     ).withColumn("size", F.char_length("segment").cast("bigint"))
-    order = ["turn", "role", "text"]
-    # A slice is a range of turn numbers, so that no window needs a whole conversation.
-    views = views.withColumn("slice", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / SLICE))
-    key = ["conv", "participant"]
-    within = Window.partitionBy(*key, "slice").orderBy(*order)
+    key, slice_of = ["conv", "participant"], ["range", "span"]
+    within = Window.partitionBy(*key, *slice_of).orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_slice = views.groupBy(*key, "slice").agg(F.sum("size").alias("slice_size"), F.count("*").alias("slice_turns"))
-    earlier = Window.partitionBy(*key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    copies, size = F.col("copies"), F.col("size")
+    per_slice = views.groupBy(*key, *slice_of).agg(
+        F.sum(size * copies).alias("slice_size"), F.sum(copies).alias("slice_turns")
+    )
+    earlier = Window.partitionBy(*key).orderBy(*slice_of).rowsBetween(Window.unboundedPreceding, -1)
     per_slice = per_slice.select(
-        *(F.col(c).alias(f"s_{c}") for c in [*key, "slice"]),
+        *(F.col(c).alias(f"s_{c}") for c in [*key, *slice_of]),
         F.coalesce(F.sum("slice_size").over(earlier), F.lit(0)).alias("size_before"),
         F.coalesce(F.sum("slice_turns").over(earlier), F.lit(0)).alias("turns_before"),
     )
     placed = views.withColumns(
-        {"place": F.row_number().over(within).cast("bigint"), "end": F.sum("size").over(upto)}
+        {"turns_here": F.sum(copies).over(upto) - copies, "size_here": F.sum(size * copies).over(upto) - size * copies}
     )
-    same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in [*key, "slice"]]
-    placed = placed.join(per_slice, same[0] & same[1] & same[2])
-    start = F.col("size_before") + F.col("end") - F.col("size")
-    mask_start, mask_end = start + F.col("head_size"), start + F.col("size") - 1
+    same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in [*key, *slice_of]]
+    placed = placed.join(per_slice, same[0] & same[1] & same[2] & same[3])
+    blocks = F.sequence(F.lit(0), F.floor((copies - 1) / BLOCK).cast("bigint"))
+    placed = placed.select("*", F.explode(blocks).alias("block"))
+    first = F.col("block") * BLOCK
+    placed = placed.select("*", F.explode(F.sequence(first, F.least(first + BLOCK, copies) - 1)).alias("copy"))
+    start = F.col("size_before") + F.col("size_here") + F.col("copy") * size
+    mask_start, mask_end = start + F.col("head_size"), start + size - 1
     return placed.select(
         *key,
         "turn",
-        (F.col("turns_before") + F.col("place")).alias("position"),
+        (F.col("turns_before") + F.col("turns_here") + F.col("copy") + 1).alias("position"),
         "segment",
         "masked",
         start.alias("segment_start"),

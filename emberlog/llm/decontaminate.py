@@ -5,7 +5,7 @@ items keep the least hash of every ``SPAN - GRAM + 1`` consecutive word k-grams
 that share ``SPAN`` words share a kept k-gram at the same place of the span. The fingerprints are joined on their
 hash, and each hit is extended word by word to both sides by as much as a window can reach; it counts where the equal
 stretch is as long as a window. So a hit is decided by the words, not by hashes, and none is missed. Short items are
-looked for by the hash of all their words, one pass for each length that occurs.
+looked for by the hash of all their words; one reading of the documents serves all lengths that occur.
 
 Words are runs of letters, digits and characters beyond ASCII, with A-Z in lower case. A null or empty text has no words
 and is clean. Items without words have no window. Documents are told apart by id and text, so rows with equal ids
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from emberlog.llm.shared import ascii_lower, sealed, small_enough, unsealed
 
 SPAN, GRAM = 10, 5
+#: The k-grams of windows of full length, and how many of them a window has.
+LONG = (GRAM, SPAN - GRAM + 1)
 
 
 def _run_without(*ranges: tuple[int, int]) -> str:
@@ -52,38 +54,49 @@ def upto(last: Column) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def fingerprints(df: DataFrame, words: str, gram: int, width: int) -> DataFrame:
-    """Explode each row into its kept k-grams: ``at`` (first word) and ``print`` (hash). ``width`` k-grams form a window."""
+def fingerprints(df: DataFrame, words: str, schemes: list[tuple[int, int]]) -> DataFrame:
+    """Explode each row into its kept k-grams: ``gram``, ``width``, ``at`` (first word) and ``print`` (hash).
+
+    A scheme is a pair of ``gram`` and ``width``, the k-grams in a window. Texts are split and hashed once for all schemes; of a
+    text one scheme's arrays are held at a time.
+    """
     df = with_column_once(df, "hashes", F.transform(words, lambda word: F.xxhash64(word)))
+    listed = F.array(*(F.struct(F.lit(g).alias("gram"), F.lit(w).alias("width")) for g, w in schemes))
+    # A text shorter than a window has no window, so nothing to keep.
+    df = df.select("*", F.inline(listed)).filter(F.size("hashes") >= F.col("gram") + F.col("width") - 1)
 
-    def hashed(i: Column) -> Column:
-        return F.xxhash64(F.lit(gram), *(F.get("hashes", i + k) for k in range(gram)))
+    def hashed(gram: int, width: int) -> Column:
+        return F.transform(
+            upto(F.size("hashes") - gram),
+            lambda i: F.xxhash64(F.lit(gram), F.lit(width), *(F.get("hashes", i + k) for k in range(gram))),
+        )
 
-    # A text shorter than a window has no window, so nothing to keep.
-    last = F.when(F.size("hashes") >= gram + width - 1, F.size("hashes") - gram).otherwise(-1)
-    df = with_column_once(df, "grams", F.transform(upto(last), hashed))
-    df = df.drop("hashes")
-    if width == 1:
-        return df.select("*", F.posexplode("grams").alias("at", "print")).drop("grams")
-    df = with_column_once(
-        df,
-        "least",
-        F.transform(
-            upto(F.size("grams") - width), lambda i: F.least(*(F.get("grams", i + k) for k in range(width)))
-        ),
-    )
+    of_scheme = [F.when((F.col("gram") == g) & (F.col("width") == w), hashed(g, w)) for g, w in schemes]
+    df = with_column_once(df, "grams", F.coalesce(*of_scheme)).drop("hashes")
+
+    def chosen(width: int) -> Column:
+        def kept(i: Column) -> Column:
+            return F.get("grams", i) == F.greatest(*(F.get("least", i - k) for k in range(width)))
+
+        places = upto(F.size("grams") - 1)
+        places = F.filter(places, kept) if width > 1 else places
+        return F.transform(places, lambda i: F.struct(i.alias("at"), F.get("grams", i).alias("print")))
 
-    def kept(i: Column) -> Column:
-        return F.get("grams", i) == F.greatest(*(F.get("least", i - k) for k in range(width)))
+    def least(width: int) -> Column:
+        return F.transform(
+            upto(F.size("grams") - width), lambda i: F.least(*(F.get("grams", i + k) for k in range(width)))
+        )
 
-    places = F.filter(upto(F.size("grams") - 1), kept)
-    chosen = F.transform(places, lambda i: F.struct(i.alias("at"), F.get("grams", i).alias("print")))
-    return df.select("*", F.inline(chosen)).drop("grams", "least")
+    wide = sorted({w for _, w in schemes if w > 1})
+    by_width = [F.when(F.col("width") == w, least(w)) for w in wide]
+    df = with_column_once(df, "least", F.coalesce(*by_width, F.array().cast("array<bigint>")))
+    by_width = [F.when(F.col("width") == w, chosen(w)) for w in wide]
+    return df.select("*", F.inline(F.coalesce(*by_width, chosen(1)))).drop("grams", "least")
 
 
-def around(words: str, at: Column, gram: int, reach: int) -> Column:
+def around(words: str, at: Column, gram: Column, reach: Column) -> Column:
     """The k-gram's words with ``reach`` words on each side, null beyond the ends."""
-    return F.transform(F.sequence(at - reach, at + (gram + reach - 1)), lambda i: F.get(words, i))
+    return F.transform(F.sequence(at - reach, at + gram + reach - 1), lambda i: F.get(words, i))
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[int]]:
@@ -92,13 +105,15 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str) -> tuple[Dat
         items.select(F.col(id_col).alias("item"), F.col(text_col).alias("text")), "words", words_of(F.col("text"))
     ).drop("text")
     short = [row.n for row in split.select(F.size("words").alias("n")).filter(f"n > 0 AND n < {SPAN}").distinct().collect()]
-    width = SPAN - GRAM + 1
-    parts = [fingerprints(split.filter(F.size("words") >= SPAN), "words", GRAM, width).select(
-        "print", F.lit(GRAM).alias("gram"), around("words", F.col("at"), GRAM, width - 1).alias("context"), "item")]
-    for n in sorted(short):
-        own = fingerprints(split.filter(F.size("words") == n), "words", n, 1)
-        parts.append(own.select("print", F.lit(n).alias("gram"), F.col("words").alias("context"), "item"))
-    return reduce(DataFrame.unionByName, parts), sorted(short)
+    # An item that is long enough for windows has no use for the schemes of short ones.
+    long = fingerprints(split.filter(F.size("words") >= SPAN), "words", [LONG])
+    parts = [long]
+    if short:
+        own = fingerprints(split.filter(F.size("words") < SPAN), "words", [(n, 1) for n in sorted(short)])
+        parts.append(own.filter(F.size("words") == F.col("gram")))
+    windows = reduce(DataFrame.unionByName, parts)
+    context = around("words", F.col("at"), F.col("gram"), F.col("width") - 1)
+    return windows.select("print", context.alias("context"), "item"), sorted(short)
 
 
 def hits(
@@ -111,39 +126,38 @@ def hits(
     document's text.
     """
     windows, short = benchmark_windows(items, *item_cols)
-    windows = windows.withColumn("context_id", F.xxhash64("gram", "context"))
-    contexts = windows.select("print", "gram", "context_id", "context").distinct()
-    few = small_enough(contexts, BROADCAST_WINDOWS)
-    hint = F.broadcast if few else (lambda df: df)
+    windows = windows.withColumn("context_id", F.xxhash64("context"))
+    contexts = windows.select("print", "context_id", "context").distinct()
+    hint = F.broadcast if small_enough(contexts, BROADCAST_WINDOWS) else (lambda df: df)
     keyed = docs.select(F.col(doc_cols[0]).alias("id"), F.col(doc_cols[1]).alias("text")).filter("text IS NOT NULL")
     keyed = keyed.withColumn("mark", F.xxhash64("text"))
     split = with_column_once(keyed, "words", words_of(F.col("text"))).drop("text")
-    schemes = [(GRAM, SPAN - GRAM + 1), *((n, 1) for n in short)]
-    found = [
-        fingerprints(split, "words", gram, width).select("id", "mark", "at", "print") for gram, width in schemes
-    ]
-    candidates = (
-        reduce(DataFrame.unionByName, found)
-        .join(hint(contexts.select("print", "gram", "context_id")), "print")
-        .select("id", "mark", "at", "gram", "context_id")
-        .distinct()
+    found = fingerprints(split, "words", [LONG, *((n, 1) for n in short)])
+    candidates = found.select("id", "mark", "gram", "width", "at", "print").join(
+        hint(contexts.select("print").distinct()), "print", "left_semi"
     )
-    # Each candidate's words come from a second reading of the documents that have any.
+    # Each candidate's words come from a second reading of the documents that have any. A document lists its places, which
+    # are no more than its words for each scheme, however many windows share their hash.
     per_doc = candidates.groupBy(F.col("id").alias("c_id"), F.col("mark").alias("c_mark")).agg(
-        F.collect_list(F.struct("at", "gram", "context_id")).alias("candidates")
+        F.collect_set(F.struct("gram", "width", "at", "print")).alias("candidates")
     )
     joined = keyed.join(per_doc, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("mark") == F.col("c_mark")))
-    joined = with_column_once(joined, "words", words_of(F.col("text"))).select("id", "mark", "words", "candidates")
-    placed = joined.select("id", "mark", "words", F.inline("candidates"))
-    both = placed.join(hint(contexts.select("context_id", "context")), "context_id")
-    # A context is longer than its k-gram where a window is.
-    side = ((F.size("context") - F.col("gram")) / 2).cast("int")
-    both = both.withColumn("side", side)
+    joined = with_column_once(joined, "words", words_of(F.col("text")))
+    # Only the words that a window can reach travel with a candidate.
+    reached = F.transform(
+        "candidates",
+        lambda c: F.struct(
+            c["gram"].alias("gram"), (c["width"] - 1).alias("side"), c["at"].alias("at"), c["print"].alias("print"),
+            around("words", c["at"], c["gram"], c["width"] - 1).alias("near"),
+        ),
+    )
+    placed = joined.select("id", "mark", F.inline(reached))
+    both = placed.join(hint(contexts), "print").filter(F.size("near") == F.size("context"))
 
     def same(k: Column) -> Column:
-        return F.coalesce(F.get("context", k) == F.get("words", F.col("at") - F.col("side") + k), F.lit(False))
+        return F.coalesce(F.get("context", k) == F.get("near", k), F.lit(False))
 
-    both = with_column_once(both, "equal", F.transform(upto(F.size("context") - 1), same)).drop("words", "context")
+    both = with_column_once(both, "equal", F.transform(upto(F.size("context") - 1), same)).drop("near", "context")
     # Differences just before and just behind the stretch around the k-gram.
     before = F.coalesce(
         F.array_max(F.filter(upto(F.col("side") - 1), lambda k: ~F.get("equal", k))) + 1, F.lit(0)
@@ -170,7 +184,9 @@ def decontaminated(
     id_col, text_col = doc_cols
     valid, owners = hits(docs, items, doc_cols, item_cols)
     key = ["id", "mark"]
-    words = valid.select(*key, F.explode(F.sequence("start", "end")).alias("word")).distinct()
+    # Windows of many items may cover the same stretch.
+    stretches = valid.select(*key, "start", "end").distinct()
+    words = stretches.select(*key, F.explode(F.sequence("start", "end")).alias("word")).distinct()
     counted = words.groupBy(*key).agg(F.count("*").alias("n_hit"))
     hint = F.broadcast if small_enough(owners, BROADCAST_WINDOWS) else (lambda df: df)
     named = valid.select(*key, "context_id").distinct().join(hint(owners), "context_id")

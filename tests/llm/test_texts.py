@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import pytest
@@ -128,6 +129,30 @@ def test_chat_in_slices(spark, monkeypatch):
     assert sorted(map(tuple, chat.rotated(df).collect())) == whole
 
 
+def test_chat_of_turns_without_order(spark, monkeypatch):
+    """Null, equal, negative and repeated turns, against a plain rendering; slices and blocks are made small."""
+    monkeypatch.setattr(chat, "SLICE", 4)
+    monkeypatch.setattr(chat, "BLOCK", 7)
+    dice = random.Random(2)
+    long = "same beginning " * 20
+    rows = [(k % 3, dice.choice([None, -9, 0, 5, 5]), dice.choice("abc"), long + dice.choice(["", "é", "z", "zz"])) for k in range(150)]
+    rows += [(1, None, "a", None)] * 40 + [(1, 5, "b c", "x")] * 5 + [(1, 5, "b_c", "x")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    want = []
+    for conv in range(3):
+        turns = [(t, r.replace(" ", "_"), x or "") for c, t, r, x in rows if c == conv]
+        turns.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2].encode()))
+        for who in {role for _, role, _ in turns}:
+            at = 0
+            for position, (turn, role, text) in enumerate(turns, 1):
+                head = "<|im_start|>" + ("assistant" if role == who else f"user name={role}") + "\n"
+                segment = f"{head}{text}<|im_end|>\n"
+                mask = (at + len(head), at + len(segment) - 1) if role == who else (None, None)
+                want.append((conv, who, turn, position, segment, role == who, at, *mask))
+                at += len(segment)
+    assert sorted(map(tuple, chat.rotated(df).collect()), key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
@@ -230,8 +255,6 @@ def aligned_everywhere(scanner, text):
 
 
 def test_ranking_finds_what_full_alignment_finds_with_fewer_alignments(monkeypatch):
-    import random
-
     draw, scanner, calls = random.Random(8), licenses.Scanner(), []
     unranked, ranked = licenses.Scanner(), 0
     unranked.ranked = lambda block, line: [(1, 1.0, name, words) for name, _, _, words in (unranked.short if line else unranked.long)]

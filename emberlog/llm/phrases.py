@@ -33,6 +33,8 @@ ROUNDS = 4
 FEW = 16
 #: Ranges of ids per shuffle partition, so that partitions come out even.
 RANGES = 4
+#: Code points that are parsed together at most, but for a longer text alone.
+BATCH_CHARS = 1 << 20
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 ONE = np.uint64(1)
@@ -56,6 +58,17 @@ def tossed(symbols: np.ndarray) -> np.ndarray:
     return (place << ONE) | ((symbols & lowest) != 0)
 
 
+def tossed_apart(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``tossed`` of several texts laid end to end; ``first`` marks where each begins, which has no left neighbour."""
+    left = np.empty_like(symbols)
+    left[1:] = symbols[:-1]
+    left[first] = ~symbols[first]
+    differing = symbols ^ left
+    lowest = differing & (~differing + ONE)
+    place = np.bitwise_count(lowest - ONE).astype(np.uint64)
+    return (place << ONE) | ((symbols & lowest) != 0)
+
+
 class Parser:
     def __init__(self):
         self.powers = np.cumprod(np.r_[ONE, np.full(255, MULTIPLIER)])
@@ -105,6 +118,74 @@ class Parser:
                 chosen.append(spread(found[k] + np.uint64(k)) >> np.uint64(32))
         return np.unique(np.concatenate(chosen).astype(np.uint32))[:KEPT]
 
+    def levels_apart(self, names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``level`` of several texts laid end to end, ``first`` marking where each begins; the names and their marks."""
+        heads = np.flatnonzero(first | np.r_[True, names[1:] != names[:-1]])
+        if len(heads) < len(names):
+            lengths = np.diff(np.r_[heads, len(names)]).astype(np.uint64)
+            runs = names[heads]
+            names = np.where(lengths > 1, spread(runs * MULTIPLIER + lengths), runs)
+            first = first[heads]
+        labels = names
+        for _ in range(ROUNDS):
+            labels = tossed_apart(labels, first)
+        small = labels.astype(np.int8)
+        last = np.r_[first[1:], True]
+        peak = first | ((small > np.r_[small[:1], small[:-1]]) & (small > np.r_[small[1:], small[-1:]]) & ~last)
+        starts = np.flatnonzero(peak)
+        lengths = np.diff(np.r_[starts, len(names)])
+        longest = int(lengths.max())
+        if longest > len(self.powers):
+            self.powers = np.cumprod(np.r_[ONE, np.full(2 * longest, MULTIPLIER)])
+        place = np.arange(len(names)) - np.repeat(starts, lengths)
+        return spread(np.add.reduceat(names * self.powers[place], starts) + lengths.astype(np.uint64)), first[starts]
+
+    def sketches(self, texts: list[str]) -> list[np.ndarray]:
+        """``sketch`` of each text, parsed together in groups of about ``BATCH_CHARS`` code points."""
+        found: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        group: list[int] = []
+        size = 0
+        for k, text in enumerate(texts):
+            if text:
+                group.append(k)
+                size += len(text)
+            if group and (size >= BATCH_CHARS or k == len(texts) - 1):
+                for j, sketch in zip(group, self._sketches([texts[j] for j in group]), strict=True):
+                    found[j] = sketch
+                group, size = [], 0
+        return found
+
+    def _sketches(self, texts: list[str]) -> list[np.ndarray]:
+        """``sketch`` of each of some texts, none empty."""
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        first = np.zeros(len(codes), bool)
+        first[np.cumsum([0, *map(len, texts[:-1])])] = True
+        chosen, owners = [], []
+        with np.errstate(over="ignore"):
+            names = spread(codes.astype(np.uint64) + MULTIPLIER)
+            found = []
+            for _ in range(LEVEL):
+                names, first = self.levels_apart(names, first)
+                found.append((names, np.cumsum(first) - 1))
+            counts = [np.bincount(owner, minlength=len(texts)) for _, owner in found]
+            # Of each text the two upper levels, and those below while there are fewer than FEW names.
+            taken = np.zeros(len(texts), np.int64)
+            for k in range(LEVEL - 1, -1, -1):
+                wanted = np.ones(len(texts), bool) if k >= LEVEL - 2 else taken < FEW
+                names, owner = found[k]
+                keep = wanted[owner]
+                chosen.append((spread(names[keep] + np.uint64(k)) >> np.uint64(32)).astype(np.uint32))
+                owners.append(owner[keep])
+                taken += np.where(wanted, counts[k], 0)
+        values, owner = np.concatenate(chosen), np.concatenate(owners)
+        order = np.lexsort((values, owner))
+        values, owner = values[order], owner[order]
+        fresh = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])]
+        values, owner = values[fresh], owner[fresh]
+        begins = np.searchsorted(owner, np.arange(len(texts)))
+        ends = np.minimum(np.r_[begins[1:], len(owner)], begins + KEPT)
+        return [values[a:b] for a, b in zip(begins, ends, strict=True)]
+
 
 def written(sketch: np.ndarray) -> str:
     return sketch.astype(">u4").tobytes().hex()
@@ -181,17 +262,19 @@ def compared(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         last = None  # range, id, text and sketch of the row that waits for its follower
         for batch in batches:
             kinds[0] = batch.schema.field(2).type
-            rows = []
-            for place, guest, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sketch = parser.sketch(text)
+            columns = [c.to_pylist() for c in batch.columns]
+            pairs = []  # (waiting row, sketch of its follower, edited text)
+            for place, guest, key, text, sketch in zip(*columns, parser.sketches(columns[3]), strict=True):
                 if last is not None and last[0] == place:
-                    changed = edited(last[2], text)
-                    other = parser.sketch(changed)
-                    rows.append((
-                        last[1], len(last[2]), hashlib.sha256(changed.encode()).hexdigest(), written(last[3]),
-                        written(other), likeness(last[3], other), likeness(last[3], sketch),
-                    ))
+                    pairs.append((last, sketch, edited(last[2], text)))
                 last = None if guest else (place, key, text, sketch)
+            rows = [
+                (
+                    own[1], len(own[2]), hashlib.sha256(changed.encode()).hexdigest(), written(own[3]),
+                    written(other), likeness(own[3], other), likeness(own[3], sketch),
+                )
+                for (own, sketch, changed), other in zip(pairs, parser.sketches([p[2] for p in pairs]), strict=True)
+            ]
             if rows:
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names)

@@ -66,6 +66,19 @@ def test_phrase_labels_are_small_and_differ():
     assert names[5:].max() < 6
 
 
+def test_sketches_of_texts_together_are_those_of_each_alone(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", "a", "aaaaaaaa", "ab" * 700, "é𝄞 x"] + [
+        "".join(rng.choice("ab c\n") for _ in range(rng.choice([0, 1, 2, 7, 90, 1500]))) for _ in range(200)
+    ]
+    parser = phrases.Parser()
+    alone = [parser.sketch(text) for text in texts]
+    for size in (1 << 20, 50):
+        monkeypatch.setattr(phrases, "BATCH_CHARS", size)
+        together = phrases.Parser().sketches(texts)
+        assert [phrases.written(x) for x in together] == [phrases.written(x) for x in alone]
+
+
 def test_fingerprints_against_brute_force(spark):
     texts = ["alpha beta gamma delta " * 9, "", None, "alpha beta gamma delta " * 9, "é" * 7, "x", "y" * 3000]
     rows = [(k * 3, text, "clash") for k, text in enumerate(texts)] + [(6, "also six", "c"), (None, "no id", "c")]

@@ -27,7 +27,8 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from emberlog.llm.shared import released
 
-# Texts are worked on in parts of so many characters, and the words of finished parts are kept up to so many.
+# Texts are worked on in parts of so many characters, and the words of finished parts are kept up to so many, those of the
+# part at hand included.
 PART_CHARS = 4_000_000
 KNOWN_WORDS = 200_000
 
@@ -172,11 +173,12 @@ class Coder:
         self.decoded: dict[str, str] = {}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.ids) > KNOWN_WORDS:
-            self.ids.clear()
-            self.decoded.clear()
+        known = self.ids
+        new = {word for word in words if word not in known}  # a difference with the keys would go through all of them
+        if len(known) + len(new) > KNOWN_WORDS:  # the words of this part stay, as the most likely to come again
+            self.ids = {word: known[word] for word in words - new}
+            self.decoded = {word: self.decoded[word] for word in self.ids}
         special = self.vocabulary.special
-        new = words - self.ids.keys()
         for word in new & special.keys():
             self.ids[word], self.decoded[word] = str(special[word]), word
         plain = list(new - special.keys())

@@ -81,6 +81,20 @@ def test_coding_letters_that_are_settled():
     ]
 
 
+def test_coding_keeps_no_more_words_than_known(monkeypatch):
+    """The words kept from earlier parts and those of a new part are at most KNOWN_WORDS together; ids as the library's."""
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 10)
+    monkeypatch.setattr(bpe, "PART_CHARS", 20)
+    library = Tokenizer.from_file(WORDS)
+    texts = [f"w{k}a w{k}b w{k}c w{k}d" for k in range(6)] + ["w0a w5d", "", "<|endoftext|> w1b"]
+    coder = bpe.Coder(bpe.Vocabulary(WORDS))
+    sizes = []
+    for text in texts:
+        assert coder.code([text])[0][0] == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
+        sizes.append(len(coder.ids))
+    assert max(sizes) <= 10 and len(coder.decoded) == len(coder.ids)
+
+
 def test_coding_digests_and_empty_table(spark, texts):
     plain, digests = bpe.bpe_code(texts, WORDS), bpe.bpe_code(texts, WORDS, digests=True)
     want = {r.doc_id: hashlib.sha256(r.ids.encode()).hexdigest() for r in plain.collect()}

@@ -146,11 +146,12 @@ def file_states(
 def group_by_header(spark: SparkSession, paths: list[str], multi_line: bool = False) -> dict[str, list[str]]:
     """Paths per header line. Unreadable and empty files are left out with a warning.
 
-    What reaches the driver is one short row per file, of the same order as Spark's own file listing.
+    What reaches the driver is one short row per file, of the same order as Spark's own file listing. The files are probed
+    by one job, in parallel; an iterator over the rows would run a job per file, one after another.
     """
     groups: dict[str, list[str]] = defaultdict(list)
     left = {path_key(path): path for path in paths}
-    for row in file_headers(spark, paths, multi_line).toLocalIterator():
+    for row in file_headers(spark, paths, multi_line).collect():
         groups[row.header].append(left.pop(path_key(row.path)))
     for path in left.values():
         log.warning("skipped empty or unreadable file: %s", path)

@@ -73,6 +73,21 @@ def test_headers_are_found_without_reading_files(spark, write_csv, tmp_path):
     assert "value" in read[-1].simpleString(100)
 
 
+def test_headers_of_all_files_are_probed_by_one_job(spark, write_csv, tmp_path):
+    for k in range(6):
+        write_csv(f"many/f{k}.csv", ["message", "level"], [f"row {k}", "INFO"])
+    files = csv_logs.list_files(spark, str(tmp_path / "many"))
+    tracker, group = spark.sparkContext.statusTracker(), f"probe-{os.getpid()}-{id(tmp_path)}"
+    spark.sparkContext.setJobGroup(group, "header probe")
+    try:
+        groups = group_by_header(spark, files)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert groups == {"message,level": files}
+    # Not one job a file, each waiting for the one before.
+    assert len(tracker.getJobIdsForGroup(group)) == 1
+
+
 def test_ragged_records_are_rejects(spark, write_csv, tmp_path):
     path = tmp_path / "ragged"
     path.mkdir()
